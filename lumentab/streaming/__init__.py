@@ -1,0 +1 @@
+"""Intentionally empty: every supported operator is a batch DataFrame operator."""
