@@ -20,6 +20,8 @@ CUT = "_cut"
 MIN_CUTS, MAX_CUTS = 64, 4096
 # A table this short is shipped to every task; a longer one goes through a shuffle join.
 SHIP_ROWS = 100_000
+# So few values fit in the buffer of one aggregate; larger tables are cut.
+SMALL_ROWS = 100_000
 
 
 def _cuts(df: DataFrame) -> int:
@@ -31,16 +33,30 @@ def _is_number(df: DataFrame, name: str) -> bool:
 
 
 def splitters(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """Roughly equal-depth cut points per column; one bounded aggregate for all numbers."""
+    """Roughly equal-depth cut points per column; one bounded aggregate for all numbers.
+
+    A table of at most ``SMALL_ROWS`` values needs no cuts and gets none.  The sketch keeps
+    one value in sixteen by its hash: cut points only have to spread the distinct values,
+    they never decide a result.
+    """
     n = _cuts(df)
     found: dict[str, list] = {}
     numbers = [c for c in cols if _is_number(df, c)]
     if numbers:
         probs = [i / n for i in range(1, n)]
         row = df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), probs, 8 * n).alias(c) for c in numbers]
+            *[F.count(c).alias(f"{c}|n") for c in numbers],
+            *[
+                F.percentile_approx(
+                    F.when(F.xxhash64(c).bitwiseAND(F.lit(15)) == 0, F.col(c).cast("double")), probs, 8 * n
+                ).alias(c)
+                for c in numbers
+            ],
         ).first()
-        found.update({c: sorted(set(row[c] or [])) for c in numbers})
+        if sum(row[f"{c}|n"] for c in numbers) <= SMALL_ROWS:
+            found.update({c: [] for c in numbers})
+        else:
+            found.update({c: sorted(set(row[c] or [])) for c in numbers})
     for c in cols:
         if c not in found:  # texts: the values with the smallest hashes are a uniform sample
             sample = (
@@ -48,7 +64,8 @@ def splitters(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
                 .orderBy(F.xxhash64(c)).limit(4 * n).collect()
             )
             values = sorted(r[0] for r in sample)
-            found[c] = sorted(set(values[i * len(values) // n] for i in range(1, n))) if values else []
+            few = len(values) < 4 * n  # the sample is the whole set
+            found[c] = [] if few else sorted(set(values[i * len(values) // n] for i in range(1, n)))
     return found
 
 
@@ -94,6 +111,8 @@ def running_totals(
     """
     by = list(by)
     points = splitters(df, [value])[value] if points is None else points
+    if not points:
+        return _running_totals_whole(df, value, sums, by, descending)
     cells = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         *[e.alias(m) for m, e in sums.items()]
     )
@@ -129,6 +148,21 @@ def running_totals(
     )
 
 
+def _running_totals_whole(df: DataFrame, value: str, sums: Mapping[str, Column], by: list[str],
+                          descending: bool) -> DataFrame:
+    """The same over a table known to be small: one window per group, no cuts."""
+    cells = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(*[e.alias(m) for m, e in sums.items()])
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    before = group.orderBy(F.col(value).desc() if descending else F.col(value).asc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    return cells.select(
+        *by, value, *sums,
+        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}_before") for m in sums],
+        *[F.sum(m).over(group).alias(f"{m}_total") for m in sums],
+    )
+
+
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Rank of every distinct value, 1-based, ties sharing the mean rank."""
     return running_totals(df, value, {"n": F.count(F.lit(1))}, by).withColumn(
@@ -138,7 +172,11 @@ def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
 
 def dense_index(df: DataFrame, key: str, out: str = "idx", ties: Sequence[str] = ()) -> DataFrame:
     """0-based position of every row in ascending order of ``key``, then of the ``ties`` columns."""
-    cells = with_cut(df, key, splitters(df, [key])[key])
+    points = splitters(df, [key])[key]
+    if not points:
+        whole = Window.partitionBy(F.lit(0)).orderBy(key, *ties)
+        return df.withColumn(out, (F.row_number().over(whole) - 1).cast("long"))
+    cells = with_cut(df, key, points)
     before = Window.orderBy(CUT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cells.groupBy(CUT).agg(F.count(F.lit(1)).alias("_n"))
@@ -182,6 +220,8 @@ def quantiles(
     """
     by = list(by)
     points = splitters(df, cols)
+    if not any(points.values()):
+        return _quantiles_whole(df, cols, probs, by)
     long = _long(df, cols, by, points)
     per_cut = Window.partitionBy(*by, "column").orderBy(CUT)
     counts = (
@@ -237,6 +277,20 @@ def quantiles(
     )
 
 
+def _quantiles_whole(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: list[str]) -> DataFrame:
+    """The same over a table known to be small: the built-in exact percentile in one aggregate."""
+    wide = df.groupBy(*by).agg(
+        *[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"{c}|q") for c in cols],
+        *[F.count(c).alias(f"{c}|n") for c in cols],
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}|n`").alias("n"),
+                 *[F.get(F.col(f"`{c}|q`"), F.lit(i)).alias(f"q{i}") for i in range(len(probs))])
+        for c in cols
+    ]
+    return wide.select(*by, F.inline(F.array(*rows))).where("n > 0")
+
+
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Quantiles of whole columns as numbers; one short row per column reaches the driver."""
     rows = {r["column"]: [r[f"q{i}"] for i in range(len(probs))] for r in quantiles(df, cols, probs).collect()}

@@ -32,7 +32,10 @@ def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str], dtype: str = "double") -> dict:
-    return {r["column"]: r["mode"] for r in order.modes(df, cols, dtype=dtype).collect()}
+    """Most frequent value per column, in the type of the column."""
+    whole = {n for n, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
+    found = {r["column"]: r["mode"] for r in order.modes(df, cols, dtype=dtype).collect()}
+    return {c: int(v) if c in whole and dtype == "double" else v for c, v in found.items()}
 
 
 def fill(df: DataFrame, values: Mapping) -> DataFrame:
