@@ -22,6 +22,7 @@ MIN_CUTS, MAX_CUTS = 64, 4096
 SHIP_ROWS = 100_000
 # So few values fit in the buffer of one aggregate; larger tables are cut.
 SMALL_ROWS = 100_000
+SAMPLE_STEP = 16
 
 
 def _cuts(df: DataFrame) -> int:
@@ -33,30 +34,23 @@ def _is_number(df: DataFrame, name: str) -> bool:
 
 
 def splitters(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """Roughly equal-depth cut points per column; one bounded aggregate for all numbers.
+    """Roughly equal-depth cut points per column; one bounded sketch for all numbers.
 
-    A table of at most ``SMALL_ROWS`` values needs no cuts and gets none.  The sketch keeps
-    one value in sixteen by its hash: cut points only have to spread the distinct values,
-    they never decide a result.
+    The sketch reads one row in sixteen: cut points only have to spread the values, they
+    never decide a result.  A table whose sample shows at most ``SMALL_ROWS`` values needs
+    no cuts and gets none.
     """
     n = _cuts(df)
     found: dict[str, list] = {}
     numbers = [c for c in cols if _is_number(df, c)]
     if numbers:
         probs = [i / n for i in range(1, n)]
-        row = df.agg(
-            *[F.count(c).alias(f"{c}|n") for c in numbers],
-            *[
-                F.percentile_approx(
-                    F.when(F.xxhash64(c).bitwiseAND(F.lit(15)) == 0, F.col(c).cast("double")), probs, 8 * n
-                ).alias(c)
-                for c in numbers
-            ],
+        row = df.sample(1 / SAMPLE_STEP, seed=7).agg(
+            F.count(F.lit(1)).alias("|n"),
+            *[F.percentile_approx(F.col(c).cast("double"), probs, 8 * n).alias(c) for c in numbers],
         ).first()
-        if sum(row[f"{c}|n"] for c in numbers) <= SMALL_ROWS:
-            found.update({c: [] for c in numbers})
-        else:
-            found.update({c: sorted(set(row[c] or [])) for c in numbers})
+        small = row["|n"] * SAMPLE_STEP * len(numbers) <= SMALL_ROWS
+        found.update({c: [] if small else sorted(set(row[c] or [])) for c in numbers})
     for c in cols:
         if c not in found:  # texts: the values with the smallest hashes are a uniform sample
             sample = (

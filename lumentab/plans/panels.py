@@ -12,14 +12,14 @@ from lumentab.plans.registry import as_long, query, rounded, table
     WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_id % 17 <> 0 THEN value END AS v FROM events),
     f AS (SELECT event_id, user_id, ts, COALESCE(v, (SELECT quantile_cont(v, 0.5) FROM e)) AS value FROM e),
     r AS (SELECT *, value / NULLIF(lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) - 1 AS ret FROM f)
-    SELECT event_id, user_id, ROUND(value, 6) AS value, ROUND(COALESCE(ret, 0), 5) AS value_ret,
-           ROUND(COALESCE(ln(1 + ret), 0), 5) AS value_logret FROM r
+    SELECT event_id, user_id, ROUND(value, 6) AS value, ROUND(COALESCE(ret, 0), 9) AS value_ret,
+           ROUND(COALESCE(ln(1 + ret), 0), 9) AS value_logret FROM r
 """)
 def returns(spark, sf):
     e = table(spark, sf, "events").select(
         "event_id", "user_id", "ts", F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("value"))
     out = panel.with_returns(e, ["user_id"], "ts", ["value"], ["event_id"], period="day").drop("ts")
-    return rounded(rounded(out, 6, "value"), 5, "value_ret", "value_logret")
+    return rounded(rounded(out, 6, "value"), 9, "value_ret", "value_logret")
 
 
 NATION_YEARS_SQL = """

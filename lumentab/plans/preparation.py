@@ -74,15 +74,15 @@ def _limits_sql(c, source):
 
 
 @query("iqr_report", " UNION ALL ".join(f"""
-    SELECT '{c}' AS "column", ROUND(MAX(lo), 4) AS low, ROUND(MAX(hi), 4) AS high,
+    SELECT '{c}' AS "column", ROUND(MAX(lo), 6) AS low, ROUND(MAX(hi), 6) AS high,
            count(*) FILTER ({c} < lo OR {c} > hi)::BIGINT AS outliers
     FROM {t}, ({_limits_sql(c, t)})""" for t, c in (
         ("events", "value"),)) + " UNION ALL " + " UNION ALL ".join(f"""
-    SELECT '{c}', ROUND(MAX(lo), 4), ROUND(MAX(hi), 4), count(*) FILTER ({c} < lo OR {c} > hi)
+    SELECT '{c}', ROUND(MAX(lo), 6), ROUND(MAX(hi), 6), count(*) FILTER ({c} < lo OR {c} > hi)
     FROM lineitem, ({_limits_sql(c, 'lineitem')})""" for c in LINES))
 def iqr_report(spark, sf):
     events = prepare.iqr_report(table(spark, sf, "events"), ["value"])
-    return rounded(events.unionByName(prepare.iqr_report(table(spark, sf, "lineitem"), LINES)), 4)
+    return rounded(events.unionByName(prepare.iqr_report(table(spark, sf, "lineitem"), LINES)), 6)
 
 
 @query("iqr_filter", f"""

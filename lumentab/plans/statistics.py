@@ -131,13 +131,13 @@ def corr_spearman(spark, sf):
 
 
 TARGETS = ("o_totalprice", "n_lines", "quantity", "discount")
-ORDER_LINES_SQL = """(SELECT o_totalprice, COUNT(*)::DOUBLE AS n_lines, SUM(l_quantity) AS quantity, AVG(l_discount) AS discount,
+ORDER_LINES_SQL = """(SELECT o_totalprice, COUNT(*)::DOUBLE AS n_lines, SUM(l_quantity) AS quantity, ROUND(AVG(l_discount), 9) AS discount,
     MAX((o_orderstatus = 'F')::INT) AS closed FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_totalprice)"""
 
 
 def order_lines(spark, sf):
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("discount"))
+        F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"), F.round(F.avg("l_discount"), 9).alias("discount"))
     o = table(spark, sf, "orders")
     return o.join(li, o.o_orderkey == li.l_orderkey).select(
         "o_totalprice", "n_lines", "quantity", "discount", (F.col("o_orderstatus") == "F").cast("int").alias("closed"))
