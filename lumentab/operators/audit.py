@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.functions.columns import cut, reverse_scored, row_mean
+from lumentab.operators.reshape import stack_cells
+from lumentab.operators.ship import ship_if_short
 
 # Label names in ascending order, score limits, centre of each class, share of rows a correction may change.
 LEVELS = ("bajo", "medio", "alto")
@@ -27,11 +29,10 @@ def composite_score(risk: Sequence[Column | str], protective: Sequence[Column |
 
 def before_after(df: DataFrame, before: str, after: str) -> DataFrame:
     """Counts per label before and after, 0 where a label is missing on one side; one scan."""
-    sides = F.array(
-        F.struct(F.col(before).alias("label"), F.lit(1).alias("b"), F.lit(0).alias("a")),
-        F.struct(F.col(after).alias("label"), F.lit(0).alias("b"), F.lit(1).alias("a")),
-    )
-    return df.select(F.inline(sides)).groupBy("label").agg(F.sum("b").alias("original"), F.sum("a").alias("corrected"))
+    sides = [
+        {"label": F.col(before), "b": F.lit(1), "a": F.lit(0)}, {"label": F.col(after), "b": F.lit(0), "a": F.lit(1)},
+    ]
+    return stack_cells(df, [], sides).groupBy("label").agg(F.sum("b").alias("original"), F.sum("a").alias("corrected"))
 
 
 def cluster_names(df: DataFrame, cluster: str, score: str, mode: str = "reference") -> DataFrame:
@@ -56,7 +57,7 @@ def cluster_names(df: DataFrame, cluster: str, score: str, mode: str = "referenc
 def named_rows(df: DataFrame, cluster: str, score: str, out: str, mode: str = "reference") -> DataFrame:
     """Rows with the level of their cluster; noise and unnamed clusters get the middle level."""
     names = cluster_names(df, cluster, score, mode).select(cluster, F.col("level").alias(out))
-    return df.join(names, cluster, "left").withColumn(out, F.coalesce(out, F.lit(LEVELS[1])))
+    return df.join(ship_if_short(names), cluster, "left").withColumn(out, F.coalesce(out, F.lit(LEVELS[1])))
 
 
 def majority_vote(votes: Sequence[Column | str]) -> Column:

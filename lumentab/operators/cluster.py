@@ -95,8 +95,8 @@ def lloyd_step(df: DataFrame, features: str, centres: Centres) -> tuple[Centres,
     """Assign to the nearest centre and average: new centres (an empty cluster keeps its own) and inertia."""
     near = nearest_centre(F.col(features).cast("array<double>"), centres)
     found = (
-        df.select(array_to_vector(F.col(features).cast("array<double>")).alias("v"), near.alias("near"))
-        .groupBy("near.cluster").agg(Summarizer.mean(F.col("v")).alias("mean"), F.sum("near.d2").alias("cost"))
+        df.select(array_to_vector(F.col(features).cast("array<double>")).alias("_v"), near.alias("near"))
+        .groupBy("near.cluster").agg(Summarizer.mean(F.col("_v")).alias("mean"), F.sum("near.d2").alias("cost"))
         .collect()
     )
     new = {r["cluster"]: [float(x) for x in r["mean"]] for r in found}
@@ -127,12 +127,21 @@ def fit_seeded(df: DataFrame, features: str, centres: Centres, max_iter: int = 5
 
 # ---------------------------------------------------------------- fuzzy c-means
 
-def memberships(vector: Column, centres: Centres, m: float = 2.0) -> tuple[Column, list[Column]]:
-    """(array of memberships, squared distances); distances below 1e-6 count as 1e-6."""
-    gaps = [squared_distance(vector, F.lit([float(x) for x in c])) for c in centres]
-    inverse = F.array(*[F.pow(F.greatest(g, F.lit(1e-12)), F.lit(-1.0 / (m - 1.0))) for g in gaps])
-    total = F.aggregate(inverse, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(inverse, lambda x: x / total), gaps
+def with_memberships(df: DataFrame, features: str, centres: Centres, m: float = 2.0, mark: str = "") -> DataFrame:
+    """Adds ``_gaps<mark>`` (squared distances) and ``_u<mark>`` (memberships); gaps below 1e-12 count as 1e-12.
+
+    The distances are a column of their own, so that they are computed once per row.
+    """
+    vector = F.col(features).cast("array<double>")
+    gaps = F.array(*[squared_distance(vector, F.lit([float(x) for x in c])) for c in centres])
+    power = F.lit(-1.0 / (m - 1.0))
+    return (
+        df.withColumn(f"_gaps{mark}", gaps)
+        .withColumn(f"_near{mark}", F.transform(f"_gaps{mark}", lambda g: F.pow(F.greatest(g, F.lit(1e-12)), power)))
+        .withColumn(f"_sum{mark}", F.aggregate(f"_near{mark}", F.lit(0.0), lambda a, x: a + x))
+        .withColumn(f"_u{mark}", F.transform(f"_near{mark}", lambda x: x / F.col(f"_sum{mark}")))
+        .drop(f"_near{mark}", f"_sum{mark}")
+    )
 
 
 @dataclass
@@ -144,8 +153,8 @@ class FuzzyClusters:
 
     def transform(self, df: DataFrame, features: str) -> DataFrame:
         """Adds ``membership`` (array), ``certainty`` (largest membership) and ``cluster``."""
-        u, _ = memberships(F.col(features).cast("array<double>"), self.centres, self.m)
-        return df.withColumn("membership", u).withColumns({
+        found = with_memberships(df, features, self.centres, self.m).drop("_gaps").withColumnRenamed("_u", "membership")
+        return found.withColumns({
             "certainty": F.array_max("membership"),
             "cluster": (F.array_position("membership", F.array_max("membership")) - 1).cast("int"),
         })
@@ -156,31 +165,29 @@ def hashed_start(df: DataFrame, features: str, key: str, c: int, m: float = 2.0,
     raw = [F.pmod(F.xxhash64(F.col(key), F.lit(seed * 1000 + i)), F.lit(10_007)) + 1.0 for i in range(c)]
     total = sum(raw[1:], raw[0])
     v = array_to_vector(F.col(features).cast("array<double>"))
-    rows = df.select(v.alias("v"), *[F.pow(r / total, F.lit(m)).alias(f"w{i}") for i, r in enumerate(raw)])
-    row = rows.agg(*[Summarizer.mean(F.col("v"), F.col(f"w{i}")).alias(f"c{i}") for i in range(c)]).first()
+    rows = df.select(v.alias("_v"), *[F.pow(r / total, F.lit(m)).alias(f"w{i}") for i, r in enumerate(raw)])
+    row = rows.agg(*[Summarizer.mean(F.col("_v"), F.col(f"w{i}")).alias(f"c{i}") for i in range(c)]).first()
     return [[float(x) for x in row[f"c{i}"]] for i in range(c)]
 
 
 def fuzzy_step(df: DataFrame, features: str, centres: Centres, m: float = 2.0,
                before: Centres | None = None) -> dict:
     """One pass: weighted centres, objective, partition coefficient and squared membership change."""
-    vector = F.col(features).cast("array<double>")
-    u, gaps = memberships(vector, centres, m)
+    k = range(len(centres))
+    rows = with_memberships(df.select(features), features, centres, m)
     moved = F.lit(float("inf"))
     if before is not None:
-        old, _ = memberships(vector, before, m)
-        moved = squared_distance(u, old)
-    rows = df.select(
-        array_to_vector(vector).alias("v"), u.alias("u"), F.array(*gaps).alias("gaps"), moved.alias("moved"))
-    weight = [F.pow(F.get("u", F.lit(i)), F.lit(m)) for i in range(len(centres))]
-    rows = rows.select("v", "u", "moved", "gaps", *[w.alias(f"w{i}") for i, w in enumerate(weight)])
-    cost = sum([F.col(f"w{i}") * F.get("gaps", F.lit(i)) for i in range(1, len(centres))],
-               F.col("w0") * F.get("gaps", F.lit(0)))
+        rows = with_memberships(rows, features, before, m, "_before")
+        moved = squared_distance(F.col("_u"), F.col("_u_before"))
+    rows = rows.select(
+        array_to_vector(F.col(features).cast("array<double>")).alias("_v"), "_u", "_gaps", moved.alias("_moved"),
+        *[F.pow(F.get("_u", F.lit(i)), F.lit(m)).alias(f"_w{i}") for i in k])
+    terms = [F.col(f"_w{i}") * F.get("_gaps", F.lit(i)) for i in k]
     row = rows.agg(
-        *[Summarizer.mean(F.col("v"), F.col(f"w{i}")).alias(f"c{i}") for i in range(len(centres))],
-        F.sum(cost).alias("objective"),
-        F.avg(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x)).alias("partition"),
-        F.sum("moved").alias("moved"),
+        *[Summarizer.mean(F.col("_v"), F.col(f"_w{i}")).alias(f"c{i}") for i in k],
+        F.sum(sum(terms[1:], terms[0])).alias("objective"),
+        F.avg(F.aggregate("_u", F.lit(0.0), lambda a, x: a + x * x)).alias("partition"),
+        F.sum("_moved").alias("moved"),
     ).first()
     return {
         "centres": [[float(x) for x in row[f"c{i}"]] for i in range(len(centres))],
@@ -224,12 +231,12 @@ def candidates(df: DataFrame, features: str, limit: int = MAX_CANDIDATES) -> tup
     vector = F.col(features).cast("array<double>")
     width, cell = 0.0, vector
     while True:
-        merged = df.select(array_to_vector(vector).alias("v"), cell.alias("cell")).groupBy("cell").agg(
-            Summarizer.mean(F.col("v")).alias("mean"), F.count(F.lit(1)).alias("weight"))
+        merged = df.select(array_to_vector(vector).alias("_v"), cell.alias("cell")).groupBy("cell").agg(
+            Summarizer.mean(F.col("_v")).alias("mean"), F.count(F.lit(1)).alias("weight"))
         if merged.limit(limit + 1).count() <= limit:
             return merged.select(vector_to_array("mean").alias("point"), F.col("weight").cast("double")), width
         width = width * 2 if width else 1 / 128
-        cell = F.transform(vector, lambda x, w=width: F.floor(x / F.lit(w)).cast("double"))
+        cell = F.transform(vector, lambda x: F.floor(x / F.lit(width)).cast("double"))  # noqa: B023
 
 
 def potentials(table: DataFrame, ra: float = RADIUS) -> DataFrame:
@@ -295,8 +302,8 @@ def subtractive_centres(df: DataFrame, features: str, ra: float = RADIUS, suppre
 
 def _cluster_sums(df: DataFrame, features: str, cluster: str) -> dict[int, tuple[int, np.ndarray]]:
     v = array_to_vector(F.col(features).cast("array<double>"))
-    rows = df.select(v.alias("v"), cluster).groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("v")).alias("mean")).collect()
+    rows = df.select(v.alias("_v"), cluster).groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("_v")).alias("mean")).collect()
     return {r[cluster]: (r["n"], np.array(r["mean"].toArray())) for r in sorted(rows, key=lambda r: r[cluster])}
 
 
@@ -336,8 +343,8 @@ def squared_silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
     vector = F.col(features).cast("array<double>")
     norm = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)
     rows = df.select(
-        array_to_vector(vector).alias("v"), norm.alias("q"), cluster).groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("v")).alias("mean"), F.avg("q").alias("q")).collect()
+        array_to_vector(vector).alias("_v"), norm.alias("q"), cluster).groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("_v")).alias("mean"), F.avg("q").alias("q")).collect()
     stats = {r[cluster]: (r["n"], [float(x) for x in r["mean"]], r["q"]) for r in rows}
 
     def to_cluster(c) -> Column:

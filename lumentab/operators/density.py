@@ -19,7 +19,7 @@ from lumentab.session import cut_lineage
 
 NOISE = -1
 # Sub-cells per side of a cell in the adjacency test.
-FINE = 8
+FINE = 4
 
 
 def _star_round(star: DataFrame) -> DataFrame:
@@ -78,20 +78,20 @@ def _cell_edges(core: DataFrame, dims: Sequence[str], eps: float, reach: int) ->
     core = core.withColumns({f: F.floor(F.col(d) / F.lit(side)).cast("long") for f, d in zip(fine, dims)})
     boxes = core.groupBy(*cells, "node", *fine).agg(
         *[F.min(d).alias(f"{d}_lo") for d in dims], *[F.max(d).alias(f"{d}_hi") for d in dims])
-    pairs = (
+    near_boxes = (
         cell_join(boxes, boxes, dims, reach).where(F.col("_q_node") < F.col("node"))
         .where(_box_gap(dims, far=False) <= limit)
-        .withColumn("sure", _box_gap(dims, far=True) <= limit)
         .withColumnsRenamed({"_q_node": "a", "node": "b"})
     )
-    pairs = cut_lineage(pairs.select("a", "b", "sure", *[f"_q_{f}" for f in fine], *fine))
-    sure = pairs.where("sure").select("a", "b").distinct()
-    open_pairs = pairs.where("not sure").join(sure, ["a", "b"], "left_anti")
+    verdict = cut_lineage(
+        near_boxes.groupBy("a", "b").agg(F.max(_box_gap(dims, far=True) <= limit).alias("sure")))
+    sure, unsure = verdict.where("sure").select("a", "b"), verdict.where("not sure").select("a", "b")
     left = core.select(F.col("node").alias("a"), *[F.col(f).alias(f"_q_{f}") for f in fine],
                        *[F.col(d).alias(f"_q_{d}") for d in dims])
     right = core.select(F.col("node").alias("b"), *fine, *dims)
+    open_boxes = near_boxes.join(unsure, ["a", "b"]).select("a", "b", *[f"_q_{f}" for f in fine], *fine)
     tested = (
-        open_pairs.join(left, ["a", *[f"_q_{f}" for f in fine]]).join(right, ["b", *fine])
+        open_boxes.join(left, ["a", *[f"_q_{f}" for f in fine]]).join(right, ["b", *fine])
         .where(gap_squared(dims) <= limit).select("a", "b").distinct()
     )
     return sure.unionByName(tested)

@@ -15,7 +15,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumentab.functions.columns import squared_distance_to
-from lumentab.operators.order import SHIP_ROWS
+from lumentab.operators.ship import SHIP_ROWS
 from lumentab.session import cut_lineage
 
 # A cell with more sites than this is split over several tasks.
@@ -85,7 +85,9 @@ def cell_join(queries: DataFrame, sites: DataFrame, dims: Sequence[str], reach:
         sites = sites.join(hot, cells, "left").withColumn(
             "_salt", F.pmod(F.xxhash64(*dims), one).cast("int")).drop("_salts")
         keys.append("_salt")
-    return asked.join(sites, keys).drop("_salt")
+    # The repeated queries stream past a hash table of the sites of one shuffle partition: they are
+    # many times the sites, and sorting them for a merge join would cost more than the join itself.
+    return asked.join(sites.hint("shuffle_hash"), keys).drop("_salt")
 
 
 def _site_keys(dims: Sequence[str]) -> list[str]:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.operators import order
+from lumentab.operators.reshape import stack_cells
 
 # Fixed value: double precision spacing used to clip probabilities in the log loss.
 PROBABILITY_EPS = 2.220446049250313e-16
@@ -104,12 +105,10 @@ def ranking_metrics(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -
 
 def one_vs_rest(df: DataFrame, label: str, classes: Sequence, score_of) -> DataFrame:
     """Long table (class, y, score) that ranks every class against the rest; one scan."""
-    rows = [
-        F.struct(F.lit(c).alias("class"), (F.col(label) == F.lit(c)).cast("int").alias("y"),
-                 score_of(c).cast("double").alias("score"))
+    return stack_cells(df, [], [
+        {"class": F.lit(c), "y": (F.col(label) == F.lit(c)).cast("int"), "score": score_of(c).cast("double")}
         for c in classes
-    ]
-    return df.select(F.inline(F.array(*rows)))
+    ])
 
 
 def probability_metrics(y: str, p: str) -> dict[str, Column]:

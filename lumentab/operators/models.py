@@ -65,15 +65,16 @@ def logistic(df: DataFrame, label: str, c: float = 1.0, penalty: str = "l2", mul
 def linear(df: DataFrame, label: str, alpha: float = 0.0, penalty: str = "ridge", max_iter: int = 1000) -> Model:
     """Ridge or lasso with the usual ``alpha``; 0 gives ordinary least squares.
 
-    The solver scales the label, so the ridge term needs alpha * sd(y) / n.
+    The normal solver (one pass over the rows) scales the label by its deviation over n, so
+    the ridge term needs alpha * sd(y) / n.
     """
     reg = alpha
     if alpha and penalty == "ridge":
-        n, sd = df.agg(F.count(label), F.stddev_samp(label)).first()
+        n, sd = df.agg(F.count(label), F.stddev_pop(label)).first()
         reg = alpha * sd / n
     return LinearRegression(
         labelCol=label, regParam=reg, elasticNetParam=1.0 if penalty == "lasso" else 0.0, standardization=False,
-        maxIter=max_iter, solver="auto",
+        maxIter=max_iter, solver="normal",
     ).fit(df)
 
 

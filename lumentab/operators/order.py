@@ -14,12 +14,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from lumentab.operators.reshape import name_of, stack_cells
+from lumentab.operators.ship import ship_if_short
 from lumentab.session import shuffle_width
 
 CUT = "_cut"
 MIN_CUTS, MAX_CUTS = 64, 4096
-# A table this short is shipped to every task; a longer one goes through a shuffle join.
-SHIP_ROWS = 100_000
 # So few values fit in the buffer of one aggregate; larger tables are cut.
 SMALL_ROWS = 100_000
 SAMPLE_STEP = 16
@@ -85,10 +85,20 @@ def with_cut(df: DataFrame, name: str, points: Sequence, out: str = CUT) -> Data
                 ).otherwise(at),
             ),
         )
-    edges = [float("-inf"), *points, float("inf")]
-    as_double = df.withColumn("_value", F.col(name).cast("double"))
-    cutter = Bucketizer(splits=edges, inputCol="_value", outputCol=out, handleInvalid="keep")
-    return cutter.transform(as_double).withColumn(out, F.col(out).cast("int")).drop("_value")
+    return _with_number_cuts(df, {name: points}, [out])
+
+
+def _with_number_cuts(df: DataFrame, points: Mapping[str, Sequence[float]], outs: Sequence[str]) -> DataFrame:
+    """Cut numbers of several numeric columns by one binary-search transformer."""
+    raw = [f"_value{i}" for i in range(len(outs))]
+    wide = df.select("*", *[F.col(c).cast("double").alias(r) for c, r in zip(points, raw)])
+    cutter = Bucketizer(
+        # The transformer wants an inner cut point; for a column without values any will do.
+        splitsArray=[[float("-inf"), *(p or [0.0]), float("inf")] for p in points.values()],
+        inputCols=raw, outputCols=list(outs), handleInvalid="keep",
+    )
+    cut = cutter.transform(wide)
+    return cut.select(*df.columns, *[F.col(o).cast("int").alias(o) for o in outs])
 
 
 def running_totals(
@@ -186,22 +196,12 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", ties: Sequence[str] =
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], points: Mapping[str, Sequence]) -> DataFrame:
-    """Rows (group, column, value, cut) for several numeric columns of one scan."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols if c not in by])
-    for i, c in enumerate(cols):
-        wide = with_cut(wide, c, points[c], f"_cut{i}")
-    return wide.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
-                             F.col(f"_cut{i}").alias(CUT))
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ),
-    ).where(F.col("value").isNotNull())
+    """Rows (group, column number, value, cut) for several numeric columns of one scan."""
+    wide = df.select(*by, *[c for c in cols if c not in by])
+    wide = _with_number_cuts(wide, {c: points[c] for c in cols}, [f"_cut{i}" for i in range(len(cols))])
+    return stack_cells(wide, by, [
+        {"column": F.lit(i), "value": F.col(c).cast("double"), CUT: F.col(f"_cut{i}")} for i, c in enumerate(cols)
+    ]).where(F.col("value").isNotNull())
 
 
 def quantiles(
@@ -236,10 +236,7 @@ def quantiles(
     any_hit = hit[0]
     for h in hit[1:]:
         any_hit = any_hit | h
-    needed = counts.where(any_hit).select(*by, "column", CUT, "_before", "n")
-    head = needed.limit(SHIP_ROWS + 1).collect()
-    if len(head) <= SHIP_ROWS:  # size checked: ship it, the rows need no shuffle for this join
-        needed = F.broadcast(df.sparkSession.createDataFrame(head, needed.schema))
+    needed = ship_if_short(counts.where(any_hit).select(*by, "column", CUT, "_before", "n"))
     cells = (
         long.join(needed, [*by, "column", CUT])
         .groupBy(*by, "column", CUT, "_before", "n", "value").agg(F.count(F.lit(1)).alias("_size"))
@@ -259,7 +256,7 @@ def quantiles(
     )
     return picked.select(
         *by,
-        "column",
+        name_of("column", cols).alias("column"),
         "n",
         *[
             (
@@ -297,10 +294,11 @@ def modes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), dtype: str
     Counts are taken per (group, column, value) first, so no task ever holds a whole group.
     """
     by = list(by)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(dtype).alias("value")) for c in cols])
+    cells = [{"column": F.lit(i), "value": F.col(c).cast(dtype)} for i, c in enumerate(cols)]
     return (
-        df.select(*by, F.inline(cells)).where(F.col("value").isNotNull())
+        stack_cells(df, by, cells).where(F.col("value").isNotNull())
         .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy(*by, "column")
         .agg(F.min_by("value", F.struct(-F.col("_n"), F.col("value"))).alias("mode"))
+        .withColumn("column", name_of("column", cols))
     )

@@ -46,7 +46,8 @@ def with_returns(df: DataFrame, ids: Sequence[str], time: str, prices: Sequence[
         ret = F.col(p) / F.nullif(F.col(f"_{p}_prev"), F.lit(0.0)) - 1
         df = df.withColumns({
             f"{p}_ret": F.coalesce(ret, F.lit(0.0)),
-            f"{p}_logret": F.coalesce(F.log1p(ret), F.lit(0.0)),
+            # log1p is NULL at -1 (a fall to zero), where the limit is minus infinity.
+            f"{p}_logret": F.when(ret == -1, F.lit(float("-inf"))).otherwise(F.coalesce(F.log1p(ret), F.lit(0.0))),
         }).drop(f"_{p}_prev")
     return df
 

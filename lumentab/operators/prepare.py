@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lumentab.functions.columns import clip, strip, unbiased_skewness
 from lumentab.operators import order
 from lumentab.operators.profile import any_true, stats_by_column
+from lumentab.operators.reshape import stack_cells
+from lumentab.operators.ship import ship_if_short
 
 IQR_FACTOR = 1.5
 MAX_LEVELS = 1000
@@ -51,9 +53,9 @@ def fill(df: DataFrame, values: Mapping) -> DataFrame:
 def fill_from_groups(df: DataFrame, by: Sequence[str], cols: Sequence[str], fallback: bool = True) -> DataFrame:
     """NULL -> median of the group -> median of the column.
 
-    Group medians are computed by cuts (no group sits in one task) and joined back; the
-    planner broadcasts them when their measured size allows it, otherwise the adaptive
-    skew join splits hot groups.
+    Group medians are computed by cuts (no group sits in one task) and joined back: as a
+    broadcast if their measured size allows it, otherwise the adaptive skew join splits hot
+    groups.
     """
     by = list(by)
     medians = (
@@ -62,7 +64,7 @@ def fill_from_groups(df: DataFrame, by: Sequence[str], cols: Sequence[str], fall
         .agg(*[F.max(F.when(F.col("column") == c, F.col("q0"))).alias(f"_{c}_median") for c in cols])
     )
     overall = fit_medians(df, cols) if fallback else {}
-    joined = df.join(medians, by, "left")
+    joined = df.join(ship_if_short(medians), by, "left")
     out = joined.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"_{c}_median"), F.lit(overall.get(c)).cast("double")) for c in cols}
     )
@@ -216,9 +218,9 @@ def zscore_flags(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> Data
 
 def fit_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Sorted non-null levels per column; a column with too many levels is refused, never cut."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
+    cells = [{"column": F.lit(c), "level": F.col(c).cast("string")} for c in cols]
     rows = (
-        df.select(F.inline(cells)).where(F.col("level").isNotNull()).distinct()
+        stack_cells(df, [], cells).where(F.col("level").isNotNull()).distinct()
         .limit(limit * len(cols) + 1).collect()
     )
     levels = {c: sorted(r["level"] for r in rows if r["column"] == c) for c in cols}
@@ -247,7 +249,7 @@ def level_codes(df: DataFrame, c: str, out: str = "code") -> DataFrame:
 
 def encode_levels(df: DataFrame, codes: DataFrame, c: str, out: str = "code", unknown: int | None = None) -> DataFrame:
     """Attach a fitted code table; values it lacks get ``unknown`` (NULL if not given)."""
-    joined = df.join(codes, c, "left")
+    joined = df.join(ship_if_short(codes), c, "left")
     return joined if unknown is None else joined.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 
@@ -257,8 +259,8 @@ def bit_codes(df: DataFrame, c: str, key: str, out: str) -> tuple[DataFrame, int
     Returns the encoded rows and the number of bits.
     """
     first = df.groupBy(c).agg(F.min(key).alias("_first"))
-    codes = order.dense_index(first, "_first", f"{out}_code").drop("_first")
-    n = first.count()
+    codes = ship_if_short(order.dense_index(first, "_first", f"{out}_code").drop("_first"))
+    n = codes.count()
     bits = max(1, math.ceil(math.log2(n))) if n > 1 else 1
     coded = df.join(codes, c)
     return coded.withColumns(
@@ -277,18 +279,15 @@ def multi_hot(df: DataFrame, c: str, key: str, separator: str, prefix: str,
 
 
 def fold_rare(df: DataFrame, c: str, min_count: int, other: str = "Rare") -> DataFrame:
-    """Replace values seen fewer than ``min_count`` times.
-
-    Only the counts table takes part in the shuffle of values; the planner broadcasts it
-    when small.
-    """
+    """Replace values seen fewer than ``min_count`` times."""
     counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-    return df.join(counts, c, "left").withColumn(
-        c, F.when(F.col("_n") < min_count, F.lit(other)).otherwise(F.col(c))
+    rare = ship_if_short(counts.where(F.col("_n") < min_count))
+    return df.join(rare, c, "left").withColumn(
+        c, F.when(F.col("_n").isNotNull(), F.lit(other)).otherwise(F.col(c))
     ).select(*df.columns)
 
 
 def drop_rare(df: DataFrame, c: str, min_count: int = 2) -> DataFrame:
     """Drop rows whose class is seen fewer than ``min_count`` times."""
     rare = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < min_count).select(c)
-    return df.join(rare, c, "left_anti")
+    return df.join(ship_if_short(rare), c, "left_anti")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lumentab.operators import order
+from lumentab.operators.reshape import name_of, stack_cells
+from lumentab.operators.ship import ship_if_short
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -103,10 +105,11 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Values are de-duplicated per (column, value) before they are counted, so that one
     column is counted by many tasks instead of one.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    cells = [{"column": F.lit(i), "value": F.col(c).cast("string")} for i, c in enumerate(cols)]
     return (
-        df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
+        stack_cells(df, [], cells).where(F.col("value").isNotNull()).distinct()
         .groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+        .withColumn("column", name_of("column", cols))
     )
 
 
@@ -186,7 +189,7 @@ def _apply_limits(df: DataFrame, c: str, q: DataFrame, by: list[str], whisker: f
     value = F.col(c).cast("double")
     inside = (value >= low) & (value <= high)
     if by:
-        joined = df.join(q, by)
+        joined = df.join(ship_if_short(q), by)
     else:
         r = q.first()
         joined = df.select("*", *[F.lit(r[n] if r else None).cast("double").alias(n) for n in ("q1", "median", "q3")])

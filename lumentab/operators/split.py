@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lumentab.operators.order import SHIP_ROWS
+from lumentab.operators.ship import ship_if_short
 
 SLOT, HASH = "_slot", "_hash"
 
@@ -52,14 +52,11 @@ def hash_split(df: DataFrame, key: str, fractions: Sequence[float], names: Seque
         ]
         return reduce(lambda a, b: a + b, passed)
 
-    table = _slots(rows, by).select(
+    table = ship_if_short(_slots(rows, by).select(
         *by, SLOT, "_before", "_total",
         part(F.col("_before")).alias("_first"),
         part(F.col("_before") + F.col("_n") - 1).alias("_last"),
-    )
-    head = table.limit(SHIP_ROWS + 1).collect()
-    if len(head) <= SHIP_ROWS:  # size checked
-        table = F.broadcast(df.sparkSession.createDataFrame(head, table.schema))
+    ))
     placed = _join(rows, table, [*by, SLOT])
     labels = F.array(*[F.lit(n) for n in names])
     settled = placed.where("_first = _last").withColumn(out, F.get(labels, F.col("_first")))
@@ -86,7 +83,7 @@ def fold_numbers(df: DataFrame, key: str, k: int, label: str | None = None, seed
     by = [label] if label else []
     rows = _hashed(df, key, seed)
     rank = F.row_number().over(Window.partitionBy(*by, SLOT).orderBy(HASH, key))
-    table = _slots(rows, by).select(*by, SLOT, "_before")
+    table = ship_if_short(_slots(rows, by).select(*by, SLOT, "_before"))
     placed = _join(rows.withColumn("_rank", rank), table, [*by, SLOT])
     return placed.withColumn(
         out, F.pmod(F.col("_before") + F.col("_rank") - 1, F.lit(k)).cast("int")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lumentab.functions.columns import normal_two_sided_p
 from lumentab.operators import order
+from lumentab.operators.reshape import name_of, stack_cells
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -55,8 +56,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     U belongs to class 0; z uses the tie and continuity corrections.  Ranks come from the
     distinct values, so ties cost nothing and no column is sorted by one task.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(label, F.inline(cells))
+    long = stack_cells(df, [label], [{"column": F.lit(i), "value": F.col(c).cast("double")} for i, c in enumerate(cols)])
     totals = order.running_totals(
         long, "value",
         {"n": F.count(F.lit(1)), "zeros": F.count_if(F.col(label) == 0), "ones": F.count_if(F.col(label) == 1)},
@@ -78,7 +78,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         .where((F.col("n0") > 1) & (F.col("n1") > 1))
         .withColumn("u", F.col("rank_sum") - F.col("n0") * (F.col("n0") + 1) / 2.0)
         .withColumn("z", F.signum(d) * F.greatest(F.abs(d) - 0.5, F.lit(0.0)) / F.nullif(sd, F.lit(0.0)))
-        .select("column", "u", "z", normal_two_sided_p(F.col("z")).alias("p"))
+        .select(name_of("column", cols).alias("column"), "u", "z", normal_two_sided_p(F.col("z")).alias("p"))
     )
 
 
