@@ -78,18 +78,25 @@ def _cell_edges(core: DataFrame, dims: Sequence[str], eps: float, reach: int) ->
     core = core.withColumns({f: F.floor(F.col(d) / F.lit(side)).cast("long") for f, d in zip(fine, dims)})
     boxes = core.groupBy(*cells, "node", *fine).agg(
         *[F.min(d).alias(f"{d}_lo") for d in dims], *[F.max(d).alias(f"{d}_hi") for d in dims])
-    near_boxes = (
-        cell_join(boxes, boxes, dims, reach).where(F.col("_q_node") < F.col("node"))
-        .where(_box_gap(dims, far=False) <= limit)
-        .withColumnsRenamed({"_q_node": "a", "node": "b"})
-    )
+
+    def near(some: DataFrame) -> DataFrame:
+        """Box pairs of different cells that may hold two near points."""
+        return (
+            cell_join(some, some, dims, reach).where(F.col("_q_node") < F.col("node"))
+            .where(_box_gap(dims, far=False) <= limit)
+            .withColumnsRenamed({"_q_node": "a", "node": "b"})
+        )
+
     verdict = cut_lineage(
-        near_boxes.groupBy("a", "b").agg(F.max(_box_gap(dims, far=True) <= limit).alias("sure")))
+        near(boxes).groupBy("a", "b").agg(F.max(_box_gap(dims, far=True) <= limit).alias("sure")))
     sure, unsure = verdict.where("sure").select("a", "b"), verdict.where("not sure").select("a", "b")
+    if unsure.isEmpty():
+        return sure
+    ends = unsure.select(F.col("a").alias("node")).unionByName(unsure.select(F.col("b").alias("node"))).distinct()
     left = core.select(F.col("node").alias("a"), *[F.col(f).alias(f"_q_{f}") for f in fine],
                        *[F.col(d).alias(f"_q_{d}") for d in dims])
     right = core.select(F.col("node").alias("b"), *fine, *dims)
-    open_boxes = near_boxes.join(unsure, ["a", "b"]).select("a", "b", *[f"_q_{f}" for f in fine], *fine)
+    open_boxes = near(boxes.join(ends, "node", "left_semi")).join(unsure, ["a", "b"]).select("a", "b", *[f"_q_{f}" for f in fine], *fine)
     tested = (
         open_boxes.join(left, ["a", *[f"_q_{f}" for f in fine]]).join(right, ["b", *fine])
         .where(gap_squared(dims) <= limit).select("a", "b").distinct()

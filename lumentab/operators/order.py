@@ -167,9 +167,10 @@ def _running_totals_whole(df: DataFrame, value: str, sums: Mapping[str, Column],
     )
 
 
-def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (),
+                  points: Sequence | None = None) -> DataFrame:
     """Rank of every distinct value, 1-based, ties sharing the mean rank."""
-    return running_totals(df, value, {"n": F.count(F.lit(1))}, by).withColumn(
+    return running_totals(df, value, {"n": F.count(F.lit(1))}, by, points=points).withColumn(
         "rank", F.col("n_before") + (F.col("n") + 1) / 2.0
     )
 

@@ -92,12 +92,18 @@ def oriented(c: Column, higher_is_better: bool) -> Column:
 def score_rows(df: DataFrame, unit: str, indicators: Sequence[Indicator], impute: bool = True) -> DataFrame:
     """Group-median fill, min-max in the good direction, weighted sum as ``score``."""
     names = [i.name for i in indicators]
-    if impute:
-        filled = prepare.fill_from_groups(df, [unit], names, fallback=False)
-        filled = prepare.fill(filled, prepare.fit_medians(filled, names))
-    else:
-        filled = df
-    model = prepare.fit_minmax(filled, names)
+    filled = prepare.fill_from_groups(df, [unit], names, fallback=False) if impute else df
+    # The overall median lies between the extremes, so one aggregate serves the scaling and
+    # tells which columns still have gaps (a unit without any value).
+    row = filled.agg(
+        *[F.min(n).cast("double").alias(f"{n}|lo") for n in names],
+        *[F.max(n).cast("double").alias(f"{n}|hi") for n in names],
+        *[F.count_if(F.col(n).isNull()).alias(f"{n}|gaps") for n in names],
+    ).first()
+    gaps = [n for n in names if row[f"{n}|gaps"]]
+    if impute and gaps:
+        filled = prepare.fill(filled, prepare.fit_medians(filled, gaps))
+    model = prepare.minmax_model({n: (row[f"{n}|lo"], row[f"{n}|hi"]) for n in names})
     out = filled.withColumns({
         f"{i.name}_norm": oriented(model.scaled(i.name), i.higher_is_better) for i in indicators
     })

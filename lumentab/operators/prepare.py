@@ -118,7 +118,12 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> AffineModel:
     rows = stats_by_column(
         df, cols, {"lo": lambda c: F.min(c).cast("double"), "hi": lambda c: F.max(c).cast("double")}
     ).collect()
-    return _model({r["column"]: (r["lo"], None if r["hi"] is None else r["hi"] - r["lo"]) for r in rows})
+    return minmax_model({r["column"]: (r["lo"], r["hi"]) for r in rows})
+
+
+def minmax_model(extremes: Mapping[str, tuple]) -> AffineModel:
+    """The [0, 1] model of known (lowest, highest) values."""
+    return _model({c: (lo, None if hi is None else hi - lo) for c, (lo, hi) in extremes.items()})
 
 
 def fit_robust(df: DataFrame, cols: Sequence[str]) -> AffineModel:

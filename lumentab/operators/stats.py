@@ -35,8 +35,9 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     row per distinct value, so a value shared by a third of the rows is one row on that side.
     """
     ranked = df.select(*cols)
+    points = order.splitters(ranked, cols)
     for c in cols:
-        ranks = order.average_ranks(df, c).select(c, F.col("rank").alias(f"_{c}_rank"))
+        ranks = order.average_ranks(df, c, points=points[c]).select(c, F.col("rank").alias(f"_{c}_rank"))
         ranked = ranked.join(ranks, c).drop(c).withColumnRenamed(f"_{c}_rank", f"{c}#")
     named = ranked.select(*[F.col(f"`{c}#`").alias(c) for c in cols])
     return pearson_pairs(named, cols)
