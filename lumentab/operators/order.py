@@ -9,13 +9,13 @@ and a group that holds a third of all rows is still spread over many cuts.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lumentab.operators.reshape import name_of, stack_cells
-from lumentab.operators.ship import ship_if_short
+from lumentab.operators.ship import SHIP_ROWS, ship_if_short
 from lumentab.session import shuffle_width
 
 CUT = "_cut"
@@ -190,12 +190,35 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", ties: Sequence[str] =
     inside = Window.partitionBy(CUT).orderBy(key, *ties)
     return (
         cells.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, CUT)
+        .join(F.broadcast(offsets), CUT)  # at most MAX_CUTS + 1 rows
         .withColumn(out, (F.col("_offset") + F.col("_row") - 1).cast("long"))
         .drop(CUT, "_row", "_offset")
     )
 
 
+def rows_at(df: DataFrame, key: str, positions_of: Callable[[int], Sequence[int]]) -> DataFrame:
+    """Rows at the given 0-based positions in ascending order of ``key`` (unique).
+
+    ``positions_of`` gets the number of rows.  Counts per cut (a few thousand numbers) locate
+    the positions; only the cuts that hold one are shuffled and ordered.
+    """
+    cells = with_cut(df, key, splitters(df, [key])[key])
+    counts = sorted((r[CUT], r["n"]) for r in cells.groupBy(CUT).agg(F.count(F.lit(1)).alias("n")).collect())
+    wanted = sorted(set(positions_of(sum(n for _, n in counts))))
+    found, start, i = [], 0, 0
+    for cut, n in counts:
+        while i < len(wanted) and wanted[i] < start + n:
+            found.append((cut, wanted[i] - start + 1))
+            i += 1
+        start += n
+    places = df.sparkSession.createDataFrame(found, f"{CUT} int, _row int")
+    if len(found) <= SHIP_ROWS:
+        places = F.broadcast(places)
+    held = cells.where(F.col(CUT).isin(sorted({c for c, _ in found})))
+    ranked = held.withColumn("_row", F.row_number().over(Window.partitionBy(CUT).orderBy(key)))
+    return ranked.join(places, [CUT, "_row"]).select(*df.columns)
+
+
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], points: Mapping[str, Sequence]) -> DataFrame:
     """Rows (group, column number, value, cut) for several numeric columns of one scan."""
     wide = df.select(*by, *[c for c in cols if c not in by])

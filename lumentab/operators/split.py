@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lumentab.operators.order import rows_at
 from lumentab.operators.ship import ship_if_short
 
 SLOT, HASH = "_slot", "_hash"
@@ -101,11 +102,10 @@ def time_split(df: DataFrame, time: str, limits: Sequence, names: Sequence[str],
 
 def strided_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """n rows evenly spread over the table in key order, first and last row included."""
-    from lumentab.operators.order import dense_index
-
-    indexed = dense_index(df, key, "_idx")
-    total = df.count()
-    if total <= n:
-        return indexed.drop("_idx")
-    step = F.ceil(F.col("_idx") * (n - 1) / F.lit(float(total - 1)) - F.lit(1e-9))
-    return indexed.where(F.floor(step * (total - 1) / F.lit(float(n - 1)) + F.lit(1e-9)) == F.col("_idx")).drop("_idx")
+
+    def positions(total: int) -> list[int]:
+        if total <= n:
+            return list(range(total))
+        return [i * (total - 1) // max(n - 1, 1) for i in range(n)]
+
+    return rows_at(df, key, positions)

@@ -138,7 +138,7 @@ def test_folds_are_balanced(frame):
 
 
 @pytest.mark.parametrize("n", [2, 7, 499, 500, 900])
-def test_strided_sample(frame, n):
+def test_strided_sample(frame, n, path):
     _, df = frame
     got = sorted(r["id"] for r in split.strided_sample(df, "id", n).collect())
     want = sorted(set(i * 499 // (n - 1) for i in range(n)))
