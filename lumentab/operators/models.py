@@ -179,7 +179,7 @@ def holdout_search(train: DataFrame, valid: DataFrame, label: str, make: Callabl
 
     pool = ThreadPool(min(parallelism, len(settings)))
     try:
-        found = pool.map(inheritable_thread_target(run), settings)
+        found = pool.map(inheritable_thread_target(train.sparkSession)(run), settings)
     finally:
         pool.close()
     order = sorted(range(len(found)), key=lambda i: (-found[i][1][1], found[i][1][3], i))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumentab.functions.columns import cut
 from lumentab.operators import order, prepare, profile
+from lumentab.operators.ship import join_with_nulls
 
 
 def previous_value(df: DataFrame, ids: Sequence[str], time: str, value: str, out: str,
@@ -27,10 +28,9 @@ def previous_value(df: DataFrame, ids: Sequence[str], time: str, value: str, out
     )
     along = Window.partitionBy(*(ids or [F.lit(0)])).orderBy("_period")
     carried = last.select(*ids, "_period", F.lag("_last").over(along).alias("_carried"))
+    numbered = rows.withColumn("_row", F.row_number().over(inside)).withColumn("_prev", F.lag(value).over(inside))
     return (
-        rows.withColumn("_row", F.row_number().over(inside))
-        .withColumn("_prev", F.lag(value).over(inside))
-        .join(carried, [*ids, "_period"])
+        join_with_nulls(numbered, carried, [*ids, "_period"])
         .withColumn(out, F.when(F.col("_row") == 1, F.col("_carried")).otherwise(F.col("_prev")))
         .select(*df.columns, out)
     )

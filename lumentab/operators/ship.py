@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 # A table this short is shipped to every task; a longer one goes through a shuffle join.
@@ -19,3 +22,10 @@ def ship_if_short(table: DataFrame) -> DataFrame:
     if len(head) > SHIP_ROWS:
         return table
     return F.broadcast(table.sparkSession.createDataFrame(head, table.schema))
+
+
+def join_with_nulls(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join in which a NULL key matches a NULL key, so no row is lost."""
+    right = table.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in table.columns])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return rows.join(right, on).drop(*[f"_r_{k}" for k in keys])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumentab.operators.order import rows_at
-from lumentab.operators.ship import ship_if_short
+from lumentab.operators.ship import join_with_nulls, ship_if_short
 
 SLOT, HASH = "_slot", "_hash"
 
@@ -29,13 +29,6 @@ def _slots(rows: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _join(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join that also matches NULL classes."""
-    right = table.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in table.columns])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return rows.join(right, on).drop(*[f"_r_{k}" for k in keys])
-
-
 def hash_split(df: DataFrame, key: str, fractions: Sequence[float], names: Sequence[str],
                by: Sequence[str] = (), seed: int = 42, out: str = "split") -> DataFrame:
     """Split with exact sizes ``floor(cumulative fraction * n)`` per class.
@@ -58,7 +51,7 @@ def hash_split(df: DataFrame, key: str, fractions: Sequence[float], names: Seque
         part(F.col("_before")).alias("_first"),
         part(F.col("_before") + F.col("_n") - 1).alias("_last"),
     ))
-    placed = _join(rows, table, [*by, SLOT])
+    placed = join_with_nulls(rows, table, [*by, SLOT])
     labels = F.array(*[F.lit(n) for n in names])
     settled = placed.where("_first = _last").withColumn(out, F.get(labels, F.col("_first")))
     rank = F.row_number().over(Window.partitionBy(*by, SLOT).orderBy(HASH, key))
@@ -85,7 +78,7 @@ def fold_numbers(df: DataFrame, key: str, k: int, label: str | None = None, seed
     rows = _hashed(df, key, seed)
     rank = F.row_number().over(Window.partitionBy(*by, SLOT).orderBy(HASH, key))
     table = ship_if_short(_slots(rows, by).select(*by, SLOT, "_before"))
-    placed = _join(rows.withColumn("_rank", rank), table, [*by, SLOT])
+    placed = join_with_nulls(rows.withColumn("_rank", rank), table, [*by, SLOT])
     return placed.withColumn(
         out, F.pmod(F.col("_before") + F.col("_rank") - 1, F.lit(k)).cast("int")
     ).select(*df.columns, out)

@@ -154,6 +154,12 @@ def test_returns_carry_over_periods(spark):
     np.testing.assert_allclose(got["p_logret"], np.log1p(want))
 
 
+def test_returns_keep_rows_without_time_or_identifier(spark):
+    rows = [(1, "2024-01-01 00:00:00", 2.0), (1, None, 4.0), (None, "2024-01-01 00:00:00", 8.0)]
+    df = spark.createDataFrame(rows, "u int, t string, p double").withColumn("t", F.to_timestamp("t"))
+    assert panel.with_returns(df, ["u"], "t", ["p"]).count() == 3
+
+
 def test_two_period_rule(spark):
     df = spark.createDataFrame([(1, 1, -1.0), (1, 2, -2.0), (1, 3, None), (1, 4, -1.0), (1, 5, 9.0)], "u int, y int, v double")
     got = panel.two_period_rule(df, ["u"], "y", "v", [F.col("v") > 5]).orderBy("y").collect()
