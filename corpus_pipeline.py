@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentab.llm import decontaminate, ngramjoin, quality
+from lumentab.llm import dac, decontaminate, mixing, ngramjoin, quality
+from lumentab.llm.ship_code import ship_code
 from lumentab.llm.store import shared_folder
 
 
@@ -27,10 +28,22 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at temperature weights: every document once at least, those of small sources up to twice."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token file, read back: doc_id, start, n_tokens and ids_crc32 of every row of the mixture."""
+    return dac.token_file(docs)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
     ("ngram_jaccard_join", near_duplicate_stage),
     ("benchmark_decontamination", benchmark_stage),
+    ("mixing_sources", mixing_stage),
+    ("token_output", token_stage),
 ]
 
 #: Tokens and connected components have no SQL.
@@ -38,6 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         folder = shared_folder(spark, f"pipeline-{name}")

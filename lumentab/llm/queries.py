@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from textwrap import dedent
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from lumentab.llm import decontaminate, ngramjoin, quality
+from lumentab.llm import dac, decontaminate, language, licenses, mixing, ngramjoin, quality, secret_scan, templates, tokencount
+from lumentab.llm.ship_code import ship_code
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -25,6 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,11 +52,101 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op5_quality")
+@query("op2_extract")
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    """Matches and the text between them, their lengths added up to offsets."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    parts, kinds = [], []
+    for n, rule in enumerate(secret_scan.RULES):
+        kinds.append(rule.kind)
+        parts.append(f"""
+            SELECT doc_id, {n} AS k, '{rule.kind}' AS kind, {rule.base} AS base,
+                   CAST(list_sum(list_transform(p[1:i], x -> len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> len(x))), 0) AS BIGINT) AS s, len(m[i]) AS size
+            FROM (SELECT doc_id, m, g, p, unnest(range(1, len(m) + 1)) AS i FROM (
+                    SELECT doc_id, regexp_extract_all(coalesce(text, ''), {quote(rule.pattern)}) AS m,
+                           regexp_extract_all(coalesce(text, ''), {quote(rule.pattern)}, {rule.group}) AS g,
+                           string_split_regex(coalesce(text, ''), {quote(rule.pattern)}) AS p FROM documents))
+            WHERE len(g[i]) >= {rule.least}""")
+    counts = ", ".join(f"count(s) FILTER (kind = '{k}') AS n_{k}" for k in kinds)
+    return f"""
+        WITH found AS ({" UNION ALL ".join(parts)})
+        SELECT doc_id, {counts},
+               sha256(coalesce(string_agg(kind || ':' || s || ':' || (s + size), ',' ORDER BY s, k) FILTER (base), '')) AS base_sha256,
+               coalesce(string_agg(kind || ':' || s || ':' || (s + size), ',' ORDER BY s, k), '') AS spans
+        FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op4_secrets", sql=_secrets_sql())
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality", sql=r"""
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+         lines AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines FROM (
+                     SELECT doc_id, l, count(*) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+                     WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id, l) GROUP BY doc_id),
+         win AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p:p + 7], ' ')) AS n FROM (
+                   SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
+         rep AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest(range(p, p + 8)) AS q FROM win WHERE n > 1) GROUP BY doc_id),
+         m AS (SELECT doc_id, source, len(w) AS n_words, coalesce(CAST(list_sum(list_transform(w, x -> len(x))) AS BIGINT), 0) AS word_chars,
+                      len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                      coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+         f AS (SELECT *, n_words < 20 AS r1, 100 * n_repeat_words > 30 * n_words AS r2, 10 * n_symbols > n_words AS r3,
+                      word_chars > 15 * n_words OR word_chars < 2 * n_words AS r4, 20 * n_dup_lines > n_words AS r5 FROM m),
+         rates AS (SELECT source, r, count(*) AS n, sum(CAST(bad AS INT)) AS k, avg(CAST(bad AS INT)) AS rate FROM (
+                     SELECT source, unnest([1, 2, 3, 4, 5]) AS r, unnest([r1, r2, r3, r4, r5]) AS bad FROM f WHERE source IS NOT NULL) GROUP BY ALL),
+         prior AS (SELECT r, avg(rate) AS mean, CASE WHEN var_pop(rate) > 0
+                     THEN least(greatest(avg(rate) * (1 - avg(rate)) / var_pop(rate) - 1, 1), 1e6) ELSE 1e6 END AS strength FROM rates GROUP BY r),
+         strict AS (SELECT DISTINCT source FROM rates JOIN prior USING (r) WHERE (k + mean * strength) / (n + strength) >= 0.5)
+    SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 OR r2 AS base_failed,
+           NOT (r1 OR r2) AND NOT ((r1 OR r2 OR r3 OR r4 OR r5) AND coalesce(source IN (FROM strict), false)) AS kept FROM f
+    """)
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-@query("op7_ngram_join")
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op7_ngram_join", sql=r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x20\x09-\x0D]+') AS w FROM documents),
+         sh AS (SELECT DISTINCT doc_id, hash(array_to_string(w[p:p + 3], ' ')) AS g FROM (
+                  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)),
+         n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+         link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM sh AS a JOIN sh AS b USING (g) JOIN n AS x ON x.doc_id = a.doc_id JOIN n AS y ON y.doc_id = b.doc_id
+                  WHERE a.doc_id <> b.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) GROUP BY a.doc_id, b.doc_id, x.n, y.n
+                  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+         reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT doc_id, b FROM reach JOIN link ON other = a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+    """)
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op8_licenses", sql=licenses.oracle())
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_file")
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.token_file(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
