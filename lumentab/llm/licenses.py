@@ -167,8 +167,8 @@ def oracle() -> str:
         last = f"s{n}"
     return rf"""
     WITH known(s, id) AS (VALUES {known}),
-         parts AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(lower(regexp_replace(coalesce(text, ''), '{ENDS}', chr(1), 'g')),
-                          '{BETWEEN}', ' ', 'g'), chr(1)), x -> trim(x)), x -> x <> '') AS p FROM documents),
+         parts AS (SELECT doc_id, [y for y in [trim(x) for x in string_split(regexp_replace(lower(regexp_replace(coalesce(text, ''), '{ENDS}', chr(1), 'g')),
+                          '{BETWEEN}', ' ', 'g'), chr(1))] if y <> ''] AS p FROM documents),
          found AS (SELECT doc_id, string_agg(id, ',' ORDER BY k) AS ids, count(*) AS n FROM (
                      SELECT doc_id, unnest(p) AS s, unnest(range(len(p))) AS k FROM parts) JOIN known USING (s) GROUP BY doc_id),
          seq AS (SELECT doc_id, '<' || replace(ids, ',', '><') || '>' AS rest, CAST([] AS VARCHAR[]) AS names FROM found),

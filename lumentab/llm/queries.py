@@ -70,7 +70,7 @@ def _secrets_sql() -> str:
         kinds.append(rule.kind)
         parts.append(f"""
             SELECT doc_id, {n} AS k, '{rule.kind}' AS kind, {rule.base} AS base,
-                   CAST(list_sum(list_transform(p[1:i], x -> len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> len(x))), 0) AS BIGINT) AS s, len(m[i]) AS size
+                   CAST(list_sum([len(x) for x in p[1:i]]) + coalesce(list_sum([len(x) for x in m[1:i - 1]]), 0) AS BIGINT) AS s, len(m[i]) AS size
             FROM (SELECT doc_id, m, g, p, unnest(range(1, len(m) + 1)) AS i FROM (
                     SELECT doc_id, regexp_extract_all(coalesce(text, ''), {quote(rule.pattern)}) AS m,
                            regexp_extract_all(coalesce(text, ''), {quote(rule.pattern)}, {rule.group}) AS g,
@@ -98,7 +98,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
          win AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p:p + 7], ' ')) AS n FROM (
                    SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
          rep AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest(range(p, p + 8)) AS q FROM win WHERE n > 1) GROUP BY doc_id),
-         m AS (SELECT doc_id, source, len(w) AS n_words, coalesce(CAST(list_sum(list_transform(w, x -> len(x))) AS BIGINT), 0) AS word_chars,
+         m AS (SELECT doc_id, source, len(w) AS n_words, coalesce(CAST(list_sum([len(x) for x in w]) AS BIGINT), 0) AS word_chars,
                       len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
                       coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
          f AS (SELECT *, n_words < 20 AS r1, 100 * n_repeat_words > 30 * n_words AS r2, 10 * n_symbols > n_words AS r3,

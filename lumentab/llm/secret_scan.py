@@ -168,8 +168,11 @@ def _placed(pairs: Column) -> Column:
 def _joined(found: list[tuple[int, Rule]]) -> Column:
     """kind:start:end of all spans, by start, then rule order."""
     names = F.array(*[F.lit(r.kind) for r in RULES])
-    every = reduce(lambda a, b: F.concat(a, b), [
-        F.transform(F.col(f"f_{r.kind}"), lambda x, n=n: F.struct(x["s"].alias("s"), F.lit(n).alias("n"), x["e"].alias("e"))) for n, r in found])
+
+    def numbered(n: int, rule: Rule) -> Column:
+        return F.transform(F.col(f"f_{rule.kind}"), lambda x: F.struct(x["s"].alias("s"), F.lit(n).alias("n"), x["e"].alias("e")))
+
+    every = reduce(lambda a, b: F.concat(a, b), [numbered(n, r) for n, r in found])
     return F.array_join(F.transform(F.array_sort(every), lambda x: F.concat_ws(
         ":", F.element_at(names, x["n"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
