@@ -7,26 +7,24 @@ driver and back as literals.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.functions.columns import squared_distance
 from lumentab.operators.distance import nearest_centre
+from lumentab.session import cut_lineage
 
 Centres = list[list[float]]
 # Radii and ratios of subtractive clustering.
 RADIUS, SUPPRESSION, ACCEPT_RATIO, REJECT_RATIO = 0.5, 1.5, 0.5, 0.15
-# Rows of the candidate table of subtractive clustering (M x M work).
-MAX_CANDIDATES = 2_000
 
 
 def vectors(df: DataFrame, features: str, out: str = "features") -> DataFrame:
@@ -221,81 +219,85 @@ def partition_sweep(df: DataFrame, features: str, key: str, cs: Sequence[int] =
 
 # ---------------------------------------------------------------- subtractive clustering
 
-def candidates(df: DataFrame, features: str, limit: int = MAX_CANDIDATES) -> tuple[DataFrame, float]:
-    """Weighted candidate points (point, weight) and the merge width.
+def _axes(dims: int) -> list[str]:
+    return [f"i{k}" for k in range(dims)]
 
-    Equal points merge (width 0: exact).  If more than ``limit`` distinct points remain, all
-    rows are merged into grid cells of growing width, each cell represented by its mean, so
-    no row is lost; the width tells how coarse the result is.
-    """
+
+def with_cells(df: DataFrame, features: str, dims: int, width: float) -> DataFrame:
+    """Rows of [0, 1]^dims with the numbers ``i0, i1, ...`` of their lattice cell; rows with a NULL coordinate have none."""
+    last = _lattice_size(width) - 1
     vector = F.col(features).cast("array<double>")
-    width, cell = 0.0, vector
-    while True:
-        merged = df.select(array_to_vector(vector).alias("_v"), cell.alias("cell")).groupBy("cell").agg(
-            Summarizer.mean(F.col("_v")).alias("mean"), F.count(F.lit(1)).alias("weight"))
-        if merged.limit(limit + 1).count() <= limit:
-            return merged.select(vector_to_array("mean").alias("point"), F.col("weight").cast("double")), width
-        width = width * 2 if width else 1 / 128
-        cell = F.transform(vector, lambda x: F.floor(x / F.lit(width)).cast("double"))  # noqa: B023
+    return df.withColumns({
+        c: F.least(F.floor(F.get(vector, F.lit(k)) / F.lit(width)), F.lit(last)).cast("int") for k, c in enumerate(_axes(dims))})
 
 
-def potentials(table: DataFrame, ra: float = RADIUS) -> DataFrame:
-    """Adds ``potential`` = sum of weight * exp(-4 d^2 / ra^2) over the candidate table.
+def _lattice_size(width: float) -> int:
+    """Cells along an axis."""
+    return max(1, math.ceil(1 / width - 1e-9))
 
-    The table is bounded by ``MAX_CANDIDATES``; every task gets all of it and works on a slice.
-    """
-    rows = table.collect()
-    points = np.array([r["point"] for r in rows])
-    weights = np.array([r["weight"] for r in rows])
-    alpha = 4.0 / (ra * ra)
 
-    def per_slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["point"].to_numpy())
-                gaps = ((x[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
-                yield batch.assign(potential=np.exp(-alpha * gaps) @ weights)
+def cell_centre(dims: int, width: float) -> Column:
+    return F.array(*[(F.col(c) + F.lit(0.5)) * F.lit(width) for c in _axes(dims)])
+
 
-    listed = table.sparkSession.createDataFrame(
-        [(list(map(float, p)), float(w)) for p, w in zip(points, weights)], "point array<double>, weight double")
-    return listed.mapInPandas(per_slice, "point array<double>, weight double, potential double")
+def lattice(df: DataFrame, features: str, dims: int, width: float) -> DataFrame:
+    """(i0, i1, ..., weight): the filled cells and their rows.  The caller states the width; it never adapts to the data."""
+    axes = _axes(dims)
+    return with_cells(df, features, dims, width).dropna(subset=axes).groupBy(*axes).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def subtractive_centres(df: DataFrame, features: str, ra: float = RADIUS, suppression: float = SUPPRESSION,
+def potentials(cells: DataFrame, dims: int, width: float, ra: float = RADIUS) -> DataFrame:
+    """``cells`` with ``potential``: the sum of weight * exp(-4 d^2 / ra^2) over all cells, d between cell centres.
+
+    The kernel is a product over the axes, so the sum is one pass per axis: each row spreads along the axis and
+    what arrives at a place is added up.  After a pass only places that some filled cell has are kept.  A pass has
+    at most (lattice places) x (cells of an axis) terms, whatever the number of rows.
+    """
+    axes = _axes(dims)
+    filled = cut_lineage(cells)
+    spread = filled.select(*axes, F.col("weight").alias("sum"))
+    scale = 4.0 * width * width / (ra * ra)
+    for k, axis in enumerate(axes):
+        to = F.explode(F.sequence(F.lit(0), F.lit(_lattice_size(width) - 1)))
+        moved = spread.withColumn("to", to).withColumn("gap", (F.col("to") - F.col(axis)).cast("double"))
+        share = F.col("sum") * F.exp(F.col("gap") * F.col("gap") * F.lit(-scale))
+        spread = moved.select(*[F.col("to").alias(c) if c == axis else F.col(c) for c in axes], share.alias("sum")).groupBy(
+            *axes).agg(F.sum("sum").alias("sum"))
+        spread = spread.join(filled.select(*axes[:k + 1]).distinct(), axes[:k + 1], "left_semi")
+    return filled.join(spread.withColumnRenamed("sum", "potential"), axes)
+
+
+def subtractive_centres(df: DataFrame, features: str, dims: int, width: float, ra: float = RADIUS, suppression: float = SUPPRESSION,
                         accept: float = ACCEPT_RATIO, reject: float = REJECT_RATIO, max_centres: int | None = None,
-                        strict: bool = False) -> tuple[Centres, list[float], float]:
-    """Centres, their potentials and the merge width, for rows scaled to [0, 1].
+                        strict: bool = False) -> tuple[Centres, list[float]]:
+    """Cell centres and their potentials, for rows of [0, 1]^dims on a lattice of the given width.
 
-    The strongest candidate is accepted above ``accept`` of the first potential, ends the
-    search below ``reject``, and in between must be far enough from the chosen centres.
-    ``strict`` uses > and < at the two limits instead of >= and <=.
+    A cell may become a centre if its share of the first potential is above ``accept``, or above ``reject`` and far
+    enough from every centre for the sum of share and distance (in radii) to reach 1.  Both only shrink as centres
+    come, so a cell that may not is never looked at again; the strongest cell that may is one aggregate, and the
+    potentials after it are one projection.  ``strict`` uses > and < at the two limits instead of >= and <=.
     """
-    table, width = candidates(df, features)
-    rows = potentials(table, ra).collect()
-    rows.sort(key=lambda r: r["point"])  # a fixed order makes ties repeatable
-    x = np.array([r["point"] for r in rows])
-    left = np.array([r["potential"] for r in rows])
-    first = left.max()
+    table = cut_lineage(potentials(lattice(df, features, dims, width), dims, width, ra).withColumn("point", cell_centre(dims, width)))
     beta = 4.0 / (ra * suppression) ** 2
-    chosen: list[int] = []
+    # The strongest cell; among equals the first by place.
+    strongest = F.max(F.struct(F.col("potential").alias("potential"), *[(-F.col(c)).alias(c) for c in _axes(dims)], F.col("point").alias("point")))
+    found = table.agg(strongest.alias("best")).first()["best"]
+    centres: Centres = []
     strength: list[float] = []
-    while len(chosen) < (max_centres or len(x)):
-        i = int(left.argmax())
-        ratio = left[i] / first
-        low = ratio < reject if strict else ratio <= reject
-        high = ratio > accept if strict else ratio >= accept
-        if low:
-            break
-        if not high:
-            nearest = min((float(np.linalg.norm(x[i] - x[j])) for j in chosen), default=math.inf)
-            if nearest / ra + ratio < 1.0:
-                left[i] = 0.0
-                continue
-        chosen.append(i)
-        strength.append(float(left[i]))
-        left = np.maximum(left - left[i] * np.exp(-beta * ((x - x[i]) ** 2).sum(axis=1)), 0.0)
-        left[i] = 0.0
-    return [[float(v) for v in x[i]] for i in chosen], strength, width
+    while found is not None and found["potential"] > 0 and (max_centres is None or len(centres) < max_centres):
+        centre = [float(v) for v in found["point"]]
+        centres.append(centre)
+        strength.append(float(found["potential"]))
+        gap = squared_distance(F.col("point"), F.lit(centre))
+        table = table.withColumn("potential", F.when(gap == 0, 0.0).otherwise(
+            F.greatest(F.col("potential") - F.lit(strength[-1]) * F.exp(gap * F.lit(-beta)), F.lit(0.0))))
+        if len(centres) % 8 == 0:
+            table = cut_lineage(table)
+        share = F.col("potential") / F.lit(strength[0])
+        nearest = F.least(*[F.sqrt(squared_distance(F.col("point"), F.lit(c))) for c in centres], F.lit(math.inf))
+        high, low = (share > accept, share >= reject) if strict else (share >= accept, share > reject)
+        found = table.where(high | (low & (nearest / F.lit(ra) + share >= 1.0))).agg(strongest.alias("best")).first()["best"]
+    return centres, strength
 
 
 # ---------------------------------------------------------------- quality and profiles
@@ -335,14 +337,19 @@ def separation(df: DataFrame, features: str, cluster: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(k, db, (b / (k - 1)) / (w / (n - k)))], schema)
 
 
-def squared_silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
+def squared_silhouette(df: DataFrame, features: str, cluster: str, noise: int | None = -1) -> DataFrame:
     """Rows with ``silhouette`` under the squared Euclidean distance, in linear time.
 
-    The mean squared distance to a cluster follows from its size, mean and mean squared norm.
+    The mean squared distance to a cluster follows from its size, mean and mean squared norm, taken about the mean
+    of all rows.  Rows of the cluster ``noise`` and of no cluster are no cluster and get NULL.
     """
-    vector = F.col(features).cast("array<double>")
+    inside = df.where(F.col(cluster).isNotNull() & (F.lit(True) if noise is None else F.col(cluster) != noise))
+    centre = inside.select(Summarizer.mean(array_to_vector(F.col(features).cast("array<double>")))).first()[0]
+    if centre is None or not len(centre):
+        return df.withColumn("silhouette", F.lit(None).cast("double"))
+    vector = F.zip_with(F.col(features).cast("array<double>"), F.lit([float(x) for x in centre]), lambda x, m: x - m)
     norm = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)
-    rows = df.select(
+    rows = inside.select(
         array_to_vector(vector).alias("_v"), norm.alias("q"), cluster).groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("_v")).alias("mean"), F.avg("q").alias("q")).collect()
     stats = {r[cluster]: (r["n"], [float(x) for x in r["mean"]], r["q"]) for r in rows}
@@ -358,11 +365,11 @@ def squared_silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
 
     a = F.coalesce(*[F.when(F.col(cluster) == c, to_cluster(c) * own_factor(c)) for c in stats])
     b = F.least(*[F.when(F.col(cluster) != c, to_cluster(c)) for c in stats], F.lit(float("inf")))
-    single = F.col(cluster).isin(*[c for c in stats if stats[c][0] == 1]) if any(s[0] == 1 for s in stats.values()) else F.lit(False)
-    return df.withColumns({"_a": a, "_b": b}).withColumn(
-        "silhouette", F.when(single, 0.0).otherwise(
-            F.coalesce((F.col("_b") - F.col("_a")) / F.nullif(F.greatest("_a", "_b"), F.lit(0.0)), F.lit(0.0)))
-    ).drop("_a", "_b")
+    alone = [c for c in stats if stats[c][0] == 1]
+    single = F.col(cluster).isin(*alone) if alone else F.lit(False)
+    score = F.when(single, 0.0).otherwise(F.coalesce((F.col("_b") - F.col("_a")) / F.nullif(F.greatest("_a", "_b"), F.lit(0.0)), F.lit(0.0)))
+    member = F.col(cluster).isNotNull() & (F.lit(True) if noise is None else F.col(cluster) != noise)
+    return df.withColumns({"_a": a, "_b": b}).withColumn("silhouette", F.when(member, score)).drop("_a", "_b")
 
 
 def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFrame:

@@ -117,13 +117,13 @@ def _centre_table(spark, centres):
 
 
 @query("fcm_step", f"""
-    WITH {CENTRE_SQL}, h AS (SELECT vec_id, c, 1 / greatest(d2, 1e-12) AS w FROM g WHERE c < 3),
+    WITH {CENTRE_SQL}, h AS (SELECT vec_id, c, 1 / greatest(d2, 1e-12) AS w FROM g),
     u AS (SELECT vec_id, c, pow(w / SUM(w) OVER (PARTITION BY vec_id), 2) AS um FROM h)
     SELECT c::BIGINT AS cluster, (i - 1)::BIGINT AS dim, ROUND(SUM(um * x) / SUM(um), 9) + 0.0 AS centre
     FROM u JOIN v USING (vec_id) GROUP BY 1, 2
 """)
 def fcm_step(spark, sf):
-    step = cluster.fuzzy_step(vec(spark, sf), "embedding", label_centres(spark, sf)[:3])
+    step = cluster.fuzzy_step(vec(spark, sf), "embedding", label_centres(spark, sf))
     return rounded(_centre_table(spark, step["centres"]), 9)
 
 
@@ -152,34 +152,37 @@ def unit_vectors(spark, sf, d=3):
     return prepare.fit_minmax(rows, dims).transform(rows).select("vec_id", F.array(*dims).alias("point"))
 
 
-@query("potential_init", f"""
-    WITH {UNIT_SQL}
-    SELECT a.vec_id, ROUND(SUM(exp(-16 * ((a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2)))), 6) AS potential
-    FROM s a, s b GROUP BY 1
-""")
+# Lattice width of the registered subtractive jobs.
+CELL = 1 / 32
+CELL_SQL = f"""{UNIT_SQL}, k AS (SELECT vec_id, """ + ", ".join(f"least(floor(x{i} / {CELL}), 31)::INT AS i{i}" for i in range(3)) + """ FROM s),
+    w AS (SELECT i0, i1, i2, COUNT(*)::DOUBLE AS weight FROM k GROUP BY ALL),
+    p AS (SELECT a.i0, a.i1, a.i2, SUM(b.weight * exp(-16 * ((a.i0 - b.i0) ** 2 + (a.i1 - b.i1) ** 2 + (a.i2 - b.i2) ** 2) / 1024.0::DOUBLE)) AS potential
+          FROM w a, w b GROUP BY ALL)"""
+
+
+@query("potential_init", f"WITH {CELL_SQL} SELECT vec_id, ROUND(potential, 6) AS potential FROM k JOIN p USING (i0, i1, i2)")
 def potential_init(spark, sf):
-    rows = unit_vectors(spark, sf)
-    found, _ = cluster.candidates(rows, "point")
-    return rounded(rows.join(cluster.potentials(found).drop("weight"), "point").select("vec_id", "potential"), 6)
+    rows = cluster.with_cells(unit_vectors(spark, sf), "point", 3, CELL)
+    found = cluster.potentials(cluster.lattice(rows, "point", 3, CELL), 3, CELL).drop("weight")
+    return rounded(rows.join(found, ["i0", "i1", "i2"]).select("vec_id", "potential"), 6)
 
 
 @query("subtractive")
 def subtractive(spark, sf):
-    rows = unit_vectors(spark, sf)
-    centres, strength, width = cluster.subtractive_centres(rows, "point", max_centres=10)
+    centres, strength = cluster.subtractive_centres(unit_vectors(spark, sf), "point", 3, CELL, max_centres=10)
     return rounded(spark.createDataFrame(
-        [(i, *c, s, width) for i, (c, s) in enumerate(zip(centres, strength))],
-        "cluster long, x0 double, x1 double, x2 double, potential double, merge_width double"), 6)
+        [(i, *c, s, CELL) for i, (c, s) in enumerate(zip(centres, strength))],
+        "cluster long, x0 double, x1 double, x2 double, potential double, cell_width double"), 6)
 
 
 @query("kmeans_seeded")
 def kmeans_seeded(spark, sf):
-    rows = unit_vectors(spark, sf).persist()
-    centres, _, _ = cluster.subtractive_centres(rows, "point", max_centres=10)
+    rows = unit_vectors(spark, sf)
+    centres, _ = cluster.subtractive_centres(rows, "point", 3, CELL, max_centres=10)
     if len(centres) < 2:
         model, _ = cluster.fit_kmeans(cluster.vectors(rows, "point"), 3)
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
-    fit = cluster.fit_seeded(rows, "point", centres, max_iter=20)
+    fit = cluster.fit_seeded(rows, "point", centres, max_iter=500)
     return fit.transform(rows, "point").select("vec_id", "cluster")
 
 

@@ -141,25 +141,52 @@ def test_fuzzy_objective_never_rises_and_memberships_sum_to_one(blobs):
     assert row[0] < 1e-9 and fit.partition[-1] > 0.8
 
 
-def test_subtractive_equals_direct_computation(blobs):
+def unit_rows(blobs):
     x, df = blobs
     unit = (x - x.min(axis=0)) / (x.max(axis=0) - x.min(axis=0))
-    scaled = df.sparkSession.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(unit)], "id long, v array<double>")
-    table, width = cluster.candidates(scaled, "v")
-    got = {tuple(r["point"]): r["potential"] for r in cluster.potentials(table).collect()}
-    want = np.exp(-16 * ((unit[:, None] - unit[None]) ** 2).sum(axis=2)).sum(axis=1)
-    assert width == 0.0
-    for p, w in zip(unit, want):
-        assert got[tuple(float(v) for v in p)] == pytest.approx(w)
-    centres, strength, _ = cluster.subtractive_centres(scaled, "v")
+    return unit, df.sparkSession.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(unit)], "id long, v array<double>")
+
+
+@pytest.mark.parametrize("width", [1 / 8, 0.03])
+def test_potentials_equal_direct_sums_over_cells(blobs, width):
+    unit, scaled = unit_rows(blobs)
+    last = int(np.ceil(1 / width - 1e-9)) - 1
+    cells, weight = np.unique(np.minimum(np.floor(unit / width), last), axis=0, return_counts=True)
+    gaps = ((cells[:, None] - cells[None]) ** 2).sum(axis=2) * width * width
+    want = {tuple(int(v) for v in c): p for c, p in zip(cells, np.exp(-16 * gaps) @ weight)}
+    got = {(r["i0"], r["i1"], r["i2"]): r["potential"] for r in cluster.potentials(cluster.lattice(scaled, "v", 3, width), 3, width).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_subtractive_centres_are_the_blobs(blobs):
+    unit, scaled = unit_rows(blobs)
+    centres, strength = cluster.subtractive_centres(scaled, "v", 3, 1 / 32)
     assert len(centres) == 3 and strength == sorted(strength, reverse=True)
+    near = ((unit[:, None] - np.array(centres)[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert sorted(np.bincount(near)) == [60, 60, 60]
+    assert len(cluster.subtractive_centres(scaled, "v", 3, 1 / 32, max_centres=2)[0]) == 2
+    assert cluster.subtractive_centres(scaled.limit(0), "v", 3, 1 / 32) == ([], [])
+
+
+def test_every_row_has_a_cell(spark):
+    rng = np.random.default_rng(0)
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rng.random((4000, 3)))], "id long, v array<double>")
+    placed = cluster.with_cells(rows, "v", 3, 1 / 16)
+    found = cluster.potentials(cluster.lattice(rows, "v", 3, 1 / 16), 3, 1 / 16)
+    assert placed.join(found, ["i0", "i1", "i2"]).count() == 4000
+    assert found.agg(F.sum("weight")).first()[0] == 4000
 
 
-def test_candidates_merge_without_losing_rows(blobs):
+def test_silhouette_leaves_noise_out(blobs):
     _, df = blobs
-    table, width = cluster.candidates(df, "v", limit=20)
-    assert width > 0 and table.count() <= 20
-    assert table.agg(F.sum("weight")).first()[0] == 180
+    far = df.withColumn("v", F.transform("v", lambda x: x + 1e7))
+    plain = cluster.squared_silhouette(df, "v", "c").orderBy("id").toPandas()["silhouette"]
+    np.testing.assert_allclose(cluster.squared_silhouette(far, "v", "c").orderBy("id").toPandas()["silhouette"], plain, atol=1e-6)
+    noisy = df.unionByName(df.limit(5).withColumns({"id": F.col("id") + 1000, "c": F.lit(-1).cast(df.schema["c"].dataType)}))
+    got = cluster.squared_silhouette(noisy, "v", "c").orderBy("id").toPandas()["silhouette"]
+    np.testing.assert_allclose(got[:180], plain)
+    assert got[180:].isna().all()
 
 
 def test_separation_and_silhouette(blobs):
