@@ -17,26 +17,6 @@ MISSING_TOKENS = ("NA", "N/A", "na", "NaN", "?", "-999", "")
 # Frequency answers and their ordinal codes.
 LIKERT_CODES = {"Nunca": 1, "Rara vez": 2, "A veces": 3, "Frecuentemente": 4, "Siempre": 5}
 
-# Range answers of the public student survey and their numeric codes.
-STUDY_HOURS_CODES = {
-    "0-5 hours": 2.5,
-    "6-10 hours": 8.0,
-    "11-15 hours": 13.0,
-    "16-20 hours": 18.0,
-    "More than 20 hours": 22.0,
-}
-GRADE_CODES = {
-    "Below 2.50": 2.25,
-    "2.50 - 2.99": 2.75,
-    "3.00 - 3.49": 3.25,
-    "3.50 - 3.74": 3.62,
-    "3.75 - 4.00": 3.87,
-}
-FREQUENCY_CODES = {"Never": 0, "Occasionally": 1, "Sometimes": 2, "Often": 3, "Always": 4}
-STRESS_CODES = {"Not at all": 0, "Slightly": 1, "Moderately": 2, "Significantly": 3}
-MOBILE_CODES = {"1-2 hours": 1.5, "3-4 hours": 3.5, "More than 4 hours": 5.0}
-YES_NO_CODES = {"Yes": 1, "No": 0}
-
 # Fixed value: honorific between the comma and the first full stop of a full name.
 TITLE_PATTERN = r",\s*([^\.]+)\."
 
@@ -149,13 +129,3 @@ def unbiased_skewness(c: Column | str) -> Column:
     """Bias-corrected skewness G1 as one aggregate expression; NULL below three values."""
     n = F.count(col(c)).cast("double")
     return F.when(n > 2, F.skewness(col(c)) * F.sqrt(n * (n - 1)) / (n - 2))
-
-
-def normal_two_sided_p(z: Column) -> Column:
-    """erfc(|z|/sqrt 2) by the rational approximation 7.1.26 of Abramowitz and Stegun."""
-    # The published coefficients.
-    p, a = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(p) * x)
-    poly = reduce(lambda acc, k: (acc + F.lit(k)) * t, reversed(a), F.lit(0.0))
-    return poly * F.exp(-x * x)

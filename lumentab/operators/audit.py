@@ -85,15 +85,20 @@ def class_gap(score: str, label: str, centres: Mapping[str, float] = CLASS_CENTR
 
 
 def correct_labels(df: DataFrame, key: str, label: str, vote: str, gap: str,
-                   share: float = CHANGE_SHARE, out: str = "corrected") -> DataFrame:
+                   share: float = CHANGE_SHARE, out: str = "corrected", votes: Column | None = None,
+                   min_votes: int = 0) -> DataFrame:
     """Replace at most ``floor(share * n)`` labels by the vote, largest gap first (then smallest key).
 
+    With ``votes`` (see ``vote_size``) only rows with at least ``min_votes`` agreeing votes are candidates.
+
     The gap of the last accepted change is an order statistic of the candidates; rows with
     a larger gap change without any sort, only rows that tie on the limit are ranked.
     """
     from lumentab.operators.order import running_totals
 
     candidate = F.col(label) != F.col(vote)
+    if votes is not None:
+        candidate = candidate & (votes >= min_votes)
     budget = int(df.count() * share)
     steps = running_totals(df.where(candidate), gap, {"n": F.count(F.lit(1))}, descending=True)
     at = (

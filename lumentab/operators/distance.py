@@ -169,12 +169,6 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
     return F.array_min(F.array(*gaps))
 
 
-def nearest_of(dims: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
-    """The same for scalar coordinate columns."""
-    gaps = [F.struct(squared_distance_to(dims, c).alias("d2"), F.lit(i).alias("cluster")) for i, c in enumerate(centres)]
-    return F.array_min(F.array(*gaps))
-
-
 def neighbour_labels(df: DataFrame, dims: Sequence[str], label: str, eps: float) -> DataFrame:
     """Distinct points with the majority label of the rows at distance 0 < d <= eps (smallest label on ties)."""
     sites = sites_of(df, dims, eps, [F.count(F.lit(1)).alias("n")])

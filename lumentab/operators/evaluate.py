@@ -198,7 +198,3 @@ def tally(board: DataFrame, key: str = "split") -> DataFrame:
         ours.alias("ours_won"), theirs.alias("theirs_won"),
         F.when(ours > theirs, "won").when(ours == theirs, "draw").otherwise("lost").alias("result"),
     )
-
-
-def best_row(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
-    return df.orderBy(*order_by).limit(1)

@@ -230,7 +230,3 @@ def save_model(model: Model, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def fit_chain(df: DataFrame, stages: Sequence) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(df)

@@ -175,8 +175,3 @@ def heat_table(df: DataFrame, unit: str, indicators: Sequence[Indicator]) -> Dat
     return means.select(
         unit, *[oriented(model.scaled(i.name), i.higher_is_better).alias(i.name) for i in indicators]
     )
-
-
-def binned_label(c: str) -> Column:
-    """Three quality classes of a 1-5 rating."""
-    return cut(c, (2.5, 3.75), (1, 2, 3))

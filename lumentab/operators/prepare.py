@@ -185,9 +185,9 @@ def fit_iqr_limits(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTO
     return Limits(bounds)
 
 
-def iqr_report(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
-    """Limits and number of outliers per column."""
-    limits = fit_iqr_limits(df, cols, factor)
+def iqr_report(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR, skip_flat: bool = False) -> DataFrame:
+    """Limits and number of outliers per column; a column without spread counts what differs, or is skipped."""
+    limits = fit_iqr_limits(df, cols, factor, skip_flat)
     rows = [
         F.struct(
             F.lit(c).alias("column"),
@@ -231,10 +231,22 @@ def fit_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> d
     levels = {c: sorted(r["level"] for r in rows if r["column"] == c) for c in cols}
     for c, found in levels.items():
         if len(rows) > limit * len(cols) or len(found) > limit:
-            raise ValueError(f"more than {limit} levels; use bit_codes for {c}")
+            raise ValueError(f"more than {limit} levels for columns; use hot_cells or bit_codes for {c}")
     return levels
 
 
+def hot_cells(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One-hot encoding as rows (key, column, level) of the ones: any number of levels, nothing collected."""
+    cells = [{"column": F.lit(c), "level": F.col(c).cast("string")} for c in cols]
+    return stack_cells(df, [key], cells).where(F.col("level").isNotNull())
+
+
+def hot_tokens(df: DataFrame, c: str, key: str, separator: str) -> DataFrame:
+    """Multi-hot encoding of a multi-answer text as rows (key, token): any number of tokens."""
+    tokens = F.array_distinct(F.transform(F.split(F.col(c), separator), lambda t: strip(t)))
+    return df.select(key, F.explode(tokens).alias("token")).where("token != ''")
+
+
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool = False,
             keep_source: bool = False) -> DataFrame:
     """0/1 columns ``<c>_<level>``; NULL and unseen values give all zeros."""

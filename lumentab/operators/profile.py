@@ -16,10 +16,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-
-
 def stats_by_column(
     df: DataFrame,
     cols: Sequence[str],
@@ -137,14 +133,16 @@ def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) ->
 
 
 def value_counts(df: DataFrame, c: str, domain: Sequence | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Absolute and relative counts; values of a given domain that never occur count 0."""
+    """Absolute and relative counts; values of a given domain that never occur count 0, others stay."""
     by = list(by)
     counted = df.groupBy(*by, c).agg(F.count(F.lit(1)).alias("n"))
     if domain is not None:
         if by:
             raise ValueError("a fixed domain is supported for ungrouped counts")
         full = df.sparkSession.createDataFrame([(v,) for v in domain], df.select(c).schema)
-        counted = full.join(counted, c, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        known = full.withColumnRenamed(c, "_value")
+        counted = known.join(counted, F.col("_value").eqNullSafe(F.col(c)), "full").select(
+            F.coalesce(c, "_value").alias(c), F.coalesce("n", F.lit(0)).alias("n"))
     totals = counted.groupBy(*by).agg(F.sum("n").alias("_total"))
     if by:
         return counted.join(totals, by).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
@@ -207,6 +205,8 @@ def density_curve(df: DataFrame, c: str, grid: Sequence[float]) -> DataFrame:
     """
     value = F.col(c).cast("double")
     n, sd = df.agg(F.count(value), F.stddev_samp(value)).first()
+    if not sd:  # no bandwidth: fewer than two values, or all alike
+        return df.sparkSession.createDataFrame([(float(g), None) for g in grid], "x double, density double")
     h = float(n) ** (-0.2) * sd
     norm = 1.0 / (n * h * (2.0 * 3.141592653589793) ** 0.5)
     sums = [
@@ -248,7 +248,3 @@ def pivot_mean(df: DataFrame, row: str, column: str, value: str, levels: Sequenc
 
 def any_true(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
-
-
-def all_true(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

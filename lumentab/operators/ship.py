@@ -5,19 +5,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-# A table this short is shipped to every task; a longer one goes through a shuffle join.
-SHIP_ROWS = 100_000
+# A table this small is shipped to every task; a larger one goes through a shuffle join.
+SHIP_ROWS, SHIP_BYTES = 100_000, 8 << 20
+
+
+def _has_long_values(table: DataFrame) -> bool:
+    return any(not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in table.schema)
+
+
+def _is_small(table: DataFrame) -> bool:
+    """Whether the rows and the bytes of their texts and arrays stay within the limits; looks at SHIP_ROWS + 1 rows at most."""
+    sizes = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+             for f in table.schema if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    row = table.limit(SHIP_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(reduce(lambda a, b: a + b, sizes)).alias("b")).first()
+    return row["n"] <= SHIP_ROWS and (row["b"] or 0) <= SHIP_BYTES
 
 
 def ship_if_short(table: DataFrame) -> DataFrame:
-    """``table`` as a broadcast constant if it has at most ``SHIP_ROWS`` rows, else unchanged.
+    """``table`` as a broadcast constant if it has at most ``SHIP_ROWS`` rows and ``SHIP_BYTES`` bytes, else unchanged.
 
     The planner cannot know the size of a derived table, so it would shuffle the long side by
     the join key first, hot keys included.  Measuring the short side costs one small job and
     its rows are not computed again.
     """
+    if _has_long_values(table) and not _is_small(table):
+        return table
     head = table.limit(SHIP_ROWS + 1).collect()
     if len(head) > SHIP_ROWS:
         return table

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from lumentab.functions.columns import normal_two_sided_p
 from lumentab.operators import order
 from lumentab.operators.reshape import name_of, stack_cells
+from lumentab.operators.ship import ship_if_short
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -29,18 +31,31 @@ def full_matrix(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of average ranks; rows must be complete in ``cols``.
+    """Pearson correlation of average ranks, pairwise complete.
 
-    Each column is replaced by its rank through a join on the value: rank tables hold one
-    row per distinct value, so a value shared by a third of the rows is one row on that side.
+    Columns without gaps are ranked once; a pair with a gap is ranked on the rows that have both values.
+    """
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    whole = [c for c in cols if gaps[c] == 0]
+    parts = [pearson_pairs(_ranked(df, whole), whole)] if len(whole) > 1 else []
+    for a, b in combinations(cols, 2):
+        if gaps[a] or gaps[b]:
+            parts.append(pearson_pairs(_ranked(df.dropna(subset=[a, b]), [a, b]), [a, b]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns replaced by their average ranks; no NULL in them.
+
+    Each column is replaced through a join on the value: rank tables hold one row per distinct
+    value, and a short one is shipped, so rows are not shuffled by a column of a few values.
     """
     ranked = df.select(*cols)
     points = order.splitters(ranked, cols)
     for c in cols:
         ranks = order.average_ranks(df, c, points=points[c]).select(c, F.col("rank").alias(f"_{c}_rank"))
-        ranked = ranked.join(ranks, c).drop(c).withColumnRenamed(f"_{c}_rank", f"{c}#")
-    named = ranked.select(*[F.col(f"`{c}#`").alias(c) for c in cols])
-    return pearson_pairs(named, cols)
+        ranked = ranked.join(ship_if_short(ranks), c).drop(c).withColumnRenamed(f"_{c}_rank", f"{c}#")
+    return ranked.select(*[F.col(f"`{c}#`").alias(c) for c in cols])
 
 
 def target_ranking(df: DataFrame, cols: Sequence[str], target: str, top: int | None = None) -> DataFrame:
@@ -67,7 +82,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     mean = F.col("n0") * F.col("n1") / 2.0
     sd = F.sqrt(F.col("n0") * F.col("n1") / 12.0 * ((n + 1) - t / (n * (n - 1))))
     d = F.col("u") - mean
-    return (
+    found = (
         totals.groupBy("column")
         .agg(
             F.max("zeros_total").cast("double").alias("n0"),
@@ -79,8 +94,11 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         .where((F.col("n0") > 1) & (F.col("n1") > 1))
         .withColumn("u", F.col("rank_sum") - F.col("n0") * (F.col("n0") + 1) / 2.0)
         .withColumn("z", F.signum(d) * F.greatest(F.abs(d) - 0.5, F.lit(0.0)) / F.nullif(sd, F.lit(0.0)))
-        .select(name_of("column", cols).alias("column"), "u", "z", normal_two_sided_p(F.col("z")).alias("p"))
+        .select(name_of("column", cols).alias("column"), "u", "z").collect()
     )
+    # One row per column: the tail of the normal distribution is exact here.
+    rows = [(r["column"], r["u"], r["z"], None if r["z"] is None else math.erfc(abs(r["z"]) / math.sqrt(2.0))) for r in found]
+    return df.sparkSession.createDataFrame(rows, "column string, u double, z double, p double")
 
 
 def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -92,13 +110,19 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     p = len(cols)
     index = [(i, j) for i in range(p) for j in range(i, p)]
     row = df.dropna(subset=list(cols)).agg(
-        *[F.sum(F.col(cols[i]).cast("double") * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in index]
+        *[F.coalesce(F.sum(F.col(cols[i]).cast("double") * F.col(cols[j])), F.lit(0.0)).alias(f"g{i}_{j}") for i, j in index]
     ).first()
     gram = np.empty((p, p))
     for i, j in index:
         gram[i, j] = gram[j, i] = row[f"g{i}_{j}"]
-    scale = np.sqrt(np.diag(gram))  # unit columns first: inversion is stable for mixed units
-    vif = np.diag(np.linalg.inv(gram / np.outer(scale, scale)))
+    scale = np.sqrt(np.diag(gram))  # unit columns first: stable for mixed units
+    unit = gram / np.outer(np.where(scale > 0, scale, 1.0), np.where(scale > 0, scale, 1.0))
+    vif = []
+    for j in range(p):
+        rest = [i for i in range(p) if i != j]
+        # What the other columns leave unexplained; nothing for a collinear or empty column.
+        left = unit[j, j] - unit[j, rest] @ np.linalg.pinv(unit[np.ix_(rest, rest)]) @ unit[rest, j]
+        vif.append(1.0 / left if left > 1e-12 else math.inf)
     rows = [(c, float(v), "high" if v > 10 else "moderate" if v > 5 else "low") for c, v in zip(cols, vif)]
     return df.sparkSession.createDataFrame(rows, "column string, vif double, band string").orderBy(F.desc("vif"))
 

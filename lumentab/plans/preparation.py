@@ -77,11 +77,12 @@ def _limits_sql(c, source):
     SELECT '{c}' AS "column", ROUND(MAX(lo), 6) AS low, ROUND(MAX(hi), 6) AS high,
            count(*) FILTER ({c} < lo OR {c} > hi)::BIGINT AS outliers
     FROM {t}, ({_limits_sql(c, t)})""" for t, c in (
-        ("events", "value"),)) + " UNION ALL " + " UNION ALL ".join(f"""
+        ("events", "value"), ("(SELECT *, CASE WHEN event_id % 50 = 0 THEN 9 ELSE 1 END::DOUBLE AS flat FROM events)", "flat"))) + " UNION ALL " + " UNION ALL ".join(f"""
     SELECT '{c}', ROUND(MAX(lo), 6), ROUND(MAX(hi), 6), count(*) FILTER ({c} < lo OR {c} > hi)
     FROM lineitem, ({_limits_sql(c, 'lineitem')})""" for c in LINES))
 def iqr_report(spark, sf):
-    events = prepare.iqr_report(table(spark, sf, "events"), ["value"])
+    flat = F.when(F.col("event_id") % 50 == 0, 9.0).otherwise(1.0)
+    events = prepare.iqr_report(table(spark, sf, "events").withColumn("flat", flat), ["value", "flat"])
     return rounded(events.unionByName(prepare.iqr_report(table(spark, sf, "lineitem"), LINES)), 6)
 
 
@@ -254,14 +255,11 @@ def binary_encode(spark, sf):
 
 
 @query("multihot_tokens", """
-    WITH t AS (SELECT p_partkey, string_split(p_name || ', ' || p_type, ',') AS parts FROM part)
-    SELECT p_partkey, """ + ", ".join(
-        f"list_contains(list_transform(parts, lambda x: trim(x)), '{v}')::BIGINT AS \"has_{v}\"" for v in
-        ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + " FROM t")
+    SELECT DISTINCT p_partkey, trim(unnest(string_split(p_name || ', ' || p_type, ','))) AS token FROM part
+""")
 def multihot_tokens(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit(", "), "p_type").alias("answers"))
-    hot = prepare.multi_hot(p, "answers", "p_partkey", ",", "has_")
-    return as_long(hot.select("p_partkey", *sorted(c for c in hot.columns if c[4:5].isupper())))
+    return prepare.hot_tokens(p, "answers", "p_partkey", ",")
 
 
 @query("rare_class_drop", """

@@ -12,21 +12,6 @@ from lumentab.sources import tables as src
 LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@query("literal_countries", """
-    SELECT * FROM (VALUES
-      ('Brasil','Brasilia',8515767.0::DOUBLE,213000000.0::DOUBLE),
-      ('Rusia','Moscu',17098242.0,146000000.0),
-      ('India','Nueva Delhi',NULL,1380000000.0),
-      ('China','Beijing',9596961.0,1440000000.0),
-      ('Sudafrica','Pretoria',1221037.0,NULL),
-      ('Brasil','Brasilia',8515767.0,213000000.0)) AS t(pais, capital, area, population)
-    WHERE EXISTS (SELECT 1 FROM region)
-""")
-def literal_countries(spark, sf):
-    countries = src.countries(spark)
-    return countries.where(table(spark, sf, "region").select(F.count(F.lit(1))).scalar() > 0)
-
-
 @query("clean_names", """
     SELECT p_partkey AS "Part Key", p_name AS "Company (Maker)", p_retailprice AS "Rating Value"
     FROM part
@@ -385,6 +370,7 @@ def title_extract(spark, sf):
     SELECT COUNT(*)::BIGINT AS n_rows, 6::BIGINT AS n_columns,
            count(*) FILTER (o_orderdate < TIMESTAMP '2000-01-01')::BIGINT AS train_rows,
            count(*) FILTER (o_orderdate >= TIMESTAMP '2000-01-01')::BIGINT AS test_rows,
+           count(*) FILTER (o_orderdate IS NULL)::BIGINT AS undated_rows, '2000-01-01' AS cut_off, 'o_totalprice,o_orderpriority' AS features,
            strftime(MIN(o_orderdate), '%Y-%m-%d') AS first_date, strftime(MAX(o_orderdate), '%Y-%m-%d') AS last_date,
            'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice' AS columns
     FROM orders
@@ -392,7 +378,7 @@ def title_extract(spark, sf):
 def run_manifest(spark, sf):
     o = table(spark, sf, "orders")
     profile.require_columns(o, ["o_orderkey", "o_orderdate"])
-    return src.manifest(o, "o_orderdate", "2000-01-01")
+    return src.manifest(o, "o_orderdate", "2000-01-01", ["o_totalprice", "o_orderpriority"])
 
 
 @query("strided_sample", """

@@ -85,11 +85,14 @@ def boxplot_stats(spark, sf):
 
 @query("kde_grid", """
     WITH s AS (SELECT COUNT(*) AS n, pow(COUNT(*), -0.2::DOUBLE) * stddev_samp(value) AS h FROM events)
-    SELECT x::DOUBLE AS x, ROUND(SUM(exp(-0.5::DOUBLE * pow((value - x) / h, 2))) / (MIN(n) * MIN(h) * sqrt(2 * pi())), 9) AS density
-    FROM events, s, (SELECT i * 12.5::DOUBLE AS x FROM range(41) t(i)) GROUP BY x
+    SELECT ROUND(x, 6) AS x, ROUND(SUM(exp(-0.5::DOUBLE * pow((value - x) / h, 2))) / (MIN(n) * MIN(h) * sqrt(2 * pi())), 9) AS density
+    FROM events, s, (SELECT lo + i * ((hi - lo) / 40) AS x FROM range(41) t(i), (SELECT MIN(value) AS lo, MAX(value) AS hi FROM events)) GROUP BY x
 """)
 def kde_grid(spark, sf):
-    return rounded(profile.density_curve(table(spark, sf, "events"), "value", [12.5 * i for i in range(41)]), 9)
+    events = table(spark, sf, "events")
+    low, high = events.agg(F.min("value"), F.max("value")).first()
+    curve = profile.density_curve(events, "value", [low + i * ((high - low) / 40) for i in range(41)])
+    return rounded(rounded(curve, 9, "density"), 6, "x")
 
 
 def _pairs_sql(cols, source, digits=6):
@@ -130,6 +133,16 @@ def corr_spearman(spark, sf):
     return rounded(stats.spearman_pairs(table(spark, sf, "lineitem"), LINES), 6)
 
 
+def _pair_ranks_sql(a, b):
+    ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS {c}" for c in (a, b))
+    return f"SELECT '{a}' AS a, '{b}' AS b, ROUND(corr({a}, {b}), 6) AS r FROM (SELECT {ranks} FROM {GAPPY_SQL} WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+
+
+@query("corr_spearman_gaps", " UNION ALL ".join(_pair_ranks_sql(a, b) for a, b in combinations(LINES, 2)))
+def corr_spearman_gaps(spark, sf):
+    return rounded(stats.spearman_pairs(gappy_lines(spark, sf), LINES), 6)
+
+
 TARGETS = ("o_totalprice", "n_lines", "quantity", "discount")
 ORDER_LINES_SQL = """(SELECT o_totalprice, COUNT(*)::DOUBLE AS n_lines, SUM(l_quantity) AS quantity, ROUND(AVG(l_discount), 9) AS discount,
     MAX((o_orderstatus = 'F')::INT) AS closed FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_totalprice)"""
@@ -204,18 +217,20 @@ def avg_rank(spark, sf):
 
 def _mw_sql(cols):
     one = """
-    SELECT '{c}' AS "column", u, ROUND(sign(u - m) * greatest(abs(u - m) - 0.5, 0) / sqrt(n0 * n1 / 12 * ((n + 1) - ties / (n * (n - 1)))), 5) AS z
+    SELECT "column", u, ROUND(z, 5) AS z, ROUND(exp(-x * x) * t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))), 4) + 0.0 AS p
+    FROM (SELECT *, abs(z) / sqrt(2::DOUBLE) AS x, 1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2::DOUBLE)) AS t FROM (
+    SELECT '{c}' AS "column", u, sign(u - m) * greatest(abs(u - m) - 0.5, 0) / sqrt(n0 * n1 / 12 * ((n + 1) - ties / (n * (n - 1)))) AS z
     FROM (SELECT SUM(rk) FILTER (closed = 0) - n0 * (n0 + 1) / 2 AS u, n0 * n1 / 2 AS m, n0, n1, n0 + n1 AS n,
                  (SELECT SUM(k * k * k - k) FROM (SELECT COUNT(*)::DOUBLE AS k FROM s GROUP BY {c})) AS ties
           FROM (SELECT closed, rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS rk,
                        (SELECT count(*) FILTER (closed = 0)::DOUBLE FROM s) AS n0, (SELECT count(*) FILTER (closed = 1)::DOUBLE FROM s) AS n1 FROM s)
-          GROUP BY n0, n1)"""
+          GROUP BY n0, n1)))"""
     return f"WITH s AS MATERIALIZED (SELECT * FROM {ORDER_LINES_SQL}) " + " UNION ALL ".join(one.format(c=c) for c in cols)
 
 
 @query("mannwhitney", _mw_sql(TARGETS))
 def mannwhitney(spark, sf):
-    return rounded(stats.mann_whitney(order_lines(spark, sf), TARGETS, "closed").drop("p"), 5, "z")
+    return rounded(rounded(stats.mann_whitney(order_lines(spark, sf), TARGETS, "closed"), 5, "z"), 4, "p")
 
 
 @query("vif")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 # The encodings and separators tried in this order.
 ENCODINGS = ("UTF-8", "ISO-8859-1")
 SEPARATORS = (",", ";")
-PROBE_ROWS = 1000
 
 # Six rows of country data, one duplicated, two cells missing.
 COUNTRIES = [
@@ -36,16 +35,17 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def detect_dialect(spark: SparkSession, path: str | Sequence[str]) -> tuple[str, str]:
-    """(encoding, separator) from a bounded probe.
+    """(encoding, separator) of the whole input.
 
-    Spark decodes bad bytes to U+FFFD instead of failing, so the probe looks for that
-    character; a separator is right when the header has more than one column.
+    Spark decodes bad bytes to U+FFFD instead of failing, so every line is searched for that
+    character (the search ends at the first one); a separator is right when the header has
+    more than one column.
     """
     encoding = ENCODINGS[-1]
     for candidate in ENCODINGS:
         lines = spark.read.option("encoding", candidate).option("header", False).option("sep", "\u0001").csv(path)
         text = F.col(lines.columns[0])
-        if lines.limit(PROBE_ROWS).where(text.contains("�")).isEmpty():
+        if lines.where(text.contains("�")).isEmpty():
             encoding = candidate
             break
     for sep in SEPARATORS:
@@ -104,14 +104,17 @@ def write_splits(df: DataFrame, path: str, key: str, split: str = "split") -> No
     write_parquet(df, path, [split])
 
 
-def manifest(df: DataFrame, date: str, limit: str) -> DataFrame:
-    """One row that documents a run: shape, columns, date range and rows on both sides of the limit."""
+def manifest(df: DataFrame, date: str, limit: str, features: Sequence[str] = ()) -> DataFrame:
+    """One row that documents a run: shape, columns, features, date range, cut-off, rows on both sides and without a date."""
     at = F.lit(limit).cast("timestamp")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).cast("long").alias("n_columns"),
         F.count_if(F.col(date) < at).alias("train_rows"),
         F.count_if(F.col(date) >= at).alias("test_rows"),
+        F.count_if(F.col(date).isNull()).alias("undated_rows"),
+        F.lit(limit).alias("cut_off"),
+        F.lit(",".join(features)).alias("features"),
         F.date_format(F.min(date), "yyyy-MM-dd").alias("first_date"),
         F.date_format(F.max(date), "yyyy-MM-dd").alias("last_date"),
         F.lit(",".join(sorted(df.columns))).alias("columns"),
