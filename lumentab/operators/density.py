@@ -1,9 +1,10 @@
-"""Density clustering on a grid: exact DBSCAN as joins over cells.
+"""Density clustering on a grid: exact DBSCAN as joins over cells, in up to three dimensions.
 
 Cells have the side eps / sqrt(d), so all points of a cell are neighbours.  A cell with
 ``min_pts`` rows is all core without looking at a single pair; only points of poorer cells
 (fewer than ``min_pts`` each) count their neighbours.  Clusters are components of the graph
-of core *cells*.  The work is therefore linear in the points for fixed ``min_pts``.
+of core *cells*.  The work is therefore linear in the points for fixed ``min_pts``.  More
+dimensions take a join of the core points instead, blocked on three axes.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumentab.operators.distance import cell_join, cell_names, gap_squared, hot_cells, on_grid, sites_of
+from lumentab.operators.distance import GRID_AXES, cell_join, cell_names, gap_squared, hot_cells, on_grid, sites_of, widest
 from lumentab.session import cut_lineage
 
 NOISE = -1
@@ -108,8 +109,50 @@ def dbscan(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: in
     """Rows (key, cluster, is_core).  ``cluster`` is the smallest core key of the cluster, -1 for noise.
 
     The neighbourhood counts the point itself.  A border point that touches several clusters
-    joins the one with the smallest key, so the result does not depend on row order.
+    joins the one with the smallest key, so the result does not depend on row order.  A row with
+    a NULL coordinate has no neighbours: it is noise.
     """
+    lost = reduce(lambda a, b: a | b, [F.col(d).isNull() for d in dims])
+    placed = (_dbscan_cells if len(dims) <= GRID_AXES else _dbscan_pairs)(df.where(~lost), key, dims, eps, min_pts)
+    apart = df.where(lost).select(key, F.lit(NOISE).cast(placed.schema["cluster"].dataType).alias("cluster"), F.lit(False).alias("is_core"))
+    return placed.unionByName(apart)
+
+
+def _dbscan_pairs(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: int) -> DataFrame:
+    """Many dimensions: a cell cannot stand for its points, so core points are joined within eps.
+
+    The join blocks on the axes that spread most and filters on all; its work follows the number
+    of near pairs of distinct points, so the radius has to fit the density.
+    """
+    dims = widest(df, dims)
+    limit = F.lit(eps * eps)
+    points = df.select(key, *[F.col(d).cast("double").alias(d) for d in dims])
+    sites = cut_lineage(sites_of(points, dims, eps, [F.count(F.lit(1)).alias("w"), F.min(key).alias("k")]))
+    hot = hot_cells(sites, dims)
+    degree = (
+        cell_join(sites.drop("w"), sites.drop("k"), dims, 1, hot).where(gap_squared(dims) <= limit)
+        .groupBy("_q_k").agg(F.sum("w").alias("degree"))
+    )
+    ranked = cut_lineage(sites.join(degree, F.col("k") == F.col("_q_k")).drop("_q_k"))
+    core = ranked.where(F.col("degree") >= min_pts).drop("w", "degree")
+    edges = cell_join(core, core, dims, 1, hot).where((F.col("_q_k") < F.col("k")) & (gap_squared(dims) <= limit)).select(
+        F.col("_q_k").alias("a"), F.col("k").alias("b"))
+    parts = connected_components(core.select(F.col("k").alias("node")), edges)
+    named = cut_lineage(core.join(parts, F.col("k") == F.col("node")).drop("node").withColumnRenamed("component", "cluster"))
+    border = (
+        cell_join(ranked.where(F.col("degree") < min_pts).drop("w", "degree"), named.drop("k"), dims, 1, hot)
+        .where(gap_squared(dims) <= limit).groupBy("_q_k").agg(F.min("cluster").alias("near"))
+    )
+    placed = (
+        ranked.join(named.select(F.col("k").alias("_core"), "cluster"), F.col("k") == F.col("_core"), "left")
+        .join(border, F.col("k") == F.col("_q_k"), "left")
+        .select(*dims, F.coalesce("cluster", "near", F.lit(NOISE)).alias("cluster"), F.col("_core").isNotNull().alias("is_core"))
+    )
+    return points.join(placed, list(dims)).select(key, "cluster", "is_core")
+
+
+def _dbscan_cells(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: int) -> DataFrame:
+    """Few dimensions: all points of a cell are neighbours."""
     cells, limit = cell_names(dims), F.lit(eps * eps)
     side, reach = eps / math.sqrt(len(dims)), math.ceil(math.sqrt(len(dims)))
     if len(dims) == 1:

@@ -22,8 +22,21 @@ from lumentab.session import cut_lineage
 HOT_CELL = 20_000
 
 
+# Axes that make cells: a query looks at (2 * reach + 1) ** GRID_AXES cells at most, however many
+# dimensions the distance has.  The other dimensions only take part in the exact filter.
+GRID_AXES = 3
+
+
 def cell_names(dims: Sequence[str]) -> list[str]:
-    return [f"_g{i}" for i in range(len(dims))]
+    return [f"_g{i}" for i in range(min(len(dims), GRID_AXES))]
+
+
+def widest(df: DataFrame, dims: Sequence[str]) -> list[str]:
+    """The dimensions, those that spread most first where not all of them make cells."""
+    if len(dims) <= GRID_AXES:
+        return list(dims)
+    spread = df.agg(*[F.stddev_pop(F.col(d).cast("double")).alias(d) for d in dims]).first()
+    return sorted(dims, key=lambda d: -(spread[d] or 0.0))
 
 
 def on_grid(df: DataFrame, dims: Sequence[str], side: float) -> DataFrame:
@@ -71,7 +84,7 @@ def cell_join(queries: DataFrame, sites: DataFrame, dims: Sequence[str], reach:
     cells = cell_names(dims)
     steps = F.array(*[
         F.struct(*[F.lit(o).cast("long").alias(f"o{i}") for i, o in enumerate(offset)])
-        for offset in product(range(-reach, reach + 1), repeat=len(dims))
+        for offset in product(range(-reach, reach + 1), repeat=len(cells))
     ])
     asked = (
         queries.select(*[F.col(c).alias(f"_q_{c}") for c in queries.columns], F.explode(steps).alias("_step"))
@@ -95,7 +108,11 @@ def _site_keys(dims: Sequence[str]) -> list[str]:
 
 
 def neighbour_counts(df: DataFrame, dims: Sequence[str], eps: float) -> DataFrame:
-    """Distinct points with their copies and the rows within ``eps`` (the point itself included)."""
+    """Distinct points with their copies and the rows within ``eps`` (the point itself included).
+
+    Rows with a NULL coordinate have no distance and are no point.
+    """
+    dims = widest(df, dims)
     sites = sites_of(df, dims, eps, [F.count(F.lit(1)).alias("copies")])
     near = cell_join(sites, sites, dims, 1, hot_cells(sites, dims)).where(gap_squared(dims) <= F.lit(eps * eps))
     return near.groupBy(*_site_keys(dims)).agg(
@@ -109,6 +126,7 @@ def with_neighbour_counts(df: DataFrame, dims: Sequence[str], eps: float) -> Dat
 
 def neighbour_pairs(df: DataFrame, key: str, dims: Sequence[str], eps: float) -> DataFrame:
     """The join itself: pairs (key, other, distance) of different rows, each pair once."""
+    dims = widest(df, dims)
     points = on_grid(df.select(key, *[F.col(d).cast("double").alias(d) for d in dims]), dims, eps)
     near = cell_join(points, points, dims, 1, hot_cells(points, dims)).where(
         (F.col(f"_q_{key}") < F.col(key)) & (gap_squared(dims) <= F.lit(eps * eps))
@@ -122,8 +140,11 @@ def kth_distance(df: DataFrame, dims: Sequence[str], k: int) -> DataFrame:
     """Distinct points with their copies and the distance to the k-th other row.
 
     The search radius starts at the spacing of the densest cell and doubles; a point leaves
-    as soon as its ball holds k other rows, so dense regions never see a large ball.
+    as soon as its ball holds k other rows, so dense regions never see a large ball.  Rows with
+    a NULL coordinate are no point.
     """
+    dims = widest(df, dims)
+    df = df.dropna(subset=list(dims))
     d = len(dims)
     spread = df.agg(*[F.min(x).cast("double").alias(f"lo{i}") for i, x in enumerate(dims)],
                     *[F.max(x).cast("double").alias(f"hi{i}") for i, x in enumerate(dims)],
@@ -171,6 +192,7 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
 
 def neighbour_labels(df: DataFrame, dims: Sequence[str], label: str, eps: float) -> DataFrame:
     """Distinct points with the majority label of the rows at distance 0 < d <= eps (smallest label on ties)."""
+    dims = widest(df, dims)
     sites = sites_of(df, dims, eps, [F.count(F.lit(1)).alias("n")])
     points = df.withColumns({d: F.col(d).cast("double") for d in dims})
     voters = on_grid(points, dims, eps).groupBy(*cell_names(dims), *dims, F.col(label).alias("_label")).agg(

@@ -69,6 +69,42 @@ def dbscan_orders(spark, sf):
     return density.dbscan(order_points(spark, sf), "o_orderkey", ["x", "y"], EPS, MIN_PTS)
 
 
+# Eight standardised dimensions, one of them with gaps, as the survey answers have them.
+Z_SQL = ", ".join(f"(e{i} - AVG(e{i}) OVER ()) / stddev_pop(e{i}) OVER () AS z{i}" for i in range(8))
+Z_GAP = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(8))
+
+
+def standard_vectors(spark, sf):
+    dims = [f"e{i}" for i in range(8)]
+    rows = vec(spark, sf).select("vec_id", *[
+        (F.when(F.col("vec_id") % 40 != 0, F.get("embedding", F.lit(0))) if i == 0 else F.get("embedding", F.lit(i))).alias(d) for i, d in enumerate(dims)])
+    return prepare.fit_standard(rows, dims).transform(rows), dims
+
+
+@query("dbscan_8d", f"""
+    WITH RECURSIVE e AS (SELECT vec_id, CASE WHEN vec_id % 40 <> 0 THEN embedding[1]::DOUBLE END AS e0, {", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(1, 8))} FROM embeddings),
+    p AS MATERIALIZED (SELECT vec_id, {Z_SQL} FROM e),
+    n AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM p a, p b WHERE {Z_GAP} <= 2.0::DOUBLE * 2.0::DOUBLE),
+    core AS MATERIALIZED (SELECT a FROM n GROUP BY 1 HAVING COUNT(*) >= 4),
+    e2 AS MATERIALIZED (SELECT a, b FROM n WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
+    reach AS (SELECT a, a AS b FROM core UNION SELECT least(r.a, e2.a), e2.b FROM reach r JOIN e2 ON r.b = e2.a),
+    comp AS (SELECT b AS vec_id, MIN(a) AS cluster FROM reach GROUP BY 1),
+    border AS (SELECT n.a AS vec_id, MIN(c.cluster) AS cluster FROM n JOIN comp c ON c.vec_id = n.b GROUP BY 1)
+    SELECT p.vec_id, COALESCE(c.cluster, b.cluster, -1)::BIGINT AS cluster, (c.cluster IS NOT NULL)::BIGINT AS is_core
+    FROM p LEFT JOIN comp c USING (vec_id) LEFT JOIN border b USING (vec_id)
+""")
+def dbscan_8d(spark, sf):
+    rows, dims = standard_vectors(spark, sf)
+    return density.dbscan(rows, "vec_id", dims, 2.0, 4).withColumn("is_core", F.col("is_core").cast("long"))
+
+
+@query("dbscan_sweep")
+def dbscan_sweep(spark, sf):
+    rows, dims = standard_vectors(spark, sf)
+    out, eps = density.dbscan_sweep(rows, "vec_id", dims, (1.5, 2.0, 2.5), 5)
+    return out.select("vec_id", "cluster", F.lit(eps).alias("eps"))
+
+
 @query("knn_kdist", """
     WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings),
     r AS (SELECT a.vec_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2,

@@ -53,6 +53,27 @@ def test_dbscan_in_three_dimensions(spark):
     assert list(got["cluster"]) == list(brute_dbscan(xyz, 0.07, 4)[0])
 
 
+def test_many_dimensions_and_gaps(spark):
+    """Six dimensions block on three; a row with a gap is noise."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 0.15, (40, 6)) for c in (0.0, 1.0)] + [rng.uniform(-3, 3, (30, 6))])
+    dims = [f"d{i}" for i in range(6)]
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)] + [(500, None, *[0.0] * 5)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{d} double" for d in dims))
+    near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= 0.45 ** 2
+    core = near.sum(axis=1) >= 4
+    label = np.where(core, np.arange(len(x)), len(x))
+    for _ in range(len(x)):
+        label = np.where(core, np.where(near & core[None], label[None], len(x)).min(axis=1), len(x))
+    border = np.where(near & core[None], label[None], len(x)).min(axis=1)
+    want = {i: (int(border[i]) if border[i] < len(x) else -1, bool(core[i])) for i in range(len(x))} | {500: (-1, False)}
+    assert {r["id"]: (r["cluster"], r["is_core"]) for r in density.dbscan(df, "id", dims, 0.45, 4).collect()} == want
+    got = distance.with_neighbour_counts(df, dims, 0.45).collect()
+    assert {r["id"]: r["neighbours"] for r in got} == {i: int(n) for i, n in enumerate(near.sum(axis=1))} | {500: None}
+    out, eps = density.dbscan_sweep(df, "id", dims, (0.01, 0.45, 9.0), 4)
+    assert eps == 0.45 and out.count() == len(rows)
+
+
 def test_dense_cells_far_and_near(spark):
     """Dense cells whose points are just within or just beyond the radius."""
     eps = 1.0
