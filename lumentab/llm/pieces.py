@@ -15,8 +15,8 @@ import numpy as np
 from lumentab.llm.words import SPACED, Cut
 
 TOKENIZER = "word_bpe_49k.json"
-#: Pieces held by a worker, and bytes of new pieces encoded in one call.
-KNOWN, CALL_BYTES = 400_000, 1 << 20
+#: Pieces held by a worker (some 35 bytes each), pieces joined into one text for the tokenizer, and bytes of a call.
+KNOWN, JOINED, CALL_BYTES = 2_000_000, 256, 1 << 20
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -28,7 +28,7 @@ def tokenizer_path(path: str | None = None) -> str:
 
 
 class PieceTable:
-    """Slots of known pieces; ``sizes[slot]`` tokens from ``starts[slot]`` in ``ids``."""
+    """Known pieces by ascending fingerprint: ``sizes`` tokens each, from ``starts`` in ``ids``."""
 
     _of: dict[str, PieceTable] = {}
 
@@ -48,42 +48,47 @@ class PieceTable:
         return cls._of[path]
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.marks = np.empty(0, np.uint64)
         self.sizes = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
 
-    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        sizes, ids, lo = [], [], 0
-        while lo < len(pieces):
-            hi, held = lo, 0
-            while hi < len(pieces) and (hi == lo or held + len(pieces[hi]) <= CALL_BYTES):
-                held += len(pieces[hi])
-                hi += 1
-            for got in self.tokenizer.encode_batch_fast([p.decode() for p in pieces[lo:hi]], add_special_tokens=False):
-                sizes.append(len(got.ids))
-                ids.extend(got.ids)
-            lo = hi
-        return np.array(sizes, dtype=np.int64), np.array(ids, dtype=np.uint32)
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens per piece, and all ids.  Pieces are joined with spaces; offsets tell whose a token is."""
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        groups = [pieces[k:k + JOINED] for k in range(0, len(pieces), JOINED)]
+        while groups:
+            held, call = 0, []
+            while groups and (not call or held < CALL_BYTES):
+                call.append(groups.pop())
+                held += sum(map(len, call[-1]))
+            for own, got in zip(call, self.tokenizer.encode_batch([" ".join(c) for c in call], add_special_tokens=False), strict=True):
+                ends = np.cumsum([len(p) + 1 for p in own])
+                at = np.array([o[0] for o in got.offsets], dtype=np.int64)
+                sizes.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(own)))
+                ids.append(np.array(got.ids, dtype=np.uint32))
+        # The groups were taken from the end.
+        return np.concatenate(sizes[:1] + sizes[:0:-1]), np.concatenate(ids[:1] + ids[:0:-1])
 
     def slots(self, cut: Cut) -> np.ndarray:
-        """The slot of every piece of a block."""
+        """The place of every piece of a block in the table."""
         marks, at, back = np.unique(cut.fingerprints(), return_index=True, return_inverse=True)
-        if len(self.slot) + len(marks) > KNOWN:
+        if len(self.marks) + len(marks) > KNOWN:
             self.clear()
-        keys = marks.tolist()
-        got = [self.slot.get(k, -1) for k in keys]
-        new = [n for n, s in enumerate(got) if s < 0]
-        if new:
+        place = np.searchsorted(self.marks, marks)
+        fresh = np.ones(len(marks), dtype=bool)
+        inside = place < len(self.marks)
+        fresh[inside] = self.marks[place[inside]] != marks[inside]
+        if fresh.any():
+            new = np.flatnonzero(fresh)
             data = cut.bytes
-            sizes, ids = self._encode([data[cut.starts[at[n]]:cut.ends[at[n]]].tobytes() for n in new])
-            known = len(self.sizes)
-            self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
-            self.sizes = np.concatenate((self.sizes, sizes))
+            sizes, ids = self._encode([data[s:e].tobytes().decode() for s, e in zip(cut.starts[at[new]].tolist(), cut.ends[at[new]].tolist(), strict=True)])
+            self.starts = np.insert(self.starts, place[new], len(self.ids) + np.cumsum(sizes) - sizes)
+            self.sizes = np.insert(self.sizes, place[new], sizes)
+            self.marks = np.insert(self.marks, place[new], marks[new])
             self.ids = np.concatenate((self.ids, ids))
-            for k, n in enumerate(new):
-                got[n] = self.slot[keys[n]] = known + k
-        return np.array(got, dtype=np.int64)[back]
+            place = place + np.cumsum(fresh) - fresh
+        return place[back]
 
     def lengths(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text of a block."""
