@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.operators import order
 from lumentab.operators.reshape import stack_cells
+from lumentab.operators.ship import join_with_nulls
 
 # Fixed value: double precision spacing used to clip probabilities in the log loss.
 PROBABILITY_EPS = 2.220446049250313e-16
@@ -148,7 +149,7 @@ def metrics_by_split(df: DataFrame, split: str, y: str, prob: str, threshold: fl
         "precision": or_zero(F.col("tp"), F.col("tp") + F.col("fp")),
         "recall": or_zero(F.col("tp"), F.col("tp") + F.col("fn")),
     }).withColumn("f1", f1_of(F.col("precision"), F.col("recall")))
-    return base.join(ranking_metrics(df, y, prob, [split]), split)
+    return join_with_nulls(base, ranking_metrics(df, y, prob, [split]), [split])
 
 
 def threshold_sweep(df: DataFrame, y: str, prob: str, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:

@@ -78,6 +78,21 @@ def linear(df: DataFrame, label: str, alpha: float = 0.0, penalty: str = "ridge"
     ).fit(df)
 
 
+class LinearClasses:
+    """Least squares on the class number, rounded and clipped to the classes seen."""
+
+    def __init__(self, model: Model, classes: int):
+        self.model, self.classes = model, classes
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(df).withColumn("prediction", ordinal_prediction("prediction", self.classes))
+
+
+def linear_classes(df: DataFrame, label: str) -> LinearClasses:
+    top = df.agg(F.max(label)).first()[0]
+    return LinearClasses(linear(df, label), int(top) + 1)
+
+
 def ordinal_prediction(prediction: str, classes: int) -> Column:
     """Regression output rounded half to even and clipped to the class range."""
     return F.greatest(F.lit(0.0), F.least(F.lit(float(classes - 1)), F.bround(F.col(prediction), 0)))

@@ -12,21 +12,22 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from lumentab.operators.reshape import name_of, stack_cells
 from lumentab.operators.ship import SHIP_ROWS, ship_if_short
 from lumentab.session import shuffle_width
 
 CUT = "_cut"
-MIN_CUTS, MAX_CUTS = 64, 4096
+# Cuts, at least; one window task gets about CUT_ROWS rows of a larger table.
+MIN_CUTS, CUT_ROWS = 64, 2_000_000
 # So few values fit in the buffer of one aggregate; larger tables are cut.
 SMALL_ROWS = 100_000
 SAMPLE_STEP = 16
 
 
-def _cuts(df: DataFrame) -> int:
-    return max(MIN_CUTS, min(MAX_CUTS, 4 * shuffle_width(df.sparkSession)))
+def _cuts(df: DataFrame, rows: int = 0) -> int:
+    return max(MIN_CUTS, 4 * shuffle_width(df.sparkSession), -(-rows // CUT_ROWS))
 
 
 def _is_number(df: DataFrame, name: str) -> bool:
@@ -44,11 +45,16 @@ def splitters(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     found: dict[str, list] = {}
     numbers = [c for c in cols if _is_number(df, c)]
     if numbers:
-        probs = [i / n for i in range(1, n)]
-        row = df.sample(1 / SAMPLE_STEP, seed=7).agg(
-            F.count(F.lit(1)).alias("|n"),
-            *[F.percentile_approx(F.col(c).cast("double"), probs, 8 * n).alias(c) for c in numbers],
-        ).first()
+        def sketch(cuts: int) -> Row:
+            probs = [i / cuts for i in range(1, cuts)]
+            return df.sample(1 / SAMPLE_STEP, seed=7).agg(
+                F.count(F.lit(1)).alias("|n"),
+                *[F.percentile_approx(F.col(c).cast("double"), probs, 8 * cuts).alias(c) for c in numbers],
+            ).first()
+
+        row = sketch(n)
+        if _cuts(df, row["|n"] * SAMPLE_STEP) > n:  # a table so large gets more cuts
+            row = sketch(_cuts(df, row["|n"] * SAMPLE_STEP))
         small = row["|n"] * SAMPLE_STEP * len(numbers) <= SMALL_ROWS
         found.update({c: [] if small else sorted(set(row[c] or [])) for c in numbers})
     for c in cols:
@@ -58,8 +64,8 @@ def splitters(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
                 .orderBy(F.xxhash64(c)).limit(4 * n).collect()
             )
             values = sorted(r[0] for r in sample)
-            few = len(values) < 4 * n  # the sample is the whole set
-            found[c] = [] if few else sorted(set(values[i * len(values) // n] for i in range(1, n)))
+            # A sample that is the whole set cuts at every value.
+            found[c] = values if len(values) < 4 * n else sorted(set(values[i * len(values) // n] for i in range(1, n)))
     return found
 
 
@@ -190,7 +196,7 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", ties: Sequence[str] =
     inside = Window.partitionBy(CUT).orderBy(key, *ties)
     return (
         cells.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), CUT)  # at most MAX_CUTS + 1 rows
+        .join(F.broadcast(offsets), CUT)  # one row per cut
         .withColumn(out, (F.col("_offset") + F.col("_row") - 1).cast("long"))
         .drop(CUT, "_row", "_offset")
     )

@@ -11,11 +11,21 @@ from lumentab.operators.order import rows_at
 from lumentab.operators.ship import join_with_nulls, ship_if_short
 
 SLOT, HASH = "_slot", "_hash"
+# Rows that share a hash prefix, about, where a class has more than 16^3 times as many.
+SLOT_ROWS = 1_000_000
+
+
+def _prefix_digits(rows: int) -> int:
+    """Hex digits that keep the rows of a prefix near ``SLOT_ROWS``; the width decides no result."""
+    digits = 3
+    while rows > SLOT_ROWS * 16 ** digits:
+        digits += 1
+    return digits
 
 
 def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.withColumn(HASH, digest).withColumn(SLOT, F.substring(HASH, 1, 3))
+    return df.withColumn(HASH, digest).withColumn(SLOT, F.substring(HASH, 1, _prefix_digits(df.count())))
 
 
 def _slots(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -34,7 +44,7 @@ def hash_split(df: DataFrame, key: str, fractions: Sequence[float], names: Seque
     """Split with exact sizes ``floor(cumulative fraction * n)`` per class.
 
     Hash prefixes are counted first.  Nearly all prefixes lie wholly in one part and need
-    no sort; only the few that hold a boundary are ranked, in tasks of 1/4096 of a class.
+    no sort; only the few that hold a boundary are ranked, in tasks of a million rows or 1/4096 of a class.
     """
     by = list(by)
     rows = _hashed(df, key, seed)

@@ -233,6 +233,19 @@ def pca_2d(spark, sf):
     return rounded(cluster.fit_projection(rows, "embedding").transform(rows, "embedding").select("vec_id", "pc1", "pc2"), 6)
 
 
+@query("pca_pair", f"""
+    WITH {POINTS_SQL}, s AS (SELECT AVG(x) AS mx, AVG(y) AS my, 0.5::DOUBLE * atan2(2 * covar_samp(x, y), var_samp(x) - var_samp(y)) AS t FROM p),
+    a AS (SELECT mx, my, cos(t) * CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS ax,
+                 sin(t) * CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS ay,
+                 -sin(t) * CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS bx,
+                 cos(t) * CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS "by" FROM s)
+    SELECT o_orderkey, ROUND((x - mx) * ax + (y - my) * ay, 6) + 0.0 AS pc1, ROUND((x - mx) * bx + (y - my) * "by", 6) + 0.0 AS pc2 FROM p, a
+""")
+def pca_pair(spark, sf):
+    rows = order_points(spark, sf).withColumn("v", F.array("x", "y"))
+    return rounded(cluster.fit_projection(rows, "v").transform(rows, "v").select("o_orderkey", "pc1", "pc2"), 6)
+
+
 @query("db_ch_index", f"""
     WITH {CENTRE_SQL}, own AS (SELECT e.label AS c, g.d2 FROM embeddings e JOIN g ON g.vec_id = e.vec_id AND g.c = e.label),
     s AS (SELECT c, AVG(sqrt(d2)) AS s, SUM(d2) AS w, COUNT(*) AS n FROM own GROUP BY 1),

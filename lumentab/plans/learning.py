@@ -44,7 +44,7 @@ def part(df, name):
 @query("ml_logreg_multi")
 def ml_logreg_multi(spark, sf):
     rows = embedded(spark, sf)
-    model = models.logistic(part(rows, "train"), "label", 1.0, multinomial=True, max_iter=100)
+    model = models.logistic(part(rows, "train"), "label", 1.0, multinomial=True)
     return rounded(ev.class_report(model.transform(part(rows, "test")), "label", "prediction"), 6)
 
 
@@ -92,14 +92,14 @@ def ml_tree(spark, sf):
 @query("ml_forest")
 def ml_forest(spark, sf):
     rows = embedded(spark, sf)
-    predicted = models.forest(part(rows, "train"), "label", 20, 5, 3).transform(part(rows, "test"))
+    predicted = models.forest(part(rows, "train"), "label", 100, 5, 3).transform(part(rows, "test"))
     return rounded(ev.summary_report(ev.class_report(predicted, "label", "prediction")), 6)
 
 
 @query("ml_gbt_ovr")
 def ml_gbt_ovr(spark, sf):
     rows = ready(spark, sf)
-    model = models.boosting_one_vs_rest(part(rows, "train"), "level", maxIter=5, maxDepth=3, minInstancesPerNode=3)
+    model = models.boosting_one_vs_rest(part(rows, "train"), "level", maxIter=50, maxDepth=3, minInstancesPerNode=3)
     return rounded(ev.summary_report(ev.class_report(model.transform(part(rows, "test")), "level", "prediction")), 6)
 
 
@@ -110,28 +110,38 @@ def ml_gbt_bin(spark, sf):
     gappy = risk_rows(spark, sf).withColumn("price", F.when(F.col("c_custkey") % 9 != 0, F.col("price")))
     filled, names = models.with_missing_marks(gappy, FEATURES, prepare.fit_medians(part(gappy, "train"), FEATURES))
     rows = models.assemble(filled, names).persist()
-    model = models.boosting("label", maxIter=10, maxDepth=3, stepSize=0.1, minInstancesPerNode=5).fit(part(rows, "train"))
+    model = models.boosting("label", maxIter=100, maxDepth=3, stepSize=0.1, minInstancesPerNode=5).fit(part(rows, "train"))
     return rounded(ev.metrics_by_split(models.scored_rows(model, rows, ["split"], "label"), "split", "y_true", "prob", 0.5), 6)
 
 
 @query("ml_grid_cv")
 def ml_grid_cv(spark, sf):
     rows = split.fold_numbers(part(ready(spark, sf), "train"), "c_custkey", 3, "label").persist()
-    learner = RandomForestClassifier(labelCol="label", seed=models.SEED)
-    settings = models.grid(numTrees=(5, 10), maxDepth=(3, 5), minInstancesPerNode=(1, 5))
-    return rounded(models.cross_validate(rows, learner, settings, models.accuracy("label"), 3, "fold")[1], 6)
+    forest = RandomForestClassifier(labelCol="label", seed=models.SEED)
+    a = models.cross_validate(rows, forest, models.grid(**models.FOREST_GRID), models.accuracy("label"), 3, "fold", 8)[1]
+    logistic = LogisticRegression(labelCol="label", standardization=False, maxIter=1000)
+    n = rows.count() * 2 / 3  # a fold's training rows
+    settings = [{"regParam": 1.0 / (c * n)} for c in models.LOGISTIC_C]
+    b = models.cross_validate(rows, logistic, settings, models.accuracy("label"), 3, "fold", 8)[1]
+    out = a.withColumn("job", F.lit("forest")).unionByName(b.withColumn("job", F.lit("logistic")), allowMissingColumns=True)
+    rows.unpersist()
+    return rounded(out, 6)
 
 
 @query("ml_random_cv")
 def ml_random_cv(spark, sf):
     rows = split.fold_numbers(part(ready(spark, sf), "train"), "c_custkey", 5).persist()
-    n = rows.count()
-    logistic = LogisticRegression(labelCol="label", standardization=False, maxIter=100)
-    settings = [
-        {"regParam": 1.0 / (c * n), "elasticNetParam": float(i % 2)} for i, c in enumerate(models.log_uniform(4))]
-    a = models.cross_validate(rows, logistic, settings, models.accuracy("label"), 5, "fold")[1].withColumn("job", F.lit("classify"))
-    regression = LinearRegression(labelCol="c_acctbal", standardization=False, maxIter=100)
-    b = models.cross_validate(rows, regression, settings, models.r_squared("c_acctbal"), 5, "fold")[1].withColumn("job", F.lit("regress"))
+    n = rows.count() * 4 / 5  # a fold's training rows
+    sd = rows.agg(F.stddev_pop("c_acctbal")).first()[0]
+    logistic = LogisticRegression(labelCol="label", standardization=False, maxIter=1000)
+    settings = [{"regParam": 1.0 / (c * n), "elasticNetParam": float(i % 2)} for i, c in enumerate(models.log_uniform(50))]
+    a = models.cross_validate(rows, logistic, settings, models.accuracy("label"), 5, "fold", 8)[1].withColumn("job", F.lit("classify"))
+    # Ridge and lasso draw their own alphas; the ridge term is scaled as in models.linear.
+    alphas = [("ridge", x) for x in models.log_uniform(25, 1e-3, 1e3)] + [("lasso", x) for x in models.log_uniform(25, 1e-4, 1e2)]
+    settings = [{"regParam": x * sd / n if kind == "ridge" else x, "elasticNetParam": float(kind == "lasso")} for kind, x in alphas]
+    regression = LinearRegression(labelCol="c_acctbal", standardization=False, maxIter=1000, solver="normal")
+    b = models.cross_validate(rows, regression, settings, models.r_squared("c_acctbal"), 5, "fold", 8)[1].withColumn("job", F.lit("regress"))
+    rows.unpersist()
     return rounded(a.unionByName(b), 6)
 
 
@@ -159,14 +169,14 @@ def ml_isotonic(spark, sf):
 @query("ml_importance")
 def ml_importance(spark, sf):
     rows = ready(spark, sf)
-    return as_long(rounded(models.importance_table(models.forest(part(rows, "train"), "label", 10, 4, 3), FEATURES, rows), 6))
+    return as_long(rounded(models.importance_table(models.forest(part(rows, "train"), "label", 100, 4, 3), FEATURES, rows), 6))
 
 
 @query("ml_label_versions")
 def ml_label_versions(spark, sf):
     rows = ready(spark, sf).withColumn(
         "corrected", F.when((F.col("n_orders") > 12) & (F.col("c_custkey") % 2 == 0), 1.0).otherwise(F.col("label")))
-    learners = {"tree": models.tree, "logistic": lambda df, label: models.logistic(df, label, max_iter=100)}
+    learners = {"tree": models.tree, "logistic": models.logistic, "linear": models.linear_classes}
     return rounded(models.compare_label_versions(rows, "split", {"original": "label", "corrected": "corrected"}, learners), 6)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumentab.operators import evaluate as ev
-from lumentab.plans.registry import as_long, query, rounded, table
+from lumentab.plans.registry import ORACLES, as_long, query, rounded, table
 
 SCORED_SQL = """s AS (SELECT doc_id, quality, toxic, lang, n_chars / (n_chars + 1500.0::DOUBLE) AS prob,
         CASE WHEN doc_id % 5 = 0 THEN 'test' WHEN doc_id % 5 = 1 THEN 'valid' ELSE 'train' END AS split
@@ -199,9 +199,9 @@ BOARD_METRICS_SQL = """
 @query("scoreboard", f"""
     WITH {SCORED_SQL}, u AS (SELECT split, quality, 'ours' AS model, prob FROM s UNION ALL
                              SELECT split, quality, 'theirs', sqrt(prob) * 0.9::DOUBLE FROM s),
-    t AS (SELECT *, rank() OVER (PARTITION BY split, model ORDER BY prob) + (COUNT(*) OVER (PARTITION BY split, model, prob) - 1) / 2.0::DOUBLE AS rk FROM u),
+    t AS MATERIALIZED (SELECT *, rank() OVER (PARTITION BY split, model ORDER BY prob) + (COUNT(*) OVER (PARTITION BY split, model, prob) - 1) / 2.0::DOUBLE AS rk FROM u),
     d AS (SELECT split, model, prob, SUM(quality) AS pos, COUNT(*) AS n FROM u GROUP BY 1, 2, 3),
-    w AS (SELECT split, model, pos, SUM(pos) OVER (PARTITION BY split, model ORDER BY prob DESC) AS tp,
+    w AS MATERIALIZED (SELECT split, model, pos, SUM(pos) OVER (PARTITION BY split, model ORDER BY prob DESC) AS tp,
                  SUM(n) OVER (PARTITION BY split, model ORDER BY prob DESC) AS called, SUM(pos) OVER (PARTITION BY split, model) AS p FROM d),
     m AS ({BOARD_METRICS_SQL})
     SELECT a.split, a.metric, ROUND(a.value, 5) AS ours, ROUND(b.value, 5) AS theirs,
@@ -215,7 +215,10 @@ def scoreboard(spark, sf):
     return rounded(ev.scoreboard(ours, theirs), 5)
 
 
-@query("scoreboard_tally")
+@query("scoreboard_tally", f"""
+    WITH b AS ({ORACLES["scoreboard"]}), k AS (SELECT split, count(*) FILTER (winner = 'ours')::BIGINT AS ours_won, count(*) FILTER (winner = 'theirs')::BIGINT AS theirs_won FROM b GROUP BY 1)
+    SELECT *, CASE WHEN ours_won > theirs_won THEN 'won' WHEN ours_won = theirs_won THEN 'draw' ELSE 'lost' END AS result FROM k
+""")
 def scoreboard_tally(spark, sf):
     ours = rounded(_metric_rows(spark, sf, F.col("prob")), 9)
     theirs = rounded(_metric_rows(spark, sf, F.sqrt("prob") * 0.9), 9)

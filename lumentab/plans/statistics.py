@@ -238,6 +238,16 @@ def vif(spark, sf):
     return rounded(stats.variance_inflation(table(spark, sf, "lineitem"), LINES), 6)
 
 
+@query("vif_pair", """
+    WITH g AS (SELECT SUM(l_quantity * l_quantity) AS a, SUM(l_tax * l_tax) AS b, SUM(l_quantity * l_tax) AS c FROM lineitem),
+    v AS (SELECT 1 / (1 - c * c / (a * b)) AS vif FROM g)
+    SELECT k AS "column", ROUND(vif, 6) AS vif, CASE WHEN vif > 10 THEN 'high' WHEN vif > 5 THEN 'moderate' ELSE 'low' END AS band
+    FROM v, (VALUES ('l_quantity'), ('l_tax')) t(k)
+""")
+def vif_pair(spark, sf):
+    return rounded(stats.variance_inflation(table(spark, sf, "lineitem"), ["l_quantity", "l_tax"]), 6)
+
+
 @query("ols_simple", """
     SELECT l_returnflag, ROUND(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
            ROUND(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, ROUND(regr_r2(l_extendedprice, l_quantity), 6) AS r2

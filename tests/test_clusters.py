@@ -253,3 +253,5 @@ def test_budgeted_correction(spark, path):
     counts = {r["label"]: (r["original"], r["corrected"]) for r in audit.before_after(
         audit.correct_labels(df, "id", "label", "vote", "gap"), "label", "corrected").collect()}
     assert counts == {"bajo": (100, 70), "alto": (0, 30)}
+    none = audit.correct_labels(df, "id", "label", "vote", "gap", votes=F.lit(2), min_votes=3)
+    assert none.where("label <> corrected").count() == 0

@@ -66,7 +66,31 @@ def test_iqr_filter_and_report(frame, path):
     keep = pdf["b"].between(low, high) | pdf["b"].isna()
     assert prepare.iqr_filter(df, ["b", "flat"]).count() == keep.sum()
     report = {r["column"]: r for r in prepare.iqr_report(df, ["b", "flat"]).collect()}
-    assert report["b"]["outliers"] == (~keep).sum() and report["flat"]["low"] is None
+    assert report["b"]["outliers"] == (~keep).sum() and report["flat"]["low"] == report["flat"]["high"]
+    skipped = {r["column"]: r for r in prepare.iqr_report(df, ["flat"], skip_flat=True).collect()}
+    assert skipped["flat"]["low"] is None and skipped["flat"]["outliers"] == 0
+
+
+def test_a_column_without_spread_counts_what_differs(spark):
+    df = spark.createDataFrame([(1.0,)] * 20 + [(9.0,)], "x double")
+    assert prepare.iqr_report(df, ["x"]).first()["outliers"] == 1
+
+
+def test_long_encodings_have_no_limit(spark):
+    df = spark.createDataFrame([(i, f"v{i}", "a, b,a" if i % 2 else None) for i in range(3000)], "id long, t string, m string")
+    assert prepare.hot_cells(df, "id", ["t", "m"]).count() == 4500
+    tokens = prepare.hot_tokens(df, "m", "id", ",")
+    assert tokens.count() == 3000 and {r["token"] for r in tokens.select("token").distinct().collect()} == {"a", "b"}
+
+
+def test_shipping_looks_at_bytes(spark, monkeypatch):
+    from lumentab.operators import ship
+
+    texts = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "id long, t string")
+    monkeypatch.setattr(ship, "SHIP_BYTES", 10_000)
+    assert ship.ship_if_short(texts) is texts
+    monkeypatch.setattr(ship, "SHIP_BYTES", 100_000)
+    assert ship.ship_if_short(texts) is not texts
 
 
 def test_one_hot_and_codes(spark):

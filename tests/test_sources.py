@@ -78,3 +78,17 @@ def test_model_store(spark, tmp_path):
     models.save_model(model, str(tmp_path / "m"))
     again = models.load_model(str(tmp_path / "m"))
     assert again.transform(df).select("prediction").collect() == model.transform(df).select("prediction").collect()
+
+
+def test_a_late_byte_decides_the_encoding(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_bytes(b"a;b\n" + b"x;1\n" * 5000 + "Ni\u00f1o;2\n".encode("latin-1"))
+    assert tables.detect_dialect(spark, str(path)) == ("ISO-8859-1", ";")
+    assert tables.read_csv_any(spark, str(path)).where("b = 2").first()["a"] == "Ni\u00f1o"
+
+
+def test_manifest_names_cut_off_features_and_undated_rows(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2020-01-01'), (2, TIMESTAMP '2024-01-01'), (3, NULL) AS t(x, at)")
+    row = tables.manifest(df, "at", "2023-01-01", ["x"]).first()
+    assert (row["n_rows"], row["train_rows"], row["test_rows"], row["undated_rows"]) == (3, 1, 1, 1)
+    assert (row["cut_off"], row["features"]) == ("2023-01-01", "x")

@@ -181,3 +181,43 @@ def test_ranking_small_panel(spark):
     np.testing.assert_allclose(got["score_mean"].sort_index(), means)
     assert list(got.sort_values("ranking").index) == list(means.sort_values().index)
     assert got.loc["c", "trend"] == 0 and got.loc["a", "label_1_pct"] == 100
+
+
+def test_spearman_is_pairwise_complete(spark):
+    rows = [(1.0, 2.0, 5.0), (2.0, 1.0, None), (3.0, 4.0, 3.0), (4.0, 3.0, None), (5.0, 5.0, 1.0), (5.0, 7.0, 1.0)]
+    pdf = pd.DataFrame(rows, columns=["a", "b", "c"])
+    want = {(x, y): pdf[[x, y]].dropna().rank().corr().iloc[0, 1] for x, y in (("a", "b"), ("a", "c"), ("b", "c"))}
+    got = {(r["a"], r["b"]): r["r"] for r in stats.spearman_pairs(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_small_p_values_are_exact(spark):
+    rows = [(0, float(i)) for i in range(200)] + [(1, float(i + 150)) for i in range(200)]
+    row = stats.mann_whitney(spark.createDataFrame(rows, "y int, x double"), ["x"], "y").first()
+    assert row["p"] == pytest.approx(math.erfc(abs(row["z"]) / math.sqrt(2)), rel=1e-12) and 0 < row["p"] < 1e-20
+
+
+def test_collinear_and_empty_columns_inflate_without_end(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, 0.0, float(i * i % 7)) for i in range(30)], "a double, b double, z double, c double")
+    got = {r["column"]: r["vif"] for r in stats.variance_inflation(df, ["a", "b", "z", "c"]).collect()}
+    assert got["a"] == got["b"] == got["z"] == math.inf and got["c"] < 10
+
+
+def test_density_without_spread_and_counts_outside_the_domain(spark):
+    from lumentab.operators import profile
+
+    assert [r["density"] for r in profile.density_curve(spark.createDataFrame([(1.0,), (1.0,)], "x double"), "x", [0.0, 1.0]).collect()] == [None, None]
+    got = {r["v"]: (r["n"], r["share"]) for r in profile.value_counts(spark.createDataFrame([("x",), ("x",), ("z",)], "v string"), "v", ["x", "y"]).collect()}
+    assert got == {"x": (2, pytest.approx(2 / 3)), "y": (0, 0.0), "z": (1, pytest.approx(1 / 3))}
+
+
+def test_split_widths_change_no_result(spark, monkeypatch):
+    from lumentab.operators import split
+
+    df = spark.range(3000).withColumn("y", F.col("id") % 3)
+    one = {r["id"]: r["split"] for r in split.hash_split(df, "id", (0.7, 0.3), ("a", "b"), ["y"]).collect()}
+    folds = {r["id"]: r["fold"] for r in split.fold_numbers(df, "id", 5, "y").collect()}
+    monkeypatch.setattr(split, "SLOT_ROWS", 1 / 16**4)
+    assert split._prefix_digits(3000) > 3
+    assert {r["id"]: r["split"] for r in split.hash_split(df, "id", (0.7, 0.3), ("a", "b"), ["y"]).collect()} == one
+    assert {r["id"]: r["fold"] for r in split.fold_numbers(df, "id", 5, "y").collect()} == folds
