@@ -31,7 +31,9 @@ def test_query_agrees_with_sql(spark, con, name):
     assert ok, text
 
 
-@pytest.mark.parametrize("name", ["dbscan_orders", "subtractive", "pca_2d", "ml_score_table", "ml_ols_ordinal", "vif"])
+@pytest.mark.parametrize("name", [
+    "dbscan_orders", "dbscan_sweep", "subtractive", "kmeans_seeded", "cluster_metrics", "pca_2d", "vif", "ml_score_table", "ml_ols_ordinal",
+    "ml_logreg_bin", "ml_ridge_lasso", "ml_tree", "ml_isotonic", "ml_importance", "ml_label_versions", "probability_histogram"])
 def test_query_without_sql_gives_rows(spark, name):
     assert PLANS[name](spark, str(SF)).count() > 0
 
