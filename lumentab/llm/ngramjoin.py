@@ -97,7 +97,7 @@ def summaries(docs: DataFrame, width: int) -> DataFrame:
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     """Shingles frequent in a sample of about ``SAMPLE`` documents: at most its shingles divided by ``FREQUENT``."""
     step = max(1, docs.count() // SAMPLE)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    sample = docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
