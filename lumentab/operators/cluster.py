@@ -9,8 +9,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -65,10 +67,15 @@ def fit_projection(df: DataFrame, features: str, k: int = 2) -> Projection:
 
 def fit_kmeans(df: DataFrame, k: int, seeds: Sequence[int] = (1, 2, 3), max_iter: int = 300,
                features: str = "features") -> tuple[KMeansModel, float]:
-    """Best of several starts by training cost."""
-    models = [
-        KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df) for s in seeds
-    ]
+    """Best of several starts by training cost; the starts run side by side, so that small jobs overlap."""
+    def run(seed: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
+
+    pool = ThreadPool(min(4, len(seeds)))
+    try:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(run), seeds)
+    finally:
+        pool.close()
     best = min(models, key=lambda m: m.summary.trainingCost)
     return best, float(best.summary.trainingCost)
 

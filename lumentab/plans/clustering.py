@@ -166,14 +166,14 @@ def fcm_step(spark, sf):
 @query("fcm")
 def fcm(spark, sf):
     rows = vec(spark, sf).persist()
-    fit = cluster.fit_fuzzy(rows, "embedding", cluster.hashed_start(rows, "embedding", "vec_id", 3), max_iter=10)
+    fit = cluster.fit_fuzzy(rows, "embedding", cluster.hashed_start(rows, "embedding", "vec_id", 3))
     return rounded(fit.transform(rows, "embedding").select("vec_id", "cluster", "certainty"), 6)
 
 
 @query("fcm_partition_sweep")
 def fcm_partition_sweep(spark, sf):
     rows = vec(spark, sf).persist()
-    return rounded(cluster.partition_sweep(rows, "embedding", "vec_id", (2, 3, 4), max_iter=4), 6)
+    return rounded(cluster.partition_sweep(rows, "embedding", "vec_id"), 6)
 
 
 UNIT_SQL = "s AS (SELECT vec_id, " + ", ".join(
@@ -224,7 +224,7 @@ def kmeans_seeded(spark, sf):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    return rounded(cluster.elbow(vec(spark, sf), "embedding", (1, 2, 3, 4), seeds=(1,)), 6)
+    return rounded(cluster.elbow(vec(spark, sf), "embedding", range(1, 11), seeds=range(1, 11)), 6)
 
 
 @query("pca_2d")
@@ -275,7 +275,7 @@ def silhouette_squared(spark, sf):
 @query("cluster_metrics")
 def cluster_metrics(spark, sf):
     rows = vec(spark, sf).select("vec_id", "embedding").persist()
-    model, _ = cluster.fit_kmeans(cluster.vectors(rows, "embedding"), 3, seeds=(1,))
+    model, _ = cluster.fit_kmeans(cluster.vectors(rows, "embedding"), 3, seeds=range(1, 21))
     labelled = model.transform(cluster.vectors(rows, "embedding"))
     score = cluster.squared_silhouette(labelled, "embedding", "cluster").agg(F.avg("silhouette").alias("silhouette"))
     return rounded(cluster.separation(labelled, "embedding", "cluster").withColumn("silhouette", score.scalar()), 6)
