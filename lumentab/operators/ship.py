@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # A table this small is shipped to every task; a larger one goes through a shuffle join.
 SHIP_ROWS, SHIP_BYTES = 100_000, 8 << 20
+# Rows with texts or arrays that are fetched before their bytes are measured on the cluster.
+FIRST_ROWS = 1000
 
 
 def _has_long_values(table: DataFrame) -> bool:
@@ -30,11 +32,19 @@ def ship_if_short(table: DataFrame) -> DataFrame:
     the join key first, hot keys included.  Measuring the short side costs one small job and
     its rows are not computed again.
     """
-    if _has_long_values(table) and not _is_small(table):
-        return table
-    head = table.limit(SHIP_ROWS + 1).collect()
-    if len(head) > SHIP_ROWS:
-        return table
+    head = None
+    if _has_long_values(table):
+        head = table.limit(FIRST_ROWS + 1).collect()
+        if len(head) > FIRST_ROWS:
+            head = None
+            if not _is_small(table):
+                return table
+        elif sum(len(str(v)) for r in head for v in r) > SHIP_BYTES:
+            return table
+    if head is None:
+        head = table.limit(SHIP_ROWS + 1).collect()
+        if len(head) > SHIP_ROWS:
+            return table
     return F.broadcast(table.sparkSession.createDataFrame(head, table.schema))
 
 
