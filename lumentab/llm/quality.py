@@ -95,9 +95,10 @@ def base_failed(names: dict[str, str]) -> Column:
 
 def host_rates(measures: DataFrame, names: dict[str, str], host: str = "source") -> DataFrame:
     """(host, n_docs, <rule>_failed, <rule>_rate): failures and shrunk rates of every host."""
-    per_host = measures.where(F.col(host).isNotNull()).groupBy(host).agg(
+    # Read several times below: the texts behind it are measured once.
+    per_host = cut_lineage(measures.where(F.col(host).isNotNull()).groupBy(host).agg(
         F.count(F.lit(1)).alias("n_docs"),
-        *[F.sum(_fails(r, names).cast("long")).alias(f"{r}_failed") for r in RULES])
+        *[F.sum(_fails(r, names).cast("long")).alias(f"{r}_failed") for r in RULES]))
     raw = {r: F.col(f"{r}_failed") / F.col("n_docs") for r in RULES}
     # One row: mean and variance over hosts of each rule's raw rate.
     prior = per_host.agg(*[f(raw[r]).alias(f"{r}_{n}") for r in RULES for n, f in (("mean", F.avg), ("var", F.var_pop))]).first()
