@@ -2,9 +2,9 @@
 
 1. Every text becomes a sorted set of shingle fingerprints; equal sets form one class (counted by a pair of
    64-bit set fingerprints and the size), so copies cost one row each and no pair.
-2. A class sends its prefix to buckets: two sets that link share one of the first n - ceil(t n) + 1 shingles
+2. A set sends its prefix to buckets: two sets that link share one of the first n - ceil(t n) + 1 shingles
    under any common order.  The order puts shingles that are frequent in a bounded sample last; that only
-   keeps buckets short, links do not depend on it.  Shingles that no other class sends are dropped.
+   keeps buckets short, links do not depend on it.  Shingles that only equal sets send are dropped.
 3. A bucket, cut into tiles of about ``TILE`` rows where it is longer, compares its rows in bands of signature
    size: a signature is a parity bitmap with a power of two of bits that follows the set's size, and the bits
    in which two signatures differ are a lower bound of the differing shingles, that is an upper bound of the
@@ -28,11 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from lumentab.llm.runs import whole_groups
-from lumentab.llm.words import LOWER, SPACED, Cut, blocks, mix, spare_name, text_buffers, windows, with_columns
+from lumentab.llm.words import LOWER, SPACED, Cut, blocks, mix, spare_name, text_buffers, windows
 from lumentab.operators.density import connected_components
+from lumentab.operators.ship import ship_if_short
 from lumentab.session import cut_lineage
 
 SHINGLE = 4
@@ -72,6 +73,11 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def _set_mark(own: np.ndarray) -> np.uint64:
+    """The first fingerprint of a set."""
+    return mix(own).sum(dtype=np.uint64)
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -83,10 +89,10 @@ def summaries(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             buf, offsets = text_buffers(batch.column(1))
             sets = [s for lo, hi in blocks(offsets) for s in shingle_sets(buf, offsets[lo:hi + 1], width)]
-            one, two = [mix(s) for s in sets], [mix(s ^ np.uint64(0x5851F42D4C957F2D)) for s in sets]
+            two = [mix(s ^ np.uint64(0x5851F42D4C957F2D)) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(np.array([m.sum(dtype=np.uint64) for m in one], dtype=np.uint64).view(np.int64), pa.int64()),
+                pa.array(np.array([_set_mark(s) for s in sets], dtype=np.uint64).view(np.int64), pa.int64()),
                 pa.array(np.array([m.sum(dtype=np.uint64) for m in two], dtype=np.uint64).view(np.int64), pa.int64()),
                 pa.array([signature(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "f1", "f2", "sig"])
 
@@ -113,24 +119,31 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(node, n, prefix) of rows (node, n, text)."""
+    """(f1, key): the prefix shingles of every set of rows (text), once per task for equal sets."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        buf, offsets = text_buffers(batch.column(batch.schema.names.index("text")))
-        often = known.value
-        out = []
-        for lo, hi in blocks(offsets):
-            for own in shingle_sets(buf, offsets[lo:hi + 1], width):
-                if len(own) and len(often):
-                    late = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
-                    own = np.concatenate((own[~late], own[late]))
-                out.append(own[:_prefix_size(len(own), percent)] if len(own) else own)
-        sizes = np.cumsum([0, *(len(o) for o in out)])
-        flat = np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
-        return [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int64()))]
-
-    return with_columns(docs, run, [StructField("prefix", ArrayType(LongType(), False), False)]).drop("text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, seen = known.value, set()
+        for batch in batches:
+            buf, offsets = text_buffers(batch.column(0))
+            for lo, hi in blocks(offsets):
+                marks, keys = [], []
+                for own in shingle_sets(buf, offsets[lo:hi + 1], width):
+                    mark = _set_mark(own)
+                    if not len(own) or int(mark) in seen:
+                        continue
+                    seen.add(int(mark))
+                    if len(often):
+                        late = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+                        own = np.concatenate((own[~late], own[late]))
+                    keys.append(own[:_prefix_size(len(own), percent)])
+                    marks.append(mark)
+                if keys:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(np.array(marks, np.uint64), [len(k) for k in keys]).view(np.int64), pa.int64()),
+                        pa.array(np.concatenate(keys).view(np.int64), pa.int64())], names=["f1", "key"])
+
+    return docs.select("text").mapInArrow(run, "f1 long, key long")
 
 
 def _alike(n: np.ndarray, sigs: list[np.ndarray], block: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -283,14 +296,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = cut_lineage(summaries(source, width))
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.max("sig").alias("sig")))
-    sets = classes.select("node", "n", "sig")
-
-    # Prefixes of one document per class.
-    firsts = classes.select("node", "n").distinct().join(source, F.col("node") == F.col("doc_id")).drop("doc_id")
-    sent = prefixes(firsts, frequent_shingles(source, width), width, percent).select(
-        "node", "n", F.explode("prefix").alias("key"))
-    shared = sent.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("c > 1")
-    buckets = _tiled(shared.join(sets, ["node", "n"]).select("key", "node", "n", "sig", "c"), "key", "c")
+    # Keys that sets of two classes send; equal sets of several tasks are one sender.
+    sent = prefixes(source.where("doc_id IS NOT NULL"), frequent_shingles(source, width), width, percent)
+    by_key = Window.partitionBy("key")
+    shared = sent.withColumns({"low": F.min("f1").over(by_key), "high": F.max("f1").over(by_key)}).where("low < high")
+    shared = shared.select("key", "f1").dropDuplicates(["key", "f1"]).withColumn("c", F.count(F.lit(1)).over(by_key))
+    sets = classes.select("node", "n", "sig", "f1")
+    buckets = _tiled(shared.join(sets, "f1").select("key", "node", "n", "sig", "c"), "key", "c")
     candidates = cut_lineage(candidate_edges(buckets, percent).distinct())
 
     # Rows of one doc_id with different texts belong together.
@@ -300,7 +312,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node"))).distinct()
     parts = connected_components(ends, candidates).withColumnRenamed("component", "part")
     parts = parts.join(parts.groupBy("part").agg(F.count(F.lit(1)).alias("c")), "part")
-    held = parts.join(source, F.col("node") == F.col("doc_id")).select("part", "node", "text", "c")
+    held = source.join(parts, F.col("node") == F.col("doc_id")).select("part", "node", "text", "c")
     links = cut_lineage(exact_edges(_tiled(held, "part", "c"), width, percent).union(twofold).distinct())
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
@@ -317,9 +329,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
 
     Rows without id stay; of rows with the same id one stays.
     """
-    out = jaccard_components(docs, key, text, width, percent)
-    name, tie = spare_name(docs, "gone"), spare_name(docs, "tie")
-    gone = out.where(F.col("component_id") < F.col(key)).select(F.col(key).alias(name)).distinct()
-    left = docs.join(gone, docs[key] == gone[name], "left_anti")
-    left = left.withColumn(tie, F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
-    return left.dropDuplicates([key, tie]).drop(tie)
+    out = cut_lineage(jaccard_components(docs, key, text, width, percent).select(F.col(key).alias("id"), "component_id"))
+    gone, twice = spare_name(docs, "gone"), spare_name(docs, "twice")
+    drop = out.where("component_id < id").select(F.col("id").alias(gone)).distinct()
+    left = docs.join(ship_if_short(drop), docs[key] == F.col(gone), "left_anti")
+    again = out.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias(twice))
+    if again.isEmpty():
+        return left
+    again = ship_if_short(again)
+    once = left.join(again, F.col(key) == F.col(twice), "left_anti")
+    return once.unionByName(left.join(again, F.col(key) == F.col(twice), "left_semi").dropDuplicates([key]))
