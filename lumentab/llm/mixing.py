@@ -79,7 +79,7 @@ def _block_key(block: Column, number: Column, source: Column) -> Column:
 def plan(rows: DataFrame, budget: float | None = None, repeats: float | None = REPEATS, entropy: float | None = None) -> DataFrame:
     """One row per source: share, weight, repeats, passes, blocks, border and cut; rows (source, h, n_tokens)."""
     counted = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    counted = counted.withColumn("blocks", F.ceil(F.sqrt("docs")).cast("long"))
+    counted = cut_lineage(counted.withColumn("blocks", F.ceil(F.sqrt("docs")).cast("long")))
     whole = counted.agg(F.sum("tokens")).first()[0] or 0
     counted = counted.withColumn("share", F.col("tokens") / F.lit(float(max(whole, 1))))
     filled = counted.where("tokens > 0")
@@ -151,7 +151,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
                     repeats: float | None = REPEATS, entropy: float | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture has it, with their columns."""
     h = F.xxhash64(F.col(key), F.col(text), F.lit(SEED))
-    rows = docs.select(F.col(source).alias("source"), h.alias("h"), n_tokens(F.col(text)).alias("n_tokens"))
+    rows = cut_lineage(docs.select(F.col(source).alias("source"), h.alias("h"), n_tokens(F.col(text)).alias("n_tokens")))
     sources = plan(rows, budget, repeats, entropy).select("source", "blocks", "passes", "rest", "border", "border_at", "cut")
     names = {c: spare_name(docs, f"mix_{c}") for c in ("source", "blocks", "passes", "rest", "border", "border_at", "cut", "h", "block", "n")}
     few = ship_if_short(sources.withColumnsRenamed({c: names[c] for c in sources.columns}))
