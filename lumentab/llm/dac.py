@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentab.llm.pieces import PieceTable
 from lumentab.llm.store import shared_folder
-from lumentab.llm.words import blocks, text_buffers
+from lumentab.llm.words import blocks, text_buffers, tidy
 
 CHUNK = 8
 MAGIC = b"DAC1"
@@ -143,7 +143,7 @@ def write_tokens(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
             yield close()
 
     schema = "part int, block int, first long, n_ids long, doc_ids array<long>, sizes array<long>, codes binary"
-    ordered.mapInArrow(run, schema).write.parquet(folder)
+    ordered.mapInArrow(tidy(run), schema).write.parquet(folder)
 
 
 def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
@@ -170,7 +170,7 @@ def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> Dat
                     names=[key, "start", "n_tokens", "ids_crc32"])
 
     return files.select("part", "first", "doc_ids", "sizes", "codes").mapInArrow(
-        run, f"`{key}` long, start long, n_tokens long, ids_crc32 long")
+        tidy(run), f"`{key}` long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None, path: str | None = None) -> DataFrame:

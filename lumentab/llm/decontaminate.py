@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from lumentab.llm.words import ALNUM, LOWER, Cut, blocks, spare_name, text_buffers, with_columns
+from lumentab.llm.words import ALNUM, LOWER, Cut, blocks, spare_name, text_buffers, tidy, with_columns
 
 WINDOW = 10
 #: Bytes of benchmark text searched at a time.
@@ -273,6 +273,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
 
     result = None
     for probe in probes(benchmark, "item_id", "text", window):
-        part = pairs.mapInArrow(lambda batches, probe=probe: found(batches, probe.value), MATCH)
+        part = pairs.mapInArrow(tidy(lambda batches, probe=probe: found(batches, probe.value)), MATCH)
         result = part if result is None else result.unionByName(part)
     return result

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from lumentab.llm.words import with_columns
+from lumentab.llm.words import tidy, with_columns
 
 WIDTH = 1024
 SEED = 20_251
@@ -130,7 +130,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         names = sorted(total)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([total[k].tolist() for k in names], pa.list_(pa.int64()))], names=["lang", "v"])
 
-    sums = (chosen.select("lang", "text").mapInArrow(run, "lang string, v array<long>")
+    sums = (chosen.select("lang", "text").mapInArrow(tidy(run), "lang string, v array<long>")
             .select("lang", F.posexplode("v").alias("d", "x")).groupBy("lang", "d").agg(F.sum("x").alias("x")).collect())
     names = sorted(known)
     at = {k: n for n, k in enumerate(names)}

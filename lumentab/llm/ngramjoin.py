@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from lumentab.llm.runs import whole_groups
-from lumentab.llm.words import LOWER, SPACED, Cut, blocks, mix, spare_name, text_buffers, windows
+from lumentab.llm.words import LOWER, SPACED, Cut, blocks, mix, spare_name, text_buffers, tidy, windows
 from lumentab.operators.density import connected_components
 from lumentab.operators.ship import ship_if_short
 from lumentab.session import cut_lineage
@@ -97,7 +97,7 @@ def summaries(docs: DataFrame, width: int) -> DataFrame:
                 pa.array([signature(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "f1", "f2", "sig"])
 
     fields = [docs.schema["doc_id"], *(StructField(c, LongType(), False) for c in ("n", "f1", "f2")), StructField("sig", BinaryType(), False)]
-    return docs.mapInArrow(run, StructType(fields))
+    return docs.mapInArrow(tidy(run), StructType(fields))
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -113,7 +113,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
                 value, count = np.unique(own, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count, pa.int64())], names=["s", "c"])
 
-    counted = sample.mapInArrow(run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
+    counted = sample.mapInArrow(tidy(run), "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
     rows = counted.select("s").toArrow().column("s").to_numpy()
     return np.sort(rows.astype(np.int64).view(np.uint64))
 
@@ -143,7 +143,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
                         pa.array(np.repeat(np.array(marks, np.uint64), [len(k) for k in keys]).view(np.int64), pa.int64()),
                         pa.array(np.concatenate(keys).view(np.int64), pa.int64())], names=["f1", "key"])
 
-    return docs.select("text").mapInArrow(run, "f1 long, key long")
+    return docs.select("text").mapInArrow(tidy(run), "f1 long, key long")
 
 
 def _alike(n: np.ndarray, sigs: list[np.ndarray], block: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +264,7 @@ def candidate_edges(buckets: DataFrame, percent: int) -> DataFrame:
                     parts.append(_forest(node[lo:hi], _labels(hi - lo, i, j)))
             yield _edge_batch(parts)
 
-    return buckets.mapInArrow(run, "a long, b long")
+    return buckets.mapInArrow(tidy(run), "a long, b long")
 
 
 def exact_edges(tiles: DataFrame, width: int, percent: int) -> DataFrame:
@@ -286,7 +286,7 @@ def exact_edges(tiles: DataFrame, width: int, percent: int) -> DataFrame:
                     parts.append(_forest(node[lo:hi], _links(sets, i, j, percent)))
             yield _edge_batch(parts)
 
-    return tiles.mapInArrow(run, "a long, b long")
+    return tiles.mapInArrow(tidy(run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,

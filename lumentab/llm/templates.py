@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from lumentab.llm.words import with_columns
+from lumentab.llm.words import tidy, with_columns
 from lumentab.operators.ship import ship_if_short
 from lumentab.session import cut_lineage
 
@@ -224,7 +224,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                              names=["host", "page", "token", "n", "chars", "linked"])
 
-    return pages.mapInArrow(run, TOKENS).groupBy("host", "token").agg(
+    return pages.mapInArrow(tidy(run), TOKENS).groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
         F.bit_xor(F.xxhash64("page", "n")).alias("v1"), F.bit_xor(F.xxhash64("n", "page", F.lit(1))).alias("v2"))
 

@@ -7,7 +7,9 @@ batch in blocks of at most ``BLOCK_BYTES`` of text, which bounds the temporary a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text worked on at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 AS_IS = np.arange(256, dtype=np.uint8)
 LOWER = AS_IS.copy()
@@ -127,6 +129,28 @@ def windows(marks: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Batches) -> Batches:
+    """``run``, whose worker gives freed memory back after each batch and at the end: idle workers stay with their executor."""
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    @wraps(run)
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in run(batches):
+                yield batch
+                give_back()
+        finally:
+            give_back()
+
+    return out
+
+
 def with_columns(df: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[StructField]) -> DataFrame:
     """``df`` with further columns worked out per Arrow batch."""
     names = [*df.columns, *(f.name for f in fields)]
@@ -135,7 +159,7 @@ def with_columns(df: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]],
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *run(batch)], names=names)
 
-    return df.mapInArrow(apply, StructType([*df.schema.fields, *fields]))
+    return df.mapInArrow(tidy(apply), StructType([*df.schema.fields, *fields]))
 
 
 def spare_name(df: DataFrame, name: str) -> str:
