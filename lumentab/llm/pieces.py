@@ -16,7 +16,7 @@ from lumentab.llm.words import SPACED, Cut
 
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces held by a worker (some 35 bytes each), pieces joined into one text for the tokenizer, and bytes of a call.
-KNOWN, JOINED, CALL_BYTES = 2_000_000, 256, 1 << 20
+KNOWN, JOINED, CALL_BYTES = 500_000, 256, 1 << 17
 
 
 def tokenizer_path(path: str | None = None) -> str:
