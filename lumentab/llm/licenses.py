@@ -1,8 +1,8 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
 A text is cut into sentences (at line ends and at . ; : ! ? before white space), each is brought to lower case with
-single spaces between its letters and digits, and looked up in a table of known licence sentences.  The identifiers
-found, in order, are matched against licence rules: the first rules are the most specific, and what a rule has
+single spaces between its letters and digits, and looked up in a table of known licence sentences.  A known sentence
+that holds ends itself, such as an SPDX tag, is found where all its parts follow each other.  The identifiers found, in order, are matched against licence rules: the first rules are the most specific, and what a rule has
 matched is taken out of the sequence before the next looks at it.  Identifiers that no rule takes are reported.
 
 Everything is worked out row by row; nothing is shuffled.
@@ -120,27 +120,41 @@ def sentence_parts(sentence: str) -> list[str]:
 
 
 def known_sentences() -> dict[str, str]:
-    """Normalised sentence -> identifier; of a sentence with ends inside, the longest part names it."""
+    """Known sentence -> identifier: all its normalised parts, with an end between them."""
+    table: dict[str, str] = {}
+    for name, own in SENTENCES.items():
+        for key in ("\x01".join(sentence_parts(s)) for s in own):
+            assert table.setdefault(key, name) == name, f"{table[key]} and {name} share {key!r}"
+    return table
+
+
+def longest_parts() -> dict[str, str]:
+    """The table of the SQL statement, which looks at the longest part of a known sentence alone."""
     return {max(sentence_parts(s), key=len): name for name, own in SENTENCES.items() for s in own}
 
 
+def known_pattern() -> str:
+    """Any known sentence between two ends, the longest first."""
+    return rf"(?<![^\x01])(?:{'|'.join(sorted(known_sentences(), key=lambda s: (-len(s), s)))})(?![^\x01])".replace("\x01", r"\x01")
+
+
 def rule_patterns() -> list[tuple[str, str]]:
     """Each rule as a pattern over "<A><B>"."""
     return [(name, "".join(f"(?:<{x[:-1]}>)?" if x.endswith("?") else f"<{x}>" for x in own)) for name, own in RULES]
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences, empty ones left out."""
-    marked = F.regexp_replace(F.lower(F.regexp_replace(text, F.lit(ENDS), F.lit("\x01"))), F.lit(BETWEEN), F.lit(" "))
-    return F.filter(F.transform(F.split(marked, "\x01"), lambda s: F.trim(s)), lambda s: s != "")
+def marked_text(text: Column) -> Column:
+    """Normalised sentences with an end between them."""
+    words = F.regexp_replace(F.lower(F.regexp_replace(text, F.lit(ENDS), F.lit("\x01"))), F.lit(BETWEEN), F.lit(" "))
+    return F.trim(F.regexp_replace(words, F.lit(r" *\x01[ \x01]*"), F.lit("\x01")))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_sentences, n_known, sentence_ids, licenses, n_licenses, unmatched_ids) of every row."""
     table = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
-    rows = docs.select(F.col(key).alias("doc_id"), sentences(F.coalesce(F.col(text), F.lit(""))).alias("parts"))
-    found = rows.select("doc_id", F.size("parts").cast("long").alias("n_sentences"),
-                        F.filter(F.transform("parts", lambda s: table[s]), lambda x: x.isNotNull()).alias("ids"))
+    rows = docs.select(F.col(key).alias("doc_id"), marked_text(F.coalesce(F.col(text), F.lit(""))).alias("marked"))
+    found = rows.select("doc_id", F.size(F.array_remove(F.split("marked", "\x01"), "")).cast("long").alias("n_sentences"),
+                        F.transform(F.regexp_extract_all("marked", F.lit(known_pattern()), F.lit(0)), lambda s: table[s]).alias("ids"))
     rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("pattern")) for n, p in rule_patterns()])
     tagged = F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">"))
     matched = F.when(F.size("ids") > 0, F.aggregate(
@@ -159,7 +173,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def oracle() -> str:
     """The scan as SQL."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in sorted(known_sentences().items()))
+    known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in sorted(longest_parts().items()))
     ctes, last = [], "seq"
     for n, (name, pattern) in enumerate(rule_patterns()):
         ctes.append(f"s{n} AS (SELECT doc_id, regexp_replace(rest, {quote(pattern)}, '', 'g') AS rest, "

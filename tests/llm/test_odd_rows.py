@@ -231,6 +231,16 @@ def test_licences(spark, odd, odd_rows, none):
     assert licenses.scan(odd).count() == len(odd_rows) and licenses.scan(none).count() == 0
 
 
+def test_license_tags_are_told_apart(spark):
+    tags = [(s.partition(": ")[2], name) for name, own in licenses.SENTENCES.items() for s in own if s.startswith("SPDX")]
+    names = {name: rule for rule, ids in reversed(licenses.RULES) for name in ids if ids == [name]} | {"APACHE2_REF": "Apache-2.0"}
+    rows = [f"{lead}SPDX-License-Identifier: {tag}{tail}" for tag, _ in tags for lead, tail in (("", ""), ("# ", "\nimport os"), ("/* ", " */\nint x;"))]
+    rows += ["SPDX-License-Identifier: LicenseRef-Proprietary", "SPDX-License-Identifier: ", "MIT", "Mozilla Public License, v. 1.1"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert len(tags) == 16
+    assert [(r.sentence_ids, r.licenses) for r in got] == [(name, names[name]) for _, name in tags for _ in range(3)] + [("", "")] * 4
+
+
 def test_language(odd, odd_rows, none):
     got = language.identify(odd).collect()
     assert len(got) == len(odd_rows)
