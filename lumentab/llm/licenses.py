@@ -2,7 +2,8 @@
 
 A text is cut into sentences (at line ends and at . ; : ! ? before white space), each is brought to lower case with
 single spaces between its letters and digits, and looked up in a table of known licence sentences.  A known sentence
-that holds ends itself, such as an SPDX tag, is found where all its parts follow each other.  The identifiers found, in order, are matched against licence rules: the first rules are the most specific, and what a rule has
+may run over line ends, with or without comment signs, but not over an empty line; the longest one counts.  One that
+holds ends itself, such as an SPDX tag, is found where all its parts follow each other.  The identifiers found, in order, are matched against licence rules: the first rules are the most specific, and what a rule has
 matched is taken out of the sequence before the next looks at it.  Identifiers that no rule takes are reported.
 
 Everything is worked out row by row; nothing is shuffled.
@@ -110,6 +111,8 @@ RULES = [
 
 #: Sentence ends, and what stands between the words of a normalised sentence.
 ENDS, BETWEEN = r"[.;:!?][\x20\x09-\x0D]+|[\x0A\x0D]+", r"[^a-z0-9\x01]+"
+#: Ends that no sentence runs over: punctuation, and lines without a letter or digit.
+HARD_ENDS = r"[.;:!?][\x20\x09-\x0D]+|\x0A[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\x0A"
 
 
 def sentence_parts(sentence: str) -> list[str]:
@@ -134,8 +137,9 @@ def longest_parts() -> dict[str, str]:
 
 
 def known_pattern() -> str:
-    """Any known sentence between two ends, the longest first."""
-    return rf"(?<![^\x01])(?:{'|'.join(sorted(known_sentences(), key=lambda s: (-len(s), s)))})(?![^\x01])".replace("\x01", r"\x01")
+    """Any known sentence between two ends, the longest first; its words may stand on several lines."""
+    own = [s.replace(" ", r"[ \x02]").replace("\x01", r"\x01") for s in sorted(known_sentences(), key=lambda s: (-len(s), s))]
+    return rf"(?<![^\x01\x02])(?:{'|'.join(own)})(?![^\x01\x02])"
 
 
 def rule_patterns() -> list[tuple[str, str]]:
@@ -144,17 +148,19 @@ def rule_patterns() -> list[tuple[str, str]]:
 
 
 def marked_text(text: Column) -> Column:
-    """Normalised sentences with an end between them."""
-    words = F.regexp_replace(F.lower(F.regexp_replace(text, F.lit(ENDS), F.lit("\x01"))), F.lit(BETWEEN), F.lit(" "))
-    return F.trim(F.regexp_replace(words, F.lit(r" *\x01[ \x01]*"), F.lit("\x01")))
+    """Normalised sentences with \\x01 between them, or \\x02 where only a line ends."""
+    lines = F.regexp_replace(F.translate(text, "\x02", " "), F.lit(r"\x0D\x0A?"), F.lit("\n"))
+    ended = F.translate(F.regexp_replace(lines, F.lit(HARD_ENDS), F.lit("\x01")), "\n", "\x02")
+    words = F.regexp_replace(F.lower(ended), F.lit(r"[^a-z0-9\x01\x02]+"), F.lit(" "))
+    return F.trim(F.regexp_replace(words, F.lit(r" ?([\x01\x02]) ?"), F.lit("$1")))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_sentences, n_known, sentence_ids, licenses, n_licenses, unmatched_ids) of every row."""
     table = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
     rows = docs.select(F.col(key).alias("doc_id"), marked_text(F.coalesce(F.col(text), F.lit(""))).alias("marked"))
-    found = rows.select("doc_id", F.size(F.array_remove(F.split("marked", "\x01"), "")).cast("long").alias("n_sentences"),
-                        F.transform(F.regexp_extract_all("marked", F.lit(known_pattern()), F.lit(0)), lambda s: table[s]).alias("ids"))
+    found = rows.select("doc_id", F.size(F.array_remove(F.split("marked", "[\x01\x02]"), "")).cast("long").alias("n_sentences"),
+                        F.transform(F.regexp_extract_all("marked", F.lit(known_pattern()), F.lit(0)), lambda s: table[F.translate(s, "\x02", " ")]).alias("ids"))
     rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("pattern")) for n, p in rule_patterns()])
     tagged = F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">"))
     matched = F.when(F.size("ids") > 0, F.aggregate(

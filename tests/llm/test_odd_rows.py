@@ -241,6 +241,27 @@ def test_license_tags_are_told_apart(spark):
     assert [(r.sentence_ids, r.licenses) for r in got] == [(name, names[name]) for _, name in tags for _ in range(3)] + [("", "")] * 4
 
 
+def test_wrapped_licenses_are_found(spark):
+    import textwrap
+
+    wrap = lambda s, lead, end="\n": end.join(textwrap.wrap(s, 72, initial_indent=lead, subsequent_indent=lead))
+    known = [(s, name) for name, own in licenses.SENTENCES.items() for s in own]
+    forms = [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n")]
+    rows = [f"Some title\n{wrap(s, *f)}{f[1]}{f[0]}and so on" for s, _ in known for f in forms]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.sentence_ids for r in got] == [name for _, name in known for _ in forms]
+    for rule, ids in licenses.RULES:
+        own = [licenses.SENTENCES[x.rstrip("?")][0] + "." for x in ids]
+        # The second GPL2_LATER is the other part of the sentence.
+        own = [licenses.SENTENCES["GPL2_LATER"][1] + "." if x == "GPL2_LATER?" else s for x, s in zip(ids, own, strict=True)]
+        rows = [(f"{f[1]}{f[0].rstrip()}{f[1]}" if blank else f[1]).join(wrap(s, *f) for s in own) for f in forms for blank in (True, False)]
+        got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+        assert {(r.licenses, r.unmatched_ids) for r in got} == {(rule, "")}
+    long = known[4][0]
+    apart = licenses.scan(spark.createDataFrame([(1, "MIT\n\nLicense"), (2, "MIT\n#\nLicense"), (3, "a\x02b\n\n" + "\n" * 100_000 + long)], "doc_id long, text string"))
+    assert {r.doc_id: (r.n_sentences, r.n_known) for r in apart.collect()} == {1: (2, 0), 2: (2, 0), 3: (2, 1)}
+
+
 def test_language(odd, odd_rows, none):
     got = language.identify(odd).collect()
     assert len(got) == len(odd_rows)
