@@ -10,9 +10,10 @@ remains between template tokens are slots.  A slot's role comes from the templat
 
 * slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments (by tag, role or class) and
   inside scripts, styles and the head are dropped;
-* if the template has an article (or main) element, the slots inside it are the main text and no others are;
+* if the template and the page have an article (or main) element, the slots inside it are the main text and no others are;
 * otherwise runs that are themselves template tokens (the same text on the same pages as the markup) and slots that
-  are mostly links are dropped and the others are the main text.
+  are mostly links are dropped and the others are the main text.  A page on which nothing else remains, such as a
+  copy of the others, keeps its runs.
 
 Paths that are not in the template take the role of the closest slot around them.  Hosts with fewer than
 ``LEAST_PAGES`` pages cannot show a template of their own and are deduced together.
@@ -230,7 +231,9 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
 
 def template_of(tokens: list[dict]) -> str:
-    """The template of a host: lines "slot path TAB 1 or 0" (main text or not) and "path|run TAB 0" (template text).
+    """The template of a host: lines "slot path TAB two digits" and "path|run TAB 0" (template text).
+
+    The digits are 1 for main text and 0 for other text: on pages with an article, and on pages without one.
 
     Tokens with equal (pages, n, v1, v2) are one class; a class of ``CLASS_SIZE`` tokens or more is valid; tokens
     of valid classes nest along their paths.
@@ -255,14 +258,11 @@ def template_of(tokens: list[dict]) -> str:
     has_main = any(_name(x) in MAIN for path in slots for x in path)
     lines = []
     for path in sorted(slots):
-        if any(_boiler(x) for x in path):
-            main = False
-        elif has_main:
-            main = any(_name(x) in MAIN for x in path)
-        else:
-            main = chars[path] == 0 or linked[path] < LINKED * chars[path]
-        lines.append(f"{STEP.join(path)}\t{int(main)}")
-    return "\n".join(lines + ([] if has_main else [f"{t['token']}\t0" for t in fixed]))
+        own = not any(_boiler(x) for x in path)
+        plain = own and (chars[path] == 0 or linked[path] < LINKED * chars[path])
+        main = own and any(_name(x) in MAIN for x in path) if has_main else plain
+        lines.append(f"{STEP.join(path)}\t{int(main)}{int(plain)}")
+    return "\n".join(lines + [f"{t['token']}\t0" for t in fixed])
 
 
 def _around(path: tuple[str, ...], slots: set[tuple[str, ...]] | dict[tuple[str, ...], bool]) -> tuple[str, ...]:
@@ -291,26 +291,32 @@ def templates(pages: DataFrame) -> DataFrame:
         "host", "roles", F.col("all_pages").alias("host_pages"))
 
 
+Roles = dict[tuple[str, ...], bool]
+
+
 @lru_cache(maxsize=1000)
-def _roles(lines: str) -> tuple[dict[tuple[str, ...], bool], frozenset[str]]:
-    """The role of each slot, and the text tokens of the template."""
+def _roles(lines: str) -> tuple[Roles, Roles, frozenset[str], bool]:
+    """The role of each slot on pages with and without an article, the text tokens of the template, and whether it has an article."""
     parts = [x.rpartition("\t") for x in lines.split("\n") if x]
-    return {tuple(t.split(STEP)): main == "1" for t, _, main in parts if RUN not in t}, frozenset(t for t, _, _ in parts if RUN in t)
+    slots = [(tuple(t.split(STEP)), roles) for t, _, roles in parts if RUN not in t]
+    return ({t: r[0] == "1" for t, r in slots}, {t: r[1] == "1" for t, r in slots}, frozenset(t for t, _, _ in parts if RUN in t),
+            any(_name(x) in MAIN for t, _ in slots for x in t))
 
 
 def main_text(page: str, template: str) -> str:
     """The text of the page's main slots: roles come from the template, and beyond it from the elements' names."""
-    slots, fixed = _roles(template)
+    inside, plain, fixed, has_main = _roles(template)
+    blocks = [(path, text) for path, text, _ in page_blocks(page) if not any(_boiler(x) for x in path)]
+    by_main = has_main and any(_name(x) in MAIN for path, _ in blocks for x in path)
+    slots = inside if by_main else plain
     out = []
-    for path, text, _ in page_blocks(page):
+    for path, text in blocks:
         around = _around(path, slots)
-        beyond = path[len(around):]
-        if any(_boiler(x) for x in path):
-            continue
-        if slots.get(around, not slots) or any(_name(x) in MAIN for x in beyond):
-            if not fixed or f"{STEP.join(path)}{RUN}{hash_text(text)}" not in fixed:
-                out.append(text)
-    return "\n\n".join(out)
+        if slots.get(around, not slots) or any(_name(x) in MAIN for x in path[len(around):]):
+            out.append((path, text))
+    if not by_main and fixed:
+        out = [(p, t) for p, t in out if f"{STEP.join(p)}{RUN}{hash_text(t)}" not in fixed] or out
+    return "\n\n".join(text for _, text in out)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:

@@ -390,3 +390,20 @@ def test_a_host_of_copies_keeps_its_article(spark):
     rows = [(i, "http://copies.example/", page) for i in range(30)]
     got = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.text for r in got} == {"Title\n\nSame text on every page."}
+
+
+def test_pages_without_an_article_keep_their_text(spark):
+    article = "<html><body><div class='menu'>m</div><div>Site name</div><article><h1>T{n}</h1><p>Body {n}</p></article><footer>f</footer></body></html>"
+    other = "<html><body><div class='menu'>m</div><div>Site name</div><div class='content'><p>Story {n}</p></div><footer>f</footer></body></html>"
+    copied = "<html><body><nav>n</nav><div><h1>Same</h1><p>One text</p><pre>code</pre></div><footer>f</footer></body></html>"
+    titled = "<html><body><nav>n</nav><div><h2>Site name</h2><p>Own text {n}</p></div><footer>f</footer></body></html>"
+    rows = [(i, "http://mixed.example/", (article if i % 10 < 7 else other).format(n=i)) for i in range(40)]
+    # Hosts of two pages each, deduced together.
+    rows += [(100 + i, f"http://small{i // 2}.example/", (article if i % 10 < 6 else other).format(n=i)) for i in range(40)]
+    rows += [(200 + i, "http://copied.example/", copied) for i in range(10)]
+    rows += [(300 + i, "http://titled.example/", titled.format(n=i)) for i in range(10)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for start, shown in ((0, 7), (100, 6)):
+        assert all(got[start + i] == (f"T{i}\n\nBody {i}" if i % 10 < shown else f"Story {i}") for i in range(40))
+    assert {got[200 + i] for i in range(10)} == {"Same\n\nOne text\n\ncode"}
+    assert all(got[300 + i] == f"Own text {i}" for i in range(10))
