@@ -11,6 +11,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -179,33 +180,40 @@ def holdout_search(train: DataFrame, valid: DataFrame, label: str, make: Callabl
 
     Table: setting, auc_train, auc_valid, logloss_valid, gap; best = highest auc_valid, then
     smallest gap.  Both splits are scored in one aggregate per setting; settings run in
-    parallel threads so that small jobs overlap on the cluster.
+    parallel threads so that small jobs overlap on the cluster, and only the best model so far is held.
     """
     train, valid = train.persist(), valid.persist()
     both = train.withColumn("_split", F.lit("train")).unionByName(valid.withColumn("_split", F.lit("valid")))
 
-    def run(setting: Mapping) -> tuple:
+    best: list[tuple] = []
+    lock = Lock()
+
+    def run(i: int) -> tuple:
+        setting = settings[i]
         model = make(**setting).fit(train)
         scored = model.transform(both).select("_split", label, probability_of().alias("prob"))
         ranks = {r["_split"]: r["auc"] for r in evaluate.ranking_metrics(scored, label, "prob", ["_split"]).collect()}
         loss = scored.where("_split = 'valid'").agg(evaluate.probability_metrics(label, "prob")["log_loss"]).first()[0]
         t, v = ranks.get("train") or 0.0, ranks.get("valid") or 0.0
-        return model, tuple(round(float(x), 4) for x in (t, v, loss, t - v))
+        scores = tuple(round(float(x), 4) for x in (t, v, loss, t - v))
+        with lock:
+            best[:] = [min([*best, ((-scores[1], scores[3], i), model)], key=lambda b: b[0])]
+        return scores
 
     pool = ThreadPool(min(parallelism, len(settings)))
     try:
-        found = pool.map(inheritable_thread_target(train.sparkSession)(run), settings)
+        found = pool.map(inheritable_thread_target(train.sparkSession)(run), range(len(settings)), chunksize=1)
     finally:
         pool.close()
-    order = sorted(range(len(found)), key=lambda i: (-found[i][1][1], found[i][1][3], i))
+    (*_, chosen), model = best[0]
     names = list(settings[0])
-    rows = [(i, *[float(settings[i][n]) for n in names], *found[i][1], int(i == order[0])) for i in range(len(found))]
+    rows = [(i, *[float(settings[i][n]) for n in names], *found[i], int(i == chosen)) for i in range(len(found))]
     schema = "setting long, " + ", ".join(f"{n} double" for n in names)
     table = train.sparkSession.createDataFrame(
         rows, schema + ", auc_train double, auc_valid double, logloss_valid double, gap double, best int")
     train.unpersist()
     valid.unpersist()
-    return table, found[order[0]][0]
+    return table, model
 
 
 # ---------------------------------------------------------------- calibration and comparison

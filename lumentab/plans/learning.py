@@ -148,10 +148,10 @@ def ml_random_cv(spark, sf):
 @query("ml_holdout_grid")
 def ml_holdout_grid(spark, sf):
     rows = ready(spark, sf).select("label", "features", "split")
-    settings = models.grid(maxIter=(5, 10), maxDepth=(2, 3), stepSize=(0.1,), minInstancesPerNode=(5,))
+    settings = models.grid(**models.BOOSTING_GRID)
     found, _ = models.holdout_search(
         part(rows, "train").drop("split"), part(rows, "valid").drop("split"), "label",
-        lambda **p: models.boosting("label", **p), settings)
+        lambda **p: models.boosting("label", **p), settings, 8)
     return found
 
 

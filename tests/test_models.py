@@ -100,3 +100,13 @@ def test_label_versions(rows):
     table = models.compare_label_versions(
         df.withColumn("other", 1 - F.col("label")), "split", {"original": "label", "other": "other"}, {"tree": models.tree}).collect()
     assert {r["version"]: r["f1_change"] for r in table}["original"] == 0
+
+
+def test_holdout_query_searches_the_whole_grid(spark, monkeypatch):
+    from lumentab.plans import PLANS, learning
+
+    seen = []
+    monkeypatch.setattr(learning, "ready", lambda spark, sf: spark.range(3).selectExpr("id label", "id features", "'train' split"))
+    monkeypatch.setattr(models, "holdout_search", lambda train, valid, label, make, settings, *rest: seen.extend(settings) or (train, None))
+    PLANS["ml_holdout_grid"](spark, "")
+    assert seen == models.grid(**models.BOOSTING_GRID) and len(seen) == 243
