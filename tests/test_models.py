@@ -110,3 +110,19 @@ def test_holdout_query_searches_the_whole_grid(spark, monkeypatch):
     monkeypatch.setattr(models, "holdout_search", lambda train, valid, label, make, settings, *rest: seen.extend(settings) or (train, None))
     PLANS["ml_holdout_grid"](spark, "")
     assert seen == models.grid(**models.BOOSTING_GRID) and len(seen) == 243
+
+
+def test_cross_validated_grids_run_for_forest_and_boosting(spark, monkeypatch):
+    from lumentab.plans import PLANS, learning
+
+    def stub(df, estimator, settings, evaluator, folds, *rest):
+        rows = [(i, *[float(v) for v in s.values()], 0.5) for i, s in enumerate(settings)]
+        return None, spark.createDataFrame(rows, ", ".join(["setting long", *[f"{k} double" for k in settings[0]], "score double"]))
+
+    monkeypatch.setattr(learning, "ready", lambda spark, sf: spark.range(30).selectExpr("id c_custkey", "double(id % 2) label", "'train' split"))
+    monkeypatch.setattr(models, "cross_validate", stub)
+    got = PLANS["ml_grid_cv"](spark, "").collect()
+    points = sorted((float(s["numTrees"]), float(s["maxDepth"]), float(s["minInstancesPerNode"])) for s in models.grid(**models.FOREST_GRID))
+    for job in ("forest", "boosting"):
+        assert sorted((r.numTrees, r.maxDepth, r.minInstancesPerNode) for r in got if r.job == job) == points
+    assert sum(r.job == "logistic" for r in got) == 4 and len(got) == 40
