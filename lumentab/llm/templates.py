@@ -2,8 +2,8 @@
 
 A page is a sequence of tokens: its start tags, told apart by their path of tag and class names, and its text
 runs, told apart by path and content.  Tokens of a host that occur equally often on each of its pages share an
-occurrence vector and form an equivalence class.  The vector is carried as (pages, occurrences, two checksums over
-page and count), which adds up in any order, so a host with a third of all pages is aggregated like any other.
+occurrence vector and form an equivalence class.  The vector is carried as (pages, occurrences, sums of the halves of
+two hashes of page and count), which adds up in any order, so a host with a third of all pages is aggregated like any other.
 A class is valid if it has at least ``CLASS_SIZE`` tokens and covers at least ``SUPPORT`` percent of the host's
 pages, and a token joins the template only if the block around it is in the template too: valid classes nest.  What
 remains between template tokens are slots.  A slot's role comes from the template around it and from how its text behaves over the host's pages:
@@ -209,6 +209,14 @@ def hash_text(text: str) -> str:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
+#: Sums of hash halves: repeated rows add up in them, and 2 billion rows do not overflow.
+VECTOR = ("v1", "v2", "v3", "v4")
+
+
+def _halves(h: Column) -> list[Column]:
+    return [h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright(h, 32)]
+
+
 TOKENS = "host string, page long, token string, n long, chars long, linked long"
 
 
@@ -227,7 +235,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
     return pages.mapInArrow(tidy(run), TOKENS).groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("v1"), F.bit_xor(F.xxhash64("n", "page", F.lit(1))).alias("v2"))
+        *[F.sum(v).alias(n) for n, v in zip(VECTOR, _halves(F.xxhash64("page", "n")) + _halves(F.xxhash64("n", "page", F.lit(1))), strict=True)])
 
 
 def template_of(tokens: list[dict]) -> str:
@@ -235,12 +243,12 @@ def template_of(tokens: list[dict]) -> str:
 
     The digits are 1 for main text and 0 for other text: on pages with an article, and on pages without one.
 
-    Tokens with equal (pages, n, v1, v2) are one class; a class of ``CLASS_SIZE`` tokens or more is valid; tokens
+    Tokens with equal (pages, n, sums of ``VECTOR``) are one class; a class of ``CLASS_SIZE`` tokens or more is valid; tokens
     of valid classes nest along their paths.
     """
     classes: dict[tuple, list[dict]] = {}
     for t in tokens:
-        classes.setdefault((t["pages"], t["n"], t["v1"], t["v2"]), []).append(t)
+        classes.setdefault((t["pages"], t["n"], *(t[v] for v in VECTOR)), []).append(t)
     valid = [t for own in classes.values() if len(own) >= CLASS_SIZE for t in own]
     slots: set[tuple[str, ...]] = set()
     for path in sorted((tuple(t["token"].split(STEP)) for t in valid if RUN not in t["token"]), key=len):
@@ -275,14 +283,14 @@ def templates(pages: DataFrame) -> DataFrame:
     size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     tokens = occurrences(pages).join(size, "host")
     shared = F.when(F.col("all_pages") < LEAST_PAGES, F.lit("")).otherwise(F.col("host"))
-    # Small hosts add up to one; the checksums of a token add up with exclusive or.
+    # Small hosts add up to one, and so do the vectors of a token.
     joined = tokens.groupBy(shared.alias("host"), "token").agg(
         F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
-        F.bit_xor("v1").alias("v1"), F.bit_xor("v2").alias("v2"))
+        *[F.sum(v).alias(v) for v in VECTOR])
     total = size.groupBy(shared.alias("host")).agg(F.sum("all_pages").alias("all_pages"))
     valid = joined.join(total, "host").where(F.col("pages") * 100 >= F.col("all_pages") * SUPPORT)
     per_host = valid.groupBy("host", "all_pages").agg(
-        F.collect_list(F.struct("token", "pages", "n", "v1", "v2", "chars", "linked")).alias("tokens"))
+        F.collect_list(F.struct("token", "pages", "n", *VECTOR, "chars", "linked")).alias("tokens"))
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array([template_of(r) for r in batch.column(batch.schema.names.index("tokens")).to_pylist()], pa.string())]

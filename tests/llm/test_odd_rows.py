@@ -407,3 +407,12 @@ def test_pages_without_an_article_keep_their_text(spark):
         assert all(got[start + i] == (f"T{i}\n\nBody {i}" if i % 10 < shown else f"Story {i}") for i in range(40))
     assert {got[200 + i] for i in range(10)} == {"Same\n\nOne text\n\ncode"}
     assert all(got[300 + i] == f"Own text {i}" for i in range(10))
+
+
+def test_repeated_pages_have_the_text_of_single_ones(spark):
+    # Each of three blocks stands on six of ten pages, not the same ones: by their count alone they would be a class.
+    blocks = [("a", range(0, 6), "<a href='x'>link {n}</a>"), ("b", range(2, 8), "longer text of b {n}"), ("c", range(4, 10), "longer text of c {n}")]
+    body = lambda n: "".join(f"<div class='{k}'>{inner.format(n=n)}</div>" for k, on, inner in blocks if n in on)
+    rows = [(n, "http://twice.example/", f"<html><body><section><p>own {n}</p></section>{body(n)}</body></html>") for n in range(10)]
+    once, twice = ({r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows * k, "page_id long, url string, html string")).collect()} for k in (1, 2))
+    assert once == twice and "link 0" in twice[0]
