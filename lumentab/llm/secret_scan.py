@@ -125,7 +125,9 @@ def candidates(docs: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Dat
     """(key, kinds): the rules whose trigram query a text meets; rows (key, text)."""
     trigrams = sorted({g for q in queries.values() for a in q for g in a})
     at = {g: n for n, g in enumerate(trigrams)}
-    wanted = [(at[g], kind, n, 1 << b, (1 << len(a)) - 1) for kind, q in queries.items() for n, a in enumerate(q) for b, g in enumerate(sorted(a)[:60])]
+    # The bits of a long: some of the trigrams that every match holds are a filter as well.
+    cut = [(kind, n, sorted(a)[:60]) for kind, q in queries.items() for n, a in enumerate(q)]
+    wanted = [(at[g], kind, n, 1 << b, (1 << len(a)) - 1) for kind, n, a in cut for b, g in enumerate(a)]
     # One row per trigram of the rules, whatever the data.
     plan = docs.sparkSession.createDataFrame(wanted, "gram int, kind string, alternative int, bit long, every long")
     met = postings(docs, trigrams).join(F.broadcast(plan), "gram").groupBy("key", "kind", "alternative", "every").agg(

@@ -241,6 +241,15 @@ def test_license_tags_are_told_apart(spark):
     assert [(r.sentence_ids, r.licenses) for r in got] == [(name, names[name]) for _, name in tags for _ in range(3)] + [("", "")] * 4
 
 
+def test_rules_with_long_literals_have_candidates(spark):
+    literal = "".join(f"{chr(97 + n % 26)}{n:02d}" for n in range(30))
+    query = secret_scan.trigram_query(literal)
+    assert [len(a) for a in query] == [88]
+    docs = spark.createDataFrame([(1, f"x {literal.upper()} y"), (2, literal[:30]), (3, "")], "key long, text string")
+    got = secret_scan.candidates(docs, {"long": query, "short": secret_scan.trigram_query("a00b01")}).collect()
+    assert {r.key: sorted(r.kinds) for r in got} == {1: ["long", "short"], 2: ["short"]}
+
+
 def test_wrapped_licenses_are_found(spark):
     import textwrap
 
