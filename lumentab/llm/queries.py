@@ -7,7 +7,9 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentab.llm import dac, decontaminate, language, licenses, mixing, ngramjoin, quality, secret_scan, templates, tokencount
+from lumentab.llm import (
+    dac, decontaminate, language, licenses, mixing, mtree, ngramjoin, quality, secret_scan, spelling, templates, tokencount, turns,
+)
 from lumentab.llm.ship_code import ship_code
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +152,51 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op11_topk", sql="""
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+         s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+               FROM e AS q JOIN e AS x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
+         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """)
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_turn_repair")
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired(table(spark, sf_dir, "conversations"))
+
+
+#: One row with the table of the checksum, and the checksum of a text ``{}`` by it.
+_CRC_TABLE = """SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) AS x(i))"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(hex(encode({0}))), 2),
+    lambda p: CAST('0x' || hex(encode({0}))[p:p + 1] AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
+@query("op13_variants", sql=f"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+         runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{7,}}')),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+         each AS (SELECT id, r, count(*) AS n FROM runs GROUP BY ALL),
+         hashed AS (SELECT r, n, {_CRC.format("(id || ':' || r)")} AS h FROM each, crc),
+         made AS (SELECT CASE WHEN h % 31 = 0 THEN r[1:h % len(r)] || r[h % len(r) + 2:] ELSE r END AS word, n FROM hashed),
+         w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+         less AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS v FROM (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM w)),
+         near AS (SELECT a.word AS word, b.word AS other FROM less AS a JOIN less AS b USING (v, i) WHERE a.word <> b.word
+                  UNION SELECT word, v FROM less WHERE v IN (SELECT word FROM w)
+                  UNION SELECT v, word FROM less WHERE v IN (SELECT word FROM w)),
+         best AS (SELECT near.word AS word, count(*) AS n_near, min(row(-w.n, other)) AS b FROM near JOIN w ON w.word = other GROUP BY near.word),
+         f AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b[1] >= 10 * n THEN b[2] END AS form,
+                      CASE WHEN -b[1] >= 10 * n THEN -b[1] END AS form_n FROM w LEFT JOIN best ON w.word = best.word),
+         path AS (SELECT word, word AS root FROM f UNION ALL SELECT path.word, f.form FROM path JOIN f ON f.word = root WHERE f.form IS NOT NULL),
+         last AS (SELECT path.word, root FROM path JOIN f ON f.word = root WHERE f.form IS NULL)
+    SELECT f.word, form, root, n, n_near, form_n FROM f JOIN last ON last.word = f.word
+    """)
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
