@@ -295,8 +295,10 @@ def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", k: in
     home = cut_lineage(_ranked(_searched(index, endless, start, space, k + 1), k + 1).select("q", "vec_id", "score"))
     kth = home.groupBy("q").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s")).where(F.col("c") == k + 1)
     squares = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
+    # greatest() passes over nulls, so queries without a k-th score are told apart first.
+    reached = F.sqrt(F.greatest(squares + float(space.radius2) - 2.0 * F.col("s"), F.lit(0.0)))
     bounded = cut_lineage(queries.join(kth, "q", "left").withColumn(
-        "bound", F.coalesce(F.sqrt(F.greatest(squares + float(space.radius2) - 2.0 * F.col("s"), F.lit(0.0))), F.lit(float("inf")))).drop("c", "s"))
+        "bound", F.when(F.col("s").isNotNull(), reached).otherwise(F.lit(float("inf")))).drop("c", "s"))
 
     reach = _regions_in_reach(bounded, space, pivots, {r: float(v["radius"]) for r, v in root.items()})
     visits = reach.join(F.broadcast(subtrees) if len(root) * SUBTREE >= n else subtrees, "region").join(
