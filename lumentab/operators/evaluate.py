@@ -70,10 +70,11 @@ def summary_report(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _class_totals(df: DataFrame, y: str, score: str, by: Sequence[str], descending: bool) -> DataFrame:
-    return order.running_totals(
-        df, score, {"pos": F.count_if(F.col(y) == 1), "neg": F.count_if(F.col(y) != 1)}, by, descending
-    )
+def _class_totals(df: DataFrame, y: str, score: str, by: Sequence[str], descending: bool, weight: str | None = None) -> DataFrame:
+    def rows(hit: Column) -> Column:
+        return F.count_if(hit) if weight is None else F.coalesce(F.sum(F.when(hit, F.col(weight))), F.lit(0))
+
+    return order.running_totals(df, score, {"pos": rows(F.col(y) == 1), "neg": rows(F.col(y) != 1)}, by, descending)
 
 
 def roc_points(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -88,9 +89,9 @@ def roc_points(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> Dat
     )
 
 
-def ranking_metrics(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """ROC AUC (tied pairs count one half; NULL with one class) and average precision."""
-    t = _class_totals(df, y, score, by, True)
+def ranking_metrics(df: DataFrame, y: str, score: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """ROC AUC (tied pairs count one half; NULL with one class) and average precision; ``weight`` counts a row so often."""
+    t = _class_totals(df, y, score, by, True, weight)
     tp, fp = F.col("pos_before") + F.col("pos"), F.col("neg_before") + F.col("neg")
     below = F.col("neg_total") - fp
     return t.groupBy(*by).agg(
@@ -112,12 +113,16 @@ def one_vs_rest(df: DataFrame, label: str, classes: Sequence, score_of) -> DataF
     ])
 
 
-def probability_metrics(y: str, p: str) -> dict[str, Column]:
-    """Brier score and log loss as aggregate expressions."""
+def probability_metrics(y: str, p: str, weight: str | None = None) -> dict[str, Column]:
+    """Brier score and log loss as aggregate expressions; ``weight`` counts a row so often."""
     inside = F.least(F.greatest(F.col(p), F.lit(PROBABILITY_EPS)), F.lit(1.0 - PROBABILITY_EPS))
+
+    def mean(x: Column) -> Column:
+        return F.avg(x) if weight is None else F.sum(x * F.col(weight)) / F.sum(weight)
+
     return {
-        "brier": F.avg((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))),
-        "log_loss": -F.avg(F.when(F.col(y) == 1, F.log(inside)).otherwise(F.log(1.0 - inside))),
+        "brier": mean((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))),
+        "log_loss": -mean(F.when(F.col(y) == 1, F.log(inside)).otherwise(F.log(1.0 - inside))),
     }
 
 

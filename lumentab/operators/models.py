@@ -9,15 +9,11 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from itertools import product
-from multiprocessing.pool import ThreadPool
-from threading import Lock
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,17 +21,19 @@ from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumentab.operators import evaluate, prepare
+from lumentab.operators import boosting, evaluate
+from lumentab.operators.boosting import Boosted, Setting
 
 SEED = 42
+# Rows that make a task of a fit worth its start.
+TASK_ROWS = 20_000
 # Depth and leaf size of the single tree.
 TREE_DEPTH, TREE_LEAF = 4, 3
 # Grids of the searches.
 LOGISTIC_C = (0.01, 0.1, 1.0, 10.0)
 FOREST_GRID = {"numTrees": (50, 100), "maxDepth": (3, 5, 7), "minInstancesPerNode": (1, 3, 5)}
 BOOSTING_GRID = {
-    "maxIter": (50, 100, 200), "maxDepth": (3, 4, 5), "stepSize": (0.01, 0.05, 0.1),
-    "subsamplingRate": (1.0, 0.9, 0.8), "minInstancesPerNode": (5, 10, 20),
+    "rounds": (50, 100, 200), "leaves": (8, 15, 31), "rate": (0.01, 0.05, 0.1), "l2": (0.0, 0.1, 1.0), "min_leaf": (5, 10, 20),
 }
 
 
@@ -51,6 +49,12 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as its rows need: fits pass over it hundreds of times."""
+    wanted = max(1, -(-row_count(df) // TASK_ROWS))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 # ---------------------------------------------------------------- linear models
 
 def logistic(df: DataFrame, label: str, c: float = 1.0, penalty: str = "l2", multinomial: bool = False,
@@ -109,21 +113,6 @@ def forest(df: DataFrame, label: str, trees: int = 50, depth: int = 5, leaf: int
     return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED).fit(df)
 
 
-def boosting(label: str, **params) -> GBTClassifier:
-    return GBTClassifier(labelCol=label, seed=SEED, **params)
-
-
-def boosting_one_vs_rest(df: DataFrame, label: str, parallelism: int = 4, **params) -> Model:
-    """Multiclass boosting: the built-in boosting is binary, so one model per class."""
-    return OneVsRest(classifier=boosting(label, **params), labelCol=label, parallelism=parallelism).fit(df)
-
-
-def with_missing_marks(df: DataFrame, cols: Sequence[str], medians: Mapping[str, float]) -> tuple[DataFrame, list[str]]:
-    """Median fill plus a 0/1 ``<c>_missing`` column, for learners that refuse missing cells."""
-    marked = df.withColumns({f"{c}_missing": F.col(c).isNull().cast("double") for c in cols})
-    return prepare.fill(marked, dict(medians)), [*cols, *[f"{c}_missing" for c in cols]]
-
-
 def importance_table(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:
     """Importances, strongest first, with a flag above the mean and the rank."""
     values = [float(v) for v in model.featureImportances.toArray()]
@@ -156,7 +145,7 @@ def cross_validate(df: DataFrame, estimator, settings: Sequence[Mapping], evalua
         estimator=estimator, estimatorParamMaps=_maps(estimator, settings), evaluator=evaluator,
         numFolds=folds, foldCol=fold_col, parallelism=parallelism, seed=SEED,
     )
-    fitted = validator.fit(df)
+    fitted = validator.fit(dealt(df))
     rows = [
         (i, *[float(v) if isinstance(v, (int, float)) else v for v in s.values()], float(m))
         for i, (s, m) in enumerate(zip(settings, fitted.avgMetrics))
@@ -174,46 +163,44 @@ def r_squared(label: str) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, metricName="r2")
 
 
-def holdout_search(train: DataFrame, valid: DataFrame, label: str, make: Callable[..., object], settings: Sequence[Mapping],
-                   parallelism: int = 4) -> tuple[DataFrame, Model]:
-    """Fit every setting on the training rows and score both splits exactly.
+def holdout_search(df: DataFrame, features: Sequence[str], label: str, part: str, settings: Sequence[Setting]) -> tuple[DataFrame, Boosted]:
+    """Fit every setting on part 0 and score parts 0 (train) and 1 (valid) exactly; all settings are fitted together.
 
-    Table: setting, auc_train, auc_valid, logloss_valid, gap; best = highest auc_valid, then
-    smallest gap.  Both splits are scored in one aggregate per setting; settings run in
-    parallel threads so that small jobs overlap on the cluster, and only the best model so far is held.
+    Table: setting, its values, auc_train, auc_valid, logloss_valid, gap; best = highest auc_valid, then smallest gap.
+    The model is the best run, with the rounds of the best setting.
     """
-    train, valid = train.persist(), valid.persist()
-    both = train.withColumn("_split", F.lit("train")).unionByName(valid.withColumn("_split", F.lit("valid")))
-
-    best: list[tuple] = []
-    lock = Lock()
-
-    def run(i: int) -> tuple:
-        setting = settings[i]
-        model = make(**setting).fit(train)
-        scored = model.transform(both).select("_split", label, probability_of().alias("prob"))
-        ranks = {r["_split"]: r["auc"] for r in evaluate.ranking_metrics(scored, label, "prob", ["_split"]).collect()}
-        loss = scored.where("_split = 'valid'").agg(evaluate.probability_metrics(label, "prob")["log_loss"]).first()[0]
-        t, v = ranks.get("train") or 0.0, ranks.get("valid") or 0.0
-        scores = tuple(round(float(x), 4) for x in (t, v, loss, t - v))
-        with lock:
-            best[:] = [min([*best, ((-scores[1], scores[3], i), model)], key=lambda b: b[0])]
-        return scores
-
-    pool = ThreadPool(min(parallelism, len(settings)))
-    try:
-        found = pool.map(inheritable_thread_target(train.sparkSession)(run), range(len(settings)), chunksize=1)
-    finally:
-        pool.close()
-    (*_, chosen), model = best[0]
-    names = list(settings[0])
-    rows = [(i, *[float(settings[i][n]) for n in names], *found[i], int(i == chosen)) for i in range(len(found))]
-    schema = "setting long, " + ", ".join(f"{n} double" for n in names)
-    table = train.sparkSession.createDataFrame(
-        rows, schema + ", auc_train double, auc_valid double, logloss_valid double, gap double, best int")
-    train.unpersist()
-    valid.unpersist()
-    return table, model
+    settings = [replace(s, held=1) for s in settings]
+    scored, runs, run_of = boosting.fit_many(df.where(F.col(part).isin(0, 1)), features, label, settings, 2, part)
+    scored = scored.select("run", "rounds", "part", "y", "w", F.col("probability")[1].alias("prob"))
+    by = ["run", "rounds", "part"]
+    ranked = evaluate.ranking_metrics(scored, "y", "prob", by, "w").select(*by, "auc")
+    losses = scored.groupBy(*by).agg(evaluate.probability_metrics("y", "prob", "w")["log_loss"].alias("loss"))
+    told = {(r["run"], r["rounds"], r["part"]): (r["auc"] or 0.0, r["loss"]) for r in losses.join(ranked, by, "left").collect()}
+    rows = []
+    for i, (s, r) in enumerate(zip(settings, run_of)):
+        (train, _), (valid, loss) = told[r, s.rounds, 0], told[r, s.rounds, 1]
+        rows.append([i, *[float(getattr(s, n)) for n in BOOSTING_GRID], *[round(x, 4) for x in (train, valid, loss, train - valid)]])
+    chosen = min(rows, key=lambda r: (-r[-3], r[-1], r[0]))[0]
+    schema = "setting long, " + ", ".join(f"{n} double" for n in BOOSTING_GRID)
+    table = df.sparkSession.createDataFrame(
+        [(*r, int(r[0] == chosen)) for r in rows], schema + ", auc_train double, auc_valid double, logloss_valid double, gap double, best int")
+    best = runs[run_of[chosen]]
+    return table, replace(best, rounds=best.rounds[:settings[chosen].rounds])
+
+
+def cross_validate_boosting(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int,
+                            settings: Sequence[Setting], classes: int = 2) -> list[float]:
+    """Mean accuracy over the folds of each setting; the fits of all settings and folds go together."""
+    fitted = [replace(s, held=f) for s in settings for f in range(folds)]
+    scored, _, run_of = boosting.fit_many(df, features, label, fitted, classes, fold)
+    held = F.create_map(*[F.lit(v) for r, s in {r: s for r, s in zip(run_of, fitted)}.items() for v in (r, s.held)])
+    # Ties of probabilities go to the lower class.
+    called = F.array_position("probability", F.array_max("probability")) - 1
+    rates = scored.where(F.col("part") == held[F.col("run")]).groupBy("run", "rounds").agg(
+        (F.sum(F.when(called == F.col("y"), F.col("w")).otherwise(0)) / F.sum("w")).alias("rate")).collect()
+    rate = {(r["run"], r["rounds"]): r["rate"] for r in rates}
+    own = [rate[r, s.rounds] for r, s in zip(run_of, fitted)]
+    return [sum(own[i:i + folds]) / folds for i in range(0, len(own), folds)]
 
 
 # ---------------------------------------------------------------- calibration and comparison

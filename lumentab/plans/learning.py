@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from lumentab.operators import evaluate as ev, models, split
+from lumentab.operators import boosting, evaluate as ev, models, split
 from lumentab.plans.registry import as_long, query, rounded, table
 
 FEATURES = ("n_orders", "price", "closed", "first_year")
@@ -96,22 +96,19 @@ def ml_forest(spark, sf):
     return rounded(ev.summary_report(ev.class_report(predicted, "label", "prediction")), 6)
 
 
-@query("ml_gbt_ovr")
-def ml_gbt_ovr(spark, sf):
-    rows = ready(spark, sf)
-    model = models.boosting_one_vs_rest(part(rows, "train"), "level", maxIter=50, maxDepth=3, minInstancesPerNode=3)
+@query("ml_gbt_multi")
+def ml_gbt_multi(spark, sf):
+    rows = risk_rows(spark, sf).persist()
+    model = boosting.fit(part(rows, "train"), FEATURES, "level", boosting.Setting(50, None, 0.1, 0.0, 3, 3), 3)
     return rounded(ev.summary_report(ev.class_report(model.transform(part(rows, "test")), "level", "prediction")), 6)
 
 
 @query("ml_gbt_bin")
 def ml_gbt_bin(spark, sf):
-    from lumentab.operators import prepare
-
-    gappy = risk_rows(spark, sf).withColumn("price", F.when(F.col("c_custkey") % 9 != 0, F.col("price")))
-    filled, names = models.with_missing_marks(gappy, FEATURES, prepare.fit_medians(part(gappy, "train"), FEATURES))
-    rows = models.assemble(filled, names).persist()
-    model = models.boosting("label", maxIter=100, maxDepth=3, stepSize=0.1, minInstancesPerNode=5).fit(part(rows, "train"))
-    return rounded(ev.metrics_by_split(models.scored_rows(model, rows, ["split"], "label"), "split", "y_true", "prob", 0.5), 6)
+    rows = risk_rows(spark, sf).withColumn("price", F.when(F.col("c_custkey") % 9 != 0, F.col("price"))).persist()
+    model = boosting.fit(part(rows, "train"), FEATURES, "label", boosting.Setting(100, 15, 0.1, 0.1, 5))
+    scored = model.transform(rows).select("split", F.col("label").cast("long").alias("y_true"), F.col("probability")[1].alias("prob"))
+    return rounded(ev.metrics_by_split(scored, "split", "y_true", "prob", 0.5), 6)
 
 
 @query("ml_grid_cv")
@@ -120,14 +117,16 @@ def ml_grid_cv(spark, sf):
     forest = RandomForestClassifier(labelCol="label", seed=models.SEED)
     a = models.cross_validate(rows, forest, models.grid(**models.FOREST_GRID), models.accuracy("label"), 3, "fold", 8)[1]
     # The same points for boosting, whose trees are its rounds.
-    points = [{"maxIter": s["numTrees"], **{k: v for k, v in s.items() if k != "numTrees"}} for s in models.grid(**models.FOREST_GRID)]
-    boosted = models.cross_validate(rows, models.boosting("label"), points, models.accuracy("label"), 3, "fold", 8)[1]
+    points = models.grid(**models.FOREST_GRID)
+    settings = [boosting.Setting(s["numTrees"], None, 0.1, 0.0, s["minInstancesPerNode"], s["maxDepth"]) for s in points]
+    found = models.cross_validate_boosting(rows, FEATURES, "label", "fold", 3, settings)
+    boosted = spark.createDataFrame([(i, *[float(v) for v in s.values()], x) for i, (s, x) in enumerate(zip(points, found))], a.schema)
     logistic = LogisticRegression(labelCol="label", standardization=False, maxIter=1000)
     n = rows.count() * 2 / 3  # a fold's training rows
     settings = [{"regParam": 1.0 / (c * n)} for c in models.LOGISTIC_C]
     b = models.cross_validate(rows, logistic, settings, models.accuracy("label"), 3, "fold", 8)[1]
     out = a.withColumn("job", F.lit("forest"))
-    for found, job in ((boosted.withColumnRenamed("maxIter", "numTrees"), "boosting"), (b, "logistic")):
+    for found, job in ((boosted, "boosting"), (b, "logistic")):
         out = out.unionByName(found.withColumn("job", F.lit(job)), allowMissingColumns=True)
     rows.unpersist()
     return rounded(out, 6)
@@ -152,12 +151,10 @@ def ml_random_cv(spark, sf):
 
 @query("ml_holdout_grid")
 def ml_holdout_grid(spark, sf):
-    rows = ready(spark, sf).select("label", "features", "split")
-    settings = models.grid(**models.BOOSTING_GRID)
-    found, _ = models.holdout_search(
-        part(rows, "train").drop("split"), part(rows, "valid").drop("split"), "label",
-        lambda **p: models.boosting("label", **p), settings, 8)
-    return found
+    place = F.when(F.col("split") == "train", 0).when(F.col("split") == "valid", 1)
+    rows = risk_rows(spark, sf).withColumn("place", place)
+    settings = [boosting.Setting(**s) for s in models.grid(**models.BOOSTING_GRID)]
+    return models.holdout_search(rows, FEATURES, "label", "place", settings)[0]
 
 
 @query("ml_isotonic")
