@@ -192,22 +192,24 @@ BOARD_METRICS_SQL = """
     UNION ALL SELECT split, model, 'precision', count(*) FILTER (quality = 1 AND prob >= 0.5) / count(*) FILTER (prob >= 0.5)::DOUBLE FROM t GROUP BY 1, 2
     UNION ALL SELECT split, model, 'recall', count(*) FILTER (quality = 1 AND prob >= 0.5) / SUM(quality)::DOUBLE FROM t GROUP BY 1, 2
     UNION ALL SELECT split, model, 'f1', 2 * count(*) FILTER (quality = 1 AND prob >= 0.5) / (count(*) FILTER (prob >= 0.5) + SUM(quality))::DOUBLE FROM t GROUP BY 1, 2
-    UNION ALL SELECT split, model, 'roc_auc', (SUM(rk) FILTER (quality = 1) - SUM(quality) * (SUM(quality) + 1) / 2.0::DOUBLE) / (SUM(quality) * SUM(1 - quality))::DOUBLE FROM t GROUP BY 1, 2
+    UNION ALL SELECT split, model, 'roc_auc', SUM(pos * (total - p - (called - tp) + (n - pos) / 2.0::DOUBLE)) / MAX(p * (total - p))::DOUBLE FROM w GROUP BY 1, 2
     UNION ALL SELECT split, model, 'pr_auc', SUM(pos / p::DOUBLE * tp / called) FROM w GROUP BY 1, 2"""
 
 
 @query("scoreboard", f"""
     WITH {SCORED_SQL}, u AS (SELECT split, quality, 'ours' AS model, prob FROM s UNION ALL
                              SELECT split, quality, 'theirs', sqrt(prob) * 0.9::DOUBLE FROM s),
-    t AS MATERIALIZED (SELECT *, rank() OVER (PARTITION BY split, model ORDER BY prob) + (COUNT(*) OVER (PARTITION BY split, model, prob) - 1) / 2.0::DOUBLE AS rk FROM u),
-    d AS (SELECT split, model, prob, SUM(quality) AS pos, COUNT(*) AS n FROM u GROUP BY 1, 2, 3),
-    w AS MATERIALIZED (SELECT split, model, pos, SUM(pos) OVER (PARTITION BY split, model ORDER BY prob DESC) AS tp,
-                 SUM(n) OVER (PARTITION BY split, model ORDER BY prob DESC) AS called, SUM(pos) OVER (PARTITION BY split, model) AS p FROM d),
-    m AS ({BOARD_METRICS_SQL})
-    SELECT a.split, a.metric, ROUND(a.value, 5) AS ours, ROUND(b.value, 5) AS theirs,
-           CASE WHEN a.metric IN ('brier', 'log_loss') THEN CASE WHEN ROUND(a.value, 9) <= ROUND(b.value, 9) THEN 'ours' ELSE 'theirs' END
-                ELSE CASE WHEN ROUND(a.value, 9) >= ROUND(b.value, 9) THEN 'ours' ELSE 'theirs' END END AS winner
-    FROM m a JOIN m b ON a.split = b.split AND a.metric = b.metric AND a.model = 'ours' AND b.model = 'theirs'
+    t AS MATERIALIZED (SELECT * FROM u),
+    d AS (SELECT split, model, prob, SUM(quality) AS pos, COUNT(*) AS n FROM t GROUP BY 1, 2, 3),
+    w AS MATERIALIZED (SELECT split, model, pos, n, SUM(pos) OVER z AS tp, SUM(n) OVER z AS called,
+                              SUM(pos) OVER (PARTITION BY split, model) AS p, SUM(n) OVER (PARTITION BY split, model) AS total
+                       FROM d WINDOW z AS (PARTITION BY split, model ORDER BY prob DESC)),
+    m AS MATERIALIZED ({BOARD_METRICS_SQL}),
+    h AS (SELECT split, metric, MAX(value) FILTER (model = 'ours') AS x, MAX(value) FILTER (model = 'theirs') AS y FROM m GROUP BY 1, 2)
+    SELECT split, metric, ROUND(x, 5) AS ours, ROUND(y, 5) AS theirs,
+           CASE WHEN metric IN ('brier', 'log_loss') THEN CASE WHEN ROUND(x, 9) <= ROUND(y, 9) THEN 'ours' ELSE 'theirs' END
+                ELSE CASE WHEN ROUND(x, 9) >= ROUND(y, 9) THEN 'ours' ELSE 'theirs' END END AS winner
+    FROM h
 """)
 def scoreboard(spark, sf):
     ours = rounded(_metric_rows(spark, sf, F.col("prob")), 9)
