@@ -7,14 +7,11 @@ driver and back as literals.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -22,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.functions.columns import squared_distance
 from lumentab.operators.distance import nearest_centre
-from lumentab.session import cut_lineage
+from lumentab.session import cut_lineage, ship_code, shuffle_width
 
 Centres = list[list[float]]
 # Radii and ratios of subtractive clustering.
@@ -63,39 +60,156 @@ def fit_projection(df: DataFrame, features: str, k: int = 2) -> Projection:
         [float(v) for v in model.explainedVariance])
 
 
+def centres_in_plane(plane: Projection, df: DataFrame, features: str, cluster: str) -> DataFrame:
+    """(cluster, n, pc1, pc2, explained1, explained2): mean of each cluster's projected rows, with the axes' shares of the variance."""
+    names = [f"pc{i + 1}" for i in range(len(plane.axes))]
+    means = plane.transform(df, features).groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in names])
+    return means.withColumns({f"explained{i + 1}": F.lit(v) for i, v in enumerate(plane.explained)})
+
+
 # ---------------------------------------------------------------- k-means
 
-def fit_kmeans(df: DataFrame, k: int, seeds: Sequence[int] = (1, 2, 3), max_iter: int = 300,
-               features: str = "features") -> tuple[KMeansModel, float]:
-    """Best of several starts by training cost; the starts run side by side, so that small jobs overlap."""
-    def run(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
+# Rows that only choose first centres, cells of a block (rows times dimensions), and rows of a partition at least.
+START_ROWS, BLOCK_CELLS, BLOCK_ROWS = 4096, 1 << 19, 20_000
+
+
+def _start_rows(df: DataFrame, features: str) -> np.ndarray:
+    vector = F.col(features).cast("array<double>")
+    head = df.select(vector.alias("v")).where(F.col("v").isNotNull()).orderBy(F.xxhash64("v"), "v").limit(START_ROWS).collect()
+    return np.array([r["v"] for r in head], dtype=float)
+
+
+def _spread(x: np.ndarray, k: int, seed: int) -> Centres:
+    """First centres: each next one is drawn by its squared distance to those chosen."""
+    rng = np.random.default_rng(seed)
+    chosen = [x[rng.integers(len(x))]]
+    gap = ((x - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        at = rng.choice(len(x), p=gap / gap.sum()) if gap.sum() > 0 else rng.integers(len(x))
+        chosen.append(x[at])
+        gap = np.minimum(gap, ((x - x[at]) ** 2).sum(axis=1))
+    return [[float(v) for v in c] for c in chosen]
+
+
+def packed_vectors(df: DataFrame, features: str) -> DataFrame:
+    """Blocks of vectors as bytes, for loops that pass over them many times; in as many partitions as the rows need."""
+    ship_code(df.sparkSession)
+    vector = df.select(F.col(features).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+                step = max(1, BLOCK_CELLS // max(x.shape[1], 1))
+                parts = [x[lo:lo + step] for lo in range(0, len(x), step)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([len(p) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["n", "x"])
 
-    pool = ThreadPool(min(4, len(seeds)))
-    try:
-        models = pool.map(inheritable_thread_target(df.sparkSession)(run), seeds)
-    finally:
-        pool.close()
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    return best, float(best.summary.trainingCost)
+    blocks = vector.mapInArrow(run, "n long, x binary")
+    rows = vector.count()
+    return cut_lineage(blocks.coalesce(max(1, min(blocks.rdd.getNumPartitions(), -(-rows // BLOCK_ROWS)))))
+
+
+def advance(blocks: DataFrame, models: Mapping[int, Centres]) -> dict[int, tuple[Centres, float, list[int]]]:
+    """One step of all models in one pass: new centres (an empty cluster keeps its own), the cost before it, and sizes.
+
+    Blocks send a sum and a count per (model, cluster), which are added up by model; ties go to the lower cluster.
+    """
+    arrays = {m: np.array(c, dtype=float) for m, c in models.items()}
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = np.frombuffer(row["x"]).reshape(row["n"], -1)
+                square = (x * x).sum(axis=1)
+                for m, c in arrays.items():
+                    gap = square[:, None] + (c * c).sum(axis=1)[None] - 2 * (x @ c.T)
+                    near = gap.argmin(axis=1)
+                    hit = np.zeros((len(c), len(x)))
+                    hit[near, np.arange(len(x))] = 1.0
+                    diff = x - c[near]
+                    own = np.concatenate((hit @ x, hit.sum(axis=1)[:, None], (hit @ (diff * diff).sum(axis=1))[:, None]), axis=1)
+                    total[m] = total[m] + own if m in total else own
+        yield from _packets(total)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = np.frombuffer(row["payload"]).reshape(arrays[row["model"]].shape[0], -1)
+                total[row["model"]] = total[row["model"]] + own if row["model"] in total else own
+        yield from _packets(total)
+
+    pieces = blocks.mapInArrow(sums, "model int, payload binary")
+    width = max(1, min(len(models), shuffle_width(blocks.sparkSession)))
+    if blocks.rdd.getNumPartitions() > 1:
+        pieces = pieces.repartition(width, "model").mapInArrow(added, "model int, payload binary")
+    out = {}
+    for row in pieces.toArrow().to_pylist():
+        old = arrays[row["model"]]
+        own = np.frombuffer(row["payload"]).reshape(len(old), -1)
+        n = own[:, -2]
+        mean = np.where(n[:, None] > 0, own[:, :-2] / np.maximum(n, 1)[:, None], old)
+        out[row["model"]] = ([[float(v) for v in c] for c in mean], float(own[:, -1].sum()), [int(v) for v in n])
+    return out
+
+
+def _packets(total: Mapping[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if total:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["model", "payload"])
+
+
+def fit_together(df: DataFrame, features: str, models: Sequence[Centres], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[Centres, float]]:
+    """K-means from each list of first centres, all models in one loop: (centres, inertia) of each.
+
+    A model leaves the loop when none of its centres moves by more than ``tol``; so there are as many passes over
+    the rows as the slowest model has steps, whatever the number of models.
+    """
+    blocks = packed_vectors(df, features)
+    now = dict(enumerate(models))
+    live, cost = set(now), {}
+    for _ in range(max_iter):
+        moved = advance(blocks, {m: now[m] for m in live})
+        if not moved:
+            break
+        for m, (centres, _, _) in moved.items():
+            if max(math.dist(a, b) for a, b in zip(centres, now[m])) <= tol:
+                live.discard(m)
+            now[m] = centres
+        if not live:
+            break
+    for m, (_, c, _) in advance(blocks, now).items():
+        cost[m] = c
+    return [(now[m], cost.get(m, 0.0)) for m in range(len(models))]
 
 
 def elbow(df: DataFrame, features: str, ks: Sequence[int], seeds: Sequence[int] = (1, 2, 3)) -> DataFrame:
-    """Inertia and (squared Euclidean) silhouette per k."""
-    prepared = vectors(df, features).select("features").persist()
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+    """Inertia and (squared Euclidean) silhouette of the best start per k; all starts of all k are fitted together."""
+    kept = df.select(F.col(features).cast("array<double>").alias("v")).where(F.col("v").isNotNull()).persist()
+    sample = _start_rows(kept, "v")
+    wanted = [(k, seed) for k in ks for seed in (seeds if k > 1 else seeds[:1])]
+    fitted = fit_together(kept, "v", [_spread(sample, k, seed) for k, seed in wanted])
     rows = []
     for k in ks:
-        if k == 1:  # one centre is the mean: inertia is the total squared deviation
-            total = prepared.agg(Summarizer.metrics("variance", "count").summary(F.col("features")).alias("s")).first()["s"]
-            rows.append((1, float(sum(total["variance"]) * (total["count"] - 1)), None))
-            continue
-        model, cost = fit_kmeans(prepared, k, seeds)
-        rows.append((k, cost, float(judge.evaluate(model.transform(prepared)))))
-    prepared.unpersist()
+        centres, cost = min((f for (own, _), f in zip(wanted, fitted) if own == k), key=lambda f: f[1])
+        score = None
+        if k > 1:
+            told = squared_silhouette(kept.withColumn("cluster", nearest_centre(F.col("v"), centres)["cluster"]), "v", "cluster", None)
+            score = told.agg(F.avg("silhouette")).first()[0]
+        rows.append((k, cost, score))
+    kept.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, inertia double, silhouette double")
 
 
+def fit_kmeans(df: DataFrame, features: str, k: int, seeds: Sequence[int] = (1, 2, 3), max_iter: int = 300) -> tuple[SeededClusters, float]:
+    """Best of several starts by inertia; the starts are fitted together."""
+    sample = _start_rows(df, features)
+    centres, cost = min(fit_together(df, features, [_spread(sample, k, seed) for seed in seeds], max_iter), key=lambda f: f[1])
+    return SeededClusters(centres, [cost]), cost
+
+
 def lloyd_step(df: DataFrame, features: str, centres: Centres) -> tuple[Centres, float]:
     """Assign to the nearest centre and average: new centres (an empty cluster keeps its own) and inertia."""
     near = nearest_centre(F.col(features).cast("array<double>"), centres)

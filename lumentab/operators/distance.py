@@ -162,9 +162,12 @@ def kth_distance(df: DataFrame, dims: Sequence[str], k: int) -> DataFrame:
         near = cell_join(on_grid(pending, dims, radius), gridded, dims, 1, hot_cells(gridded, dims)).where(
             gap_squared(dims) <= F.lit(radius * radius)
         ).withColumn("_gap", gap_squared(dims))
-        outward = Window.partitionBy(*_site_keys(dims)).orderBy("_gap").rangeBetween(Window.unboundedPreceding, 0)
+        # The k + 1 nearest sites hold the k-th other row: each task sends no more than these of a point.
+        outward = Window.partitionBy(*_site_keys(dims)).orderBy("_gap")
+        within = outward.rangeBetween(Window.unboundedPreceding, 0)
         found = cut_lineage(
-            near.withColumn("_within", F.sum("copies").over(outward)).where(F.col("_within") > k)
+            near.select(*_site_keys(dims), "_q_copies", "copies", "_gap").withColumn("_rank", F.row_number().over(outward))
+            .where(F.col("_rank") <= k + 1).withColumn("_within", F.sum("copies").over(within)).where(F.col("_within") > k)
             .groupBy(*_site_keys(dims)).agg(F.max("_q_copies").alias("copies"), F.sqrt(F.min("_gap")).alias("kth"))
             .withColumnsRenamed({f"_q_{x}": x for x in dims})
         )

@@ -5,11 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lumentab.functions.columns import cut
 from lumentab.operators import order, prepare, profile
-from lumentab.operators.ship import join_with_nulls
+from lumentab.operators.ship import join_with_nulls, ship_if_short
+
+
+def _time_cuts(df: DataFrame, time: str) -> DataFrame:
+    """``_period``: the number of the cut along ``time``; rows without a time come first."""
+    kind = df.schema[time].dataType
+    at = F.col(time)
+    if isinstance(kind, T.DateType):
+        at = F.unix_date(at)
+    elif not isinstance(kind, T.NumericType):
+        at = F.unix_micros(at.cast("timestamp"))
+    rows = df.withColumn("_at", at.cast("double"))
+    cut = order.with_cut(rows, "_at", order.splitters(rows, ["_at"])["_at"], "_period")
+    return cut.withColumn("_period", F.when(F.col("_at").isNull(), -1).otherwise(F.col("_period"))).drop("_at")
 
 
 def previous_value(df: DataFrame, ids: Sequence[str], time: str, value: str, out: str,
@@ -18,10 +31,11 @@ def previous_value(df: DataFrame, ids: Sequence[str], time: str, value: str, out
 
     The window runs inside (identifier, calendar period); the last value of each period is
     carried over on the short period table.  An identifier with a third of all rows is
-    thereby spread over its periods.
+    thereby spread over its periods.  Without identifiers the one series is cut at time
+    quantiles instead, so no task gets a whole period, and a table of the cuts carries values on.
     """
     ids = list(ids)
-    rows = df.withColumn("_period", F.date_trunc(period, time))
+    rows = df.withColumn("_period", F.date_trunc(period, time)) if ids else _time_cuts(df, time)
     inside = Window.partitionBy(*ids, "_period").orderBy(time, *ties)
     last = rows.groupBy(*ids, "_period").agg(
         F.max(F.struct(time, *ties, F.col(value).alias("_v")))["_v"].alias("_last")
@@ -154,7 +168,7 @@ def worst_unit_detail(df: DataFrame, ranking: DataFrame, unit: str, indicators:
     names = [i.name for i in indicators]
     overall = prepare.fit_means(df, names)
     chosen = ranking.where(F.col("ranking") <= worst).select(unit)
-    means = df.join(F.broadcast(chosen), unit).groupBy(unit).agg(*[F.avg(n).alias(n) for n in names])
+    means = df.join(ship_if_short(chosen), unit).groupBy(unit).agg(*[F.avg(n).alias(n) for n in names])
     rows = [
         F.struct(
             F.lit(i.name).alias("indicator"),

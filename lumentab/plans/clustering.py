@@ -216,12 +216,36 @@ def kmeans_seeded(spark, sf):
     rows = unit_vectors(spark, sf)
     centres, _ = cluster.subtractive_centres(rows, "point", 3, CELL, max_centres=10)
     if len(centres) < 2:
-        model, _ = cluster.fit_kmeans(cluster.vectors(rows, "point"), 3)
-        centres = [[float(x) for x in c] for c in model.clusterCenters()]
+        centres = cluster.fit_kmeans(rows, "point", 3)[0].centres
     fit = cluster.fit_seeded(rows, "point", centres, max_iter=500)
     return fit.transform(rows, "point").select("vec_id", "cluster")
 
 
+def _starts(rows, ks):
+    """The first k vectors by id, for each k."""
+    head = [[float(x) for x in r["embedding"]] for r in rows.orderBy("vec_id").limit(max(ks)).collect()]
+    return {k: head[:k] for k in ks}
+
+
+# Two models of three and five centres, one step on.
+@query("kmeans_step_together", """
+    WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    r AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n FROM embeddings),
+    c AS (SELECT k, n - 1 AS c, i, x AS m FROM v JOIN r USING (vec_id), (VALUES (3), (5)) AS s(k) WHERE n <= k),
+    g AS (SELECT k, vec_id, c, SUM((x - m) * (x - m)) AS d2 FROM v JOIN c USING (i) GROUP BY ALL),
+    a AS (SELECT k, vec_id, arg_min(c, (d2, c)) AS c, MIN(d2) AS d2 FROM g GROUP BY ALL),
+    t AS (SELECT k, c, COUNT(*)::BIGINT AS n FROM a GROUP BY ALL),
+    i AS (SELECT k, SUM(d2) AS cost FROM a GROUP BY ALL)
+    SELECT k::BIGINT AS k, c::BIGINT AS cluster, (i - 1)::BIGINT AS dim, ROUND(AVG(x), 9) + 0.0 AS centre, ANY_VALUE(t.n) AS n, ROUND(ANY_VALUE(cost), 6) AS inertia
+    FROM v JOIN a USING (vec_id) JOIN t USING (k, c) JOIN i USING (k) GROUP BY ALL
+""")
+def kmeans_step_together(spark, sf):
+    rows = vec(spark, sf)
+    moved = cluster.advance(cluster.packed_vectors(rows, "embedding"), _starts(rows, (3, 5)))
+    out = [(k, c, d, x, n[c], cost) for k, (centres, cost, n) in moved.items() for c, centre in enumerate(centres) for d, x in enumerate(centre)]
+    return rounded(rounded(spark.createDataFrame(out, "k long, cluster long, dim long, centre double, n long, inertia double"), 9, "centre"), 6, "inertia")
+
+
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
     return rounded(cluster.elbow(vec(spark, sf), "embedding", range(1, 11), seeds=range(1, 11)), 6)
@@ -246,6 +270,25 @@ def pca_pair(spark, sf):
     return rounded(cluster.fit_projection(rows, "v").transform(rows, "v").select("o_orderkey", "pc1", "pc2"), 6)
 
 
+# Projection fitted on the fitting rows (keys that 5 does not divide) and applied to all; centres of the two groups in the plane.
+@query("pca_centres", f"""
+    WITH {POINTS_SQL}, f AS (SELECT * FROM p WHERE o_orderkey % 5 <> 0),
+    s AS (SELECT AVG(x) AS mx, AVG(y) AS my, 0.5::DOUBLE * atan2(2 * covar_samp(x, y), var_samp(x) - var_samp(y)) AS t,
+                 (var_samp(x) + var_samp(y)) / 2.0::DOUBLE AS h, sqrt(pow((var_samp(x) - var_samp(y)) / 2.0::DOUBLE, 2) + pow(covar_samp(x, y), 2)) AS r FROM f),
+    a AS (SELECT mx, my, (h + r) / (2 * h) AS e1, (h - r) / (2 * h) AS e2, cos(t) * CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS ax,
+                 sin(t) * CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS ay,
+                 -sin(t) * CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS bx,
+                 cos(t) * CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS "by" FROM s),
+    k AS (SELECT p.*, (o_orderkey % 3)::BIGINT AS cluster FROM p)
+    SELECT cluster, COUNT(*)::BIGINT AS n, ROUND(AVG((x - mx) * ax + (y - my) * ay), 6) + 0.0 AS pc1, ROUND(AVG((x - mx) * bx + (y - my) * "by"), 6) + 0.0 AS pc2,
+           ROUND(ANY_VALUE(e1), 6) AS explained1, ROUND(ANY_VALUE(e2), 6) AS explained2 FROM k, a GROUP BY 1
+""")
+def pca_centres(spark, sf):
+    rows = order_points(spark, sf).select("o_orderkey", F.array("x", "y").alias("v"), (F.col("o_orderkey") % 3).alias("cluster"))
+    plane = cluster.fit_projection(rows.where("o_orderkey % 5 <> 0"), "v")
+    return rounded(cluster.centres_in_plane(plane, rows, "v", "cluster"), 6)
+
+
 @query("db_ch_index", f"""
     WITH {CENTRE_SQL}, own AS (SELECT e.label AS c, g.d2 FROM embeddings e JOIN g ON g.vec_id = e.vec_id AND g.c = e.label),
     s AS (SELECT c, AVG(sqrt(d2)) AS s, SUM(d2) AS w, COUNT(*) AS n FROM own GROUP BY 1),
@@ -275,8 +318,8 @@ def silhouette_squared(spark, sf):
 @query("cluster_metrics")
 def cluster_metrics(spark, sf):
     rows = vec(spark, sf).select("vec_id", "embedding").persist()
-    model, _ = cluster.fit_kmeans(cluster.vectors(rows, "embedding"), 3, seeds=range(1, 21))
-    labelled = model.transform(cluster.vectors(rows, "embedding"))
+    model, _ = cluster.fit_kmeans(rows, "embedding", 3, seeds=range(1, 21))
+    labelled = model.transform(rows, "embedding")
     score = cluster.squared_silhouette(labelled, "embedding", "cluster").agg(F.avg("silhouette").alias("silhouette"))
     return rounded(cluster.separation(labelled, "embedding", "cluster").withColumn("silhouette", score.scalar()), 6)
 

@@ -22,6 +22,18 @@ def returns(spark, sf):
     return rounded(rounded(out, 6, "value"), 9, "value_ret", "value_logret")
 
 
+@query("returns_global", """
+    WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 17 <> 0 THEN value END AS v FROM events),
+    f AS (SELECT event_id, ts, COALESCE(v, (SELECT quantile_cont(v, 0.5) FROM e)) AS value FROM e),
+    r AS (SELECT *, value / NULLIF(lag(value) OVER (ORDER BY ts, event_id), 0) - 1 AS ret FROM f)
+    SELECT event_id, ROUND(value, 6) AS value, ROUND(COALESCE(ret, 0), 9) AS value_ret, ROUND(COALESCE(ln(1 + ret), 0), 9) AS value_logret FROM r
+""")
+def returns_global(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "ts", F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("value"))
+    out = panel.with_returns(e, [], "ts", ["value"], ["event_id"]).drop("ts")
+    return rounded(rounded(out, 6, "value"), 9, "value_ret", "value_logret")
+
+
 NATION_YEARS_SQL = """
     y AS (SELECT c_nationkey AS unit, year(o_orderdate) AS yr, COUNT(*)::DOUBLE AS n_orders, AVG(o_totalprice) AS price,
                  AVG((o_orderstatus = 'F')::DOUBLE) AS closed, AVG(c_acctbal) AS balance,

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -255,3 +257,40 @@ def test_budgeted_correction(spark, path):
     assert counts == {"bajo": (100, 70), "alto": (0, 30)}
     none = audit.correct_labels(df, "id", "label", "vote", "gap", votes=F.lit(2), min_votes=3)
     assert none.where("label <> corrected").count() == 0
+
+
+def test_models_fitted_together_equal_separate_loops(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(cluster, "BLOCK_CELLS", 64)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 0.4, size=(70, 3)) for c in ((0, 0, 0), (3, 0, 1), (0, 4, 2))])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(999, None)], "id long, v array<double>").repartition(4)
+    starts = [[list(map(float, x[i])) for i in own] for own in ((0, 1), (0, 80, 150), (3, 4, 5, 6, 7))]
+    for (got, cost), start in zip(cluster.fit_together(df, "v", starts), starts):
+        want = cluster.fit_seeded(df.where("v IS NOT NULL"), "v", start, 300)
+        np.testing.assert_allclose(got, want.centres, atol=1e-9)
+        near = ((x[:, None] - np.array(got)[None]) ** 2).sum(axis=2).min(axis=1)
+        assert math.isclose(cost, near.sum(), rel_tol=1e-9)
+    # A centre far from all rows keeps its place.
+    moved = cluster.advance(cluster.packed_vectors(df, "v"), {0: [[0.0, 0.0, 0.0], [1e6, 0.0, 0.0]]})
+    assert moved[0][0][1] == [1e6, 0.0, 0.0] and moved[0][2] == [210, 0]
+
+
+def test_elbow_finds_three_groups(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 0.2, size=(40, 2)) for c in ((0, 0), (5, 0), (0, 5))])
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "v array<double>")
+    rows = {r["k"]: r for r in cluster.elbow(df, "v", range(1, 6), range(1, 4)).collect()}
+    assert rows[1]["silhouette"] is None and math.isclose(rows[1]["inertia"], ((x - x.mean(axis=0)) ** 2).sum(), rel_tol=1e-6)
+    assert max(range(2, 6), key=lambda k: rows[k]["silhouette"]) == 3
+    assert all(rows[k + 1]["inertia"] < rows[k]["inertia"] for k in range(1, 5))
+
+
+def test_kth_distance_of_a_far_point_and_copies(spark):
+    rng = np.random.default_rng(7)
+    xy = np.concatenate([rng.random((300, 2)), [[50.0, 50.0]], np.repeat([[0.5, 0.5]], 9, axis=0)])
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in xy], "x double, y double").repartition(5)
+    got = {(r["x"], r["y"]): r["kth"] for r in distance.kth_distance(df, ["x", "y"], 4).collect()}
+    d = np.sort(np.linalg.norm(xy[:, None] - xy[None], axis=2), axis=1)[:, 4]
+    for i, (a, b) in enumerate(xy):
+        assert math.isclose(got[float(a), float(b)], d[i], abs_tol=1e-12)

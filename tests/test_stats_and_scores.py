@@ -221,3 +221,23 @@ def test_split_widths_change_no_result(spark, monkeypatch):
     assert split._prefix_digits(3000) > 3
     assert {r["id"]: r["split"] for r in split.hash_split(df, "id", (0.7, 0.3), ("a", "b"), ["y"]).collect()} == one
     assert {r["id"]: r["fold"] for r in split.fold_numbers(df, "id", 5, "y").collect()} == folds
+
+
+def test_returns_of_one_series_over_cuts(spark, monkeypatch):
+    """Without identifiers the series is cut at time quantiles; the first value of a cut follows the last of the one before."""
+    import datetime as dt
+
+    from lumentab.operators import order
+
+    monkeypatch.setattr(order, "SMALL_ROWS", 0)
+    monkeypatch.setattr(order, "SAMPLE_STEP", 1)
+    rng = np.random.default_rng(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(seconds=int(rng.integers(0, 400))), float(rng.integers(1, 50))) for i in range(500)] + [(900, None, 7.0), (901, None, 9.0)]
+    for kind in ("timestamp", "date", "long"):
+        as_kind = {"timestamp": lambda t: t, "date": lambda t: start.date() + dt.timedelta(days=(t - start).seconds), "long": lambda t: (t - start).seconds}[kind]
+        own = [(i, None if t is None else as_kind(t), p) for i, t, p in rows]
+        df = spark.createDataFrame(own, f"id long, t {kind}, p double").repartition(3)
+        got = {r["id"]: r["_prev"] for r in panel.previous_value(df, [], "t", "p", "_prev", ["id"]).collect()}
+        line = sorted(own, key=lambda r: (r[1] is not None, r[1] or as_kind(start), r[0]))
+        assert got == {b[0]: (a[2] if a else None) for a, b in zip([None, *line], line)}
