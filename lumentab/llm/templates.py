@@ -8,8 +8,9 @@ A class is valid if it has at least ``CLASS_SIZE`` tokens and covers at least ``
 pages, and a token joins the template only if the block around it is in the template too: valid classes nest.  What
 remains between template tokens are slots.  A slot's role comes from the template around it and from how its text behaves over the host's pages:
 
-* slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments (by tag, role or class) and
-  inside scripts, styles and the head are dropped;
+* slots inside menus, headers, footers, sidebars and forms (by tag or role) and inside scripts, styles and the head
+  are dropped; a class or id that names such a part is only a hint: on a page where no running text is left without
+  the elements so named, the outermost of them are wrappers and their names do not count;
 * if the template and the page have an article (or main) element, the slots inside it are the main text and no others are;
 * otherwise runs that are themselves template tokens (the same text on the same pages as the markup) and slots that
   are mostly links are dropped and the others are the main text.  A page on which nothing else remains, such as a
@@ -47,7 +48,9 @@ LINKED = 0.5
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style textarea title noscript template iframe svg math"
+RAW = "script style textarea title noscript template iframe"
+#: Raw as well, but these may close themselves.
+FOREIGN = "svg math"
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
@@ -56,13 +59,20 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("html body article main section div table ul ol dl td th nav aside header footer form blockquote".split())
 DROPPED = frozenset("script style textarea title noscript template iframe svg math head nav header footer aside form button select menu dialog".split())
 MAIN = frozenset(["article", "main"])
+# Words that name parts outside the article, and the words that a name may add before and after them.
+PARTS = ("ads? advert advertisement advertisements banner sponsor sponsored promo nav navbar navigation menu breadcrumbs? header masthead footer sidebar "
+         "side-bar cookies? consent notices? popup modal newsletter subscribe share sharing social related comments? disqus widgets? pagination pager")
+BEFORE = "site page main top left right bottom global primary secondary mobile post article entry user reader google cookie js"
+AFTER = ("box bar list links? buttons? icons? section block widget container wrapper wrap area top bottom left right posts? articles? "
+         "form inner content items? thread policy notice banner message primary secondary main menu nav")
+# A name counts as a whole: "share-buttons" names a part, "market-share" and "related-work" do not.
 BOILER = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|header|masthead|footer|side-?bar\w*|cookie\w*|consent|notice\w*|"
-    r"popup|modal|newsletter|subscribe|share|social|related|comments?|comment-\w+|disqus|widget|pagination|pager)(?=$|[\s_-])", re.I)
+    rf"(?:(?:{BEFORE.replace(' ', '|')})[-_]+)*(?:{PARTS.replace(' ', '|')})(?:[-_]+(?:{AFTER.replace(' ', '|')}|{PARTS.replace(' ', '|')}|\d*))*", re.I)
 ROLE = re.compile(r"navigation|banner|contentinfo|complementary|search|form|dialog|alert", re.I)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW.replace(" ", "|") + r")\b(?P<rawattr>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<foreign>" + FOREIGN.replace(" ", "|") + r")\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+(?<!/)>.*?(?:</(?P=foreign)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -77,16 +87,51 @@ def _label(name: str, attr: str) -> str:
 
 
 @lru_cache(maxsize=50_000)
-def _boiler(label: str) -> bool:
-    """Whether the element's name, class, id or role says that it is not part of the article."""
-    name = re.split(r"[.#@]", label, maxsplit=1)[0]
-    if name in DROPPED:
+def _outside(label: str) -> bool:
+    """Whether the element's tag or role says that it is not part of the article."""
+    if _name(label) in DROPPED:
         return True
-    marks = label[len(name):]
-    if not marks or name in ("html", "body", "article", "main"):
+    return "@" in label and bool(ROLE.search(label.rpartition("@")[2]))
+
+
+@lru_cache(maxsize=50_000)
+def _named(label: str) -> bool:
+    """Whether a class or id names a part outside the article: a hint that gives way to what the page holds."""
+    name = _name(label)
+    if name in ("html", "body", "article", "main"):
         return False
-    role = marks.rpartition("@")[2] if "@" in marks else ""
-    return bool(ROLE.search(role)) or any(BOILER.search(m) for m in re.split(r"[.#]", marks.split("@")[0]))
+    return any(BOILER.fullmatch(x) for x in re.split(r"[.#\s]+", label[len(name):].split("@")[0]) if x)
+
+
+# Elements that hold running text.
+RUNNING = frozenset("p pre blockquote li dd td".split())
+
+
+def _without_parts(blocks: list[tuple[tuple[str, ...], str]]) -> list[tuple[tuple[str, ...], str]]:
+    """The blocks that no name puts outside the article.
+
+    If these are under a fifth of the text and hold no running text, the outermost names are those of wrappers, and
+    only names within them count.
+    """
+    rest = [b for b in blocks if not any(map(_outside, b[0]))]
+    skip = 0
+    while True:
+        kept = [b for b in rest if not any(map(_named, b[0][_after(b[0], skip):]))]
+        if len(kept) == len(rest) or not any(map(_named, (x for p, _ in rest for x in p[_after(p, skip):]))):
+            return kept
+        some = 5 * sum(len(t) for _, t in kept) >= sum(len(t) for _, t in rest)
+        if kept and (some or any(_name(x) in RUNNING for p, _ in kept for x in p)):
+            return kept
+        skip += 1
+
+
+def _after(path: tuple[str, ...], skip: int) -> int:
+    """The place behind the first ``skip`` named elements of a path."""
+    for k, label in enumerate(path):
+        if skip == 0:
+            return k
+        skip -= _named(label)
+    return len(path)
 
 
 def _name(label: str) -> str:
@@ -115,7 +160,7 @@ def page_events(page: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
         if m.start() > at:
             yield "text", tuple(stack), page[at:m.start()]
         at = m.end()
-        if m["raw"] or not m["name"]:
+        if m["raw"] or m["foreign"] or not m["name"]:
             continue
         name = m["name"].lower()
         if m["close"]:
@@ -191,8 +236,6 @@ def page_tokens(page: str) -> dict[str, tuple[int, int, int]]:
             tags[STEP.join(path)] += 1
     out = {k: (n, 0, 0) for k, n in tags.items()}
     for path, text, linked in page_blocks(page):
-        if any(_boiler(x) for x in path):
-            continue
         slot = STEP.join(path)
         n, size, links = out.get(slot, (0, 0, 0))
         out[slot] = (n, size + len(text), links + linked)
@@ -254,19 +297,22 @@ def template_of(tokens: list[dict]) -> str:
     for path in sorted((tuple(t["token"].split(STEP)) for t in valid if RUN not in t["token"]), key=len):
         if not _slot(path[:-1]) or _slot(path[:-1]) in slots:
             slots.add(path)
-    fixed = [t for t in valid if RUN in t["token"] and tuple(t["token"].partition(RUN)[0].split(STEP)) in slots]
-    # What a slot holds beyond the template counts as the slot's.
-    chars, linked, repeated = Counter(), Counter(), Counter()
-    for t in tokens:
-        if RUN not in t["token"] and (slot := _around(tuple(t["token"].split(STEP)), slots)):
+    # A path on every page has a role of its own, however often it occurs there: lists differ in length.
+    shared = {tuple(t["token"].split(STEP)): t for t in tokens if RUN not in t["token"]}
+    everywhere = max((t["pages"] for t in tokens), default=0)
+    known = slots | {p for p, t in shared.items() if t["chars"] and t["pages"] == everywhere}
+    fixed = [t for t in valid if RUN in t["token"] and tuple(t["token"].partition(RUN)[0].split(STEP)) in known]
+    # What a slot holds beyond these counts as the slot's.
+    chars, linked = Counter(), Counter()
+    for path, t in shared.items():
+        if slot := _around(path, known):
             chars[slot] += t["chars"]
             linked[slot] += t["linked"]
-    for t in fixed:
-        repeated[tuple(t["token"].partition(RUN)[0].split(STEP))] += t["chars"]
     has_main = any(_name(x) in MAIN for path in slots for x in path)
     lines = []
-    for path in sorted(slots):
-        own = not any(_boiler(x) for x in path)
+    for path in sorted(known):
+        # Names are left to each page, which knows whether anything remains without them.
+        own = not any(_outside(x) for x in path)
         plain = own and (chars[path] == 0 or linked[path] < LINKED * chars[path])
         main = own and any(_name(x) in MAIN for x in path) if has_main else plain
         lines.append(f"{STEP.join(path)}\t{int(main)}{int(plain)}")
@@ -314,13 +360,14 @@ def _roles(lines: str) -> tuple[Roles, Roles, frozenset[str], bool]:
 def main_text(page: str, template: str) -> str:
     """The text of the page's main slots: roles come from the template, and beyond it from the elements' names."""
     inside, plain, fixed, has_main = _roles(template)
-    blocks = [(path, text) for path, text, _ in page_blocks(page) if not any(_boiler(x) for x in path)]
+    blocks = _without_parts([(path, text) for path, text, _ in page_blocks(page)])
     by_main = has_main and any(_name(x) in MAIN for path, _ in blocks for x in path)
     slots = inside if by_main else plain
     out = []
     for path, text in blocks:
         around = _around(path, slots)
-        if slots.get(around, not slots) or any(_name(x) in MAIN for x in path[len(around):]):
+        # Outside all of the template, text stays unless the page has an article.
+        if slots.get(around, not by_main) or any(_name(x) in MAIN for x in path[len(around):]):
             out.append((path, text))
     if not by_main and fixed:
         out = [(p, t) for p, t in out if f"{STEP.join(p)}{RUN}{hash_text(t)}" not in fixed] or out
