@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lumentab.llm import (
     dac, decontaminate, language, licenses, mixing, mtree, ngramjoin, quality, secret_scan, spelling, templates, tokencount, turns,
 )
-from lumentab.llm.ship_code import ship_code
+from lumentab.llm.ship_code import prepare
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_code(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

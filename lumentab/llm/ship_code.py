@@ -1,24 +1,18 @@
-"""Lets executors import this package where it is not installed on them."""
+"""What a session needs before these operators run: the package on its executors, and Arrow batches bounded by bytes."""
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import SparkSession
 
-_done: set[str] = set()
+from lumentab.session import ship_code
+
+#: Bytes of an Arrow batch.  Spark's default of 64 MB is held several times over by an executor and by each of its workers.
+BATCH_BYTES = 8 << 20
+_LIMIT, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Hand a zip of the package to the application, once; it is served by the driver like any --py-files."""
-    sc = spark.sparkContext
-    if sc.applicationId in _done:
-        return
-    package = Path(__file__).resolve().parents[1]
-    folder = Path(tempfile.mkdtemp(prefix="lumentab-code-"))
-    staged = folder / "code"
-    shutil.copytree(package, staged / package.name, ignore=shutil.ignore_patterns("__pycache__"))
-    sc.addPyFile(shutil.make_archive(str(folder / package.name), "zip", staged))
-    _done.add(sc.applicationId)
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, once; and lower the limit of Arrow batches unless the session has set its own."""
+    ship_code(spark)
+    if spark.conf.get(_LIMIT).rstrip("b") == str(_DEFAULT):
+        spark.conf.set(_LIMIT, f"{BATCH_BYTES}b")
