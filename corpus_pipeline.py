@@ -9,32 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lumentab.llm import dac, decontaminate, mixing, ngramjoin, quality
-from lumentab.llm.ship_code import ship_code
+from lumentab.llm.ship_code import prepare
 from lumentab.llm.store import shared_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    prepare(spark)
     return quality.filter_documents(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of five-word shingle sets with a similarity of 0.8 or more."""
+    prepare(spark)
     return ngramjoin.keep_one(docs, width=5, percent=80)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
+    prepare(spark)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at temperature weights: every document once at least, those of small sources up to twice."""
+    prepare(spark)
     return mixing.mixed_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token file, read back: doc_id, start, n_tokens and ids_crc32 of every row of the mixture."""
+    prepare(spark)
     return dac.token_file(docs)
 
 
@@ -51,7 +56,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_code(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         folder = shared_folder(spark, f"pipeline-{name}")
