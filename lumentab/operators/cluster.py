@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentab.functions.columns import squared_distance
 from lumentab.operators.distance import nearest_centre
+from lumentab.operators.potential import row_potentials
 from lumentab.session import cut_lineage, ship_code, shuffle_width
 
 Centres = list[list[float]]
@@ -399,9 +400,26 @@ def subtractive_centres(df: DataFrame, features: str, dims: int, width: float, r
     potentials after it are one projection.  ``strict`` uses > and < at the two limits instead of >= and <=.
     """
     table = cut_lineage(potentials(lattice(df, features, dims, width), dims, width, ra).withColumn("point", cell_centre(dims, width)))
+    return _search(table, ra, suppression, accept, reject, max_centres, strict)
+
+
+def subtractive_rows(df: DataFrame, features: str, dims: int, ra: float = RADIUS, suppression: float = SUPPRESSION, accept: float = ACCEPT_RATIO,
+                     reject: float = REJECT_RATIO, max_centres: int | None = None, strict: bool = False) -> tuple[Centres, list[float]]:
+    """Rows that become centres, and their potentials: as ``subtractive_centres``, with the sums over rows themselves.
+
+    Boxes only place the work of the sums.  Equal rows are one candidate; among equal potentials the smaller point comes first.
+    """
+    told = row_potentials(df.select(F.col(features).alias("v")), "v", dims, ra).where(F.col("potential").isNotNull())
+    table = told.select(F.slice(F.col("v").cast("array<double>"), 1, dims).alias("point"), "potential").groupBy("point").agg(F.max("potential").alias("potential"))
+    return _search(cut_lineage(table), ra, suppression, accept, reject, max_centres, strict)
+
+
+def _search(table: DataFrame, ra: float, suppression: float, accept: float, reject: float, max_centres: int | None,
+            strict: bool) -> tuple[Centres, list[float]]:
+    """The rounds of the search over candidates (point, potential)."""
     beta = 4.0 / (ra * suppression) ** 2
-    # The strongest cell; among equals the first by place.
-    strongest = F.max(F.struct(F.col("potential").alias("potential"), *[(-F.col(c)).alias(c) for c in _axes(dims)], F.col("point").alias("point")))
+    # The strongest candidate; among equals the smallest point.
+    strongest = F.max(F.struct(F.col("potential").alias("potential"), F.transform("point", lambda x: -x).alias("place"), F.col("point").alias("point")))
     found = table.agg(strongest.alias("best")).first()["best"]
     centres: Centres = []
     strength: list[float] = []

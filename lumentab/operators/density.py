@@ -4,19 +4,23 @@ Cells have the side eps / sqrt(d), so all points of a cell are neighbours.  A ce
 ``min_pts`` rows is all core without looking at a single pair; only points of poorer cells
 (fewer than ``min_pts`` each) count their neighbours.  Clusters are components of the graph
 of core *cells*.  The work is therefore linear in the points for fixed ``min_pts``.  More
-dimensions take a join of the core points instead, blocked on three axes.
+dimensions take a join of the points instead, blocked on three axes, of which each task keeps
+a spanning forest of mutual reachability; one forest serves all radii up to its own.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumentab.operators.distance import GRID_AXES, cell_join, cell_names, gap_squared, hot_cells, on_grid, sites_of, widest
-from lumentab.session import cut_lineage
+from lumentab.session import cut_lineage, ship_code
 
 NOISE = -1
 # Sub-cells per side of a cell in the adjacency test.
@@ -112,43 +116,136 @@ def dbscan(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: in
     joins the one with the smallest key, so the result does not depend on row order.  A row with
     a NULL coordinate has no neighbours: it is noise.
     """
+    whole, apart = _with_coordinates(df, key, dims)
+    return (_dbscan_cells if len(dims) <= GRID_AXES else _dbscan_pairs)(whole, key, dims, eps, min_pts).unionByName(apart)
+
+
+def _with_coordinates(df: DataFrame, key: str, dims: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with all coordinates; and the others as noise."""
     lost = reduce(lambda a, b: a | b, [F.col(d).isNull() for d in dims])
-    placed = (_dbscan_cells if len(dims) <= GRID_AXES else _dbscan_pairs)(df.where(~lost), key, dims, eps, min_pts)
-    apart = df.where(lost).select(key, F.lit(NOISE).cast(placed.schema["cluster"].dataType).alias("cluster"), F.lit(False).alias("is_core"))
-    return placed.unionByName(apart)
+    noise = F.lit(NOISE).cast(df.schema[key].dataType)
+    return df.where(~lost), df.where(lost).select(key, noise.alias("cluster"), F.lit(False).alias("is_core"))
 
 
-def _dbscan_pairs(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: int) -> DataFrame:
-    """Many dimensions: a cell cannot stand for its points, so core points are joined within eps.
+@dataclass(frozen=True)
+class Reachability:
+    """What every radius up to ``radius`` needs: sites (cells, dims, w, k, core2) and a spanning forest (a, b, far2).
 
-    The join blocks on the axes that spread most and filters on all; its work follows the number
-    of near pairs of distinct points, so the radius has to fit the density.
+    ``core2`` is the squared distance at which a site becomes core (NULL beyond the radius).  ``far2`` of an edge is
+    the squared mutual reachability of its ends: the radius at which both are core and near.  The forest has least
+    weights, so at any radius its edges up to there connect the same core points as all near pairs do.
     """
+
+    points: DataFrame
+    key: str
+    dims: list[str]
+    radius: float
+    sites: DataFrame
+    forest: DataFrame
+
+    def clusters(self, eps: float) -> DataFrame:
+        """Rows (key, cluster, is_core) of DBSCAN at a radius up to ``radius``."""
+        dims, limit = self.dims, F.lit(eps * eps)
+        core = self.sites.where(F.col("core2") <= limit)
+        parts = connected_components(
+            core.select(F.col("k").alias("node")), self.forest.where(F.col("far2") <= limit).select("a", "b"))
+        named = cut_lineage(core.join(parts, F.col("k") == F.col("node")).select(*cell_names(dims), *dims, "k", F.col("component").alias("cluster")))
+        rest = self.sites.where(F.col("core2").isNull() | (F.col("core2") > limit)).select(*cell_names(dims), *dims, "k")
+        border = (
+            cell_join(rest, named.drop("k"), dims, 1, hot_cells(named, dims)).where(gap_squared(dims) <= limit)
+            .groupBy("_q_k").agg(F.min("cluster").alias("near"))
+        )
+        placed = (
+            self.sites.join(named.select(F.col("k").alias("_core"), "cluster"), F.col("k") == F.col("_core"), "left")
+            .join(border, F.col("k") == F.col("_q_k"), "left")
+            .select(*dims, F.coalesce("cluster", "near", F.lit(NOISE)).alias("cluster"), F.col("_core").isNotNull().alias("is_core"))
+        )
+        return self.points.join(placed, dims).select(self.key, "cluster", "is_core")
+
+
+def reachability(df: DataFrame, key: str, dims: Sequence[str], radius: float, min_pts: int) -> Reachability:
+    """Core distances and the spanning forest of mutual reachability up to ``radius``, in any number of dimensions.
+
+    The join blocks on the axes that spread most and filters on all.  Its pairs are never written: a task keeps the
+    ``min_pts`` nearest sites of a point, and of the edges it sees only a spanning forest, at most one edge per site.
+    """
+    ship_code(df.sparkSession)
     dims = widest(df, dims)
-    limit = F.lit(eps * eps)
+    limit = F.lit(radius * radius)
     points = df.select(key, *[F.col(d).cast("double").alias(d) for d in dims])
-    sites = cut_lineage(sites_of(points, dims, eps, [F.count(F.lit(1)).alias("w"), F.min(key).alias("k")]))
+    sites = cut_lineage(sites_of(points, dims, radius, [F.count(F.lit(1)).alias("w"), F.min(key).alias("k")]))
     hot = hot_cells(sites, dims)
-    degree = (
-        cell_join(sites.drop("w"), sites.drop("k"), dims, 1, hot).where(gap_squared(dims) <= limit)
-        .groupBy("_q_k").agg(F.sum("w").alias("degree"))
-    )
-    ranked = cut_lineage(sites.join(degree, F.col("k") == F.col("_q_k")).drop("_q_k"))
-    core = ranked.where(F.col("degree") >= min_pts).drop("w", "degree")
-    edges = cell_join(core, core, dims, 1, hot).where((F.col("_q_k") < F.col("k")) & (gap_squared(dims) <= limit)).select(
-        F.col("_q_k").alias("a"), F.col("k").alias("b"))
-    parts = connected_components(core.select(F.col("k").alias("node")), edges)
-    named = cut_lineage(core.join(parts, F.col("k") == F.col("node")).drop("node").withColumnRenamed("component", "cluster"))
-    border = (
-        cell_join(ranked.where(F.col("degree") < min_pts).drop("w", "degree"), named.drop("k"), dims, 1, hot)
-        .where(gap_squared(dims) <= limit).groupBy("_q_k").agg(F.min("cluster").alias("near"))
-    )
-    placed = (
-        ranked.join(named.select(F.col("k").alias("_core"), "cluster"), F.col("k") == F.col("_core"), "left")
-        .join(border, F.col("k") == F.col("_q_k"), "left")
-        .select(*dims, F.coalesce("cluster", "near", F.lit(NOISE)).alias("cluster"), F.col("_core").isNotNull().alias("is_core"))
+    outward = Window.partitionBy("_q_k").orderBy("_gap")
+    within = outward.rangeBetween(Window.unboundedPreceding, 0)
+    near = cell_join(sites.drop("w"), sites.drop("k"), dims, 1, hot).select("_q_k", "w", gap_squared(dims).alias("_gap"))
+    core = (
+        near.where(F.col("_gap") <= limit).withColumn("_rank", F.row_number().over(outward)).where(F.col("_rank") <= min_pts)
+        .withColumn("_rows", F.sum("w").over(within)).where(F.col("_rows") >= min_pts).groupBy("_q_k").agg(F.min("_gap").alias("core2"))
     )
-    return points.join(placed, list(dims)).select(key, "cluster", "is_core")
+    sites = cut_lineage(sites.join(core, F.col("k") == F.col("_q_k"), "left").drop("_q_k"))
+    able = sites.where(F.col("core2").isNotNull()).drop("w")
+    pairs = cell_join(able, able, dims, 1, hot).where((F.col("_q_k") < F.col("k")) & (gap_squared(dims) <= limit)).select(
+        F.col("_q_k").cast("long").alias("a"), F.col("k").cast("long").alias("b"), F.greatest(gap_squared(dims), "_q_core2", "core2").alias("far2"))
+    return Reachability(points, key, dims, radius, sites, cut_lineage(pairs.mapInArrow(_forests, "a long, b long, far2 double")))
+
+
+# Edges that a task holds before it reduces them to a forest.
+_HELD_EDGES = 1 << 20
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def reduced() -> tuple[np.ndarray, ...]:
+        a, b, w = (np.concatenate(c) for c in zip(*held))
+        keep = least_forest(a, b, w)
+        return a[keep], b[keep], w[keep]
+
+    for batch in batches:
+        held.append(tuple(c.to_numpy() for c in batch.columns))
+        size += batch.num_rows
+        if size > _HELD_EDGES:
+            held = [reduced()]
+            # A forest of many sites is not reduced again until as many edges have come.
+            size = -len(held[0][0]) if len(held[0][0]) > _HELD_EDGES // 2 else len(held[0][0])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in reduced()], names=["a", "b", "far2"])
+
+
+def least_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Places of the edges of a minimum spanning forest, by Boruvka's rounds; ties go to the earlier edge."""
+    names, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[:len(a)], ends[len(a):]
+    place = np.empty(len(a), dtype=np.int64)
+    place[np.argsort(w, kind="stable")] = np.arange(len(a))
+    by_place = np.argsort(place)
+    part = np.arange(len(names))
+    keep = np.zeros(len(a), dtype=bool)
+    while True:
+        px, py = part[x], part[y]
+        live = np.flatnonzero(px != py)
+        if not len(live):
+            return np.flatnonzero(keep)
+        best = np.full(len(names), len(a), dtype=np.int64)
+        np.minimum.at(best, px[live], place[live])
+        np.minimum.at(best, py[live], place[live])
+        own = np.flatnonzero(best < len(a))
+        edge = by_place[best[own]]
+        keep[edge] = True
+        # Every part points to the other end of its edge; of two that point at each other the smaller is the root.
+        to = np.arange(len(names))
+        to[own] = np.where(part[x[edge]] == own, part[y[edge]], part[x[edge]])
+        mutual = (to[to] == np.arange(len(names))) & (np.arange(len(names)) < to)
+        to[mutual] = np.flatnonzero(mutual)
+        while not np.array_equal(to, to[to]):
+            to = to[to]
+        part = to[part]
+
+
+def _dbscan_pairs(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: int) -> DataFrame:
+    """Many dimensions: a cell cannot stand for its points, so core points are connected by their forest."""
+    return reachability(df, key, dims, eps, min_pts).clusters(eps)
 
 
 def _dbscan_cells(df: DataFrame, key: str, dims: Sequence[str], eps: float, min_pts: int) -> DataFrame:
@@ -201,10 +298,15 @@ def core_points(df: DataFrame, dims: Sequence[str], eps: float, min_pts: int) ->
 
 def dbscan_sweep(df: DataFrame, key: str, dims: Sequence[str], radii: Sequence[float], min_pts: int,
                  max_noise: float = 0.40) -> tuple[DataFrame, float]:
-    """First radius that gives two clusters or more and less noise than ``max_noise`` (else the last)."""
+    """First radius that gives two clusters or more and less noise than ``max_noise`` (else the last).
+
+    All radii read one forest, made at the largest.
+    """
+    whole, apart = _with_coordinates(df, key, dims)
+    reach = reachability(whole, key, dims, max(radii), min_pts)
     out, used = None, None
     for eps in radii:
-        out, used = cut_lineage(dbscan(df, key, dims, eps, min_pts)), eps
+        out, used = cut_lineage(reach.clusters(eps).unionByName(apart)), eps
         stats = out.agg(
             F.count_distinct(F.when(F.col("cluster") != NOISE, F.col("cluster"))).alias("k"),
             F.avg((F.col("cluster") == NOISE).cast("double")).alias("noise")).first()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumentab.operators import audit, cluster, density, distance, prepare
+from lumentab.operators import audit, cluster, density, distance, potential, prepare
 from lumentab.plans.registry import as_long, query, rounded, table
 from lumentab.session import cut_lineage
 
@@ -98,7 +98,27 @@ def dbscan_8d(spark, sf):
     return density.dbscan(rows, "vec_id", dims, 2.0, 4).withColumn("is_core", F.col("is_core").cast("long"))
 
 
-@query("dbscan_sweep")
+def _sweep_sql(name, eps):
+    """The clusters c<name> (vec_id, cluster) at one radius, from the pairs d (a, b, d2)."""
+    return f"""n{name} AS MATERIALIZED (SELECT a, b FROM d WHERE d2 <= {eps}::DOUBLE * {eps}::DOUBLE),
+    core{name} AS MATERIALIZED (SELECT a FROM n{name} GROUP BY 1 HAVING COUNT(*) >= 5),
+    e{name} AS MATERIALIZED (SELECT a, b FROM n{name} WHERE a IN (SELECT a FROM core{name}) AND b IN (SELECT a FROM core{name})),
+    reach{name} AS (SELECT a, a AS b FROM core{name} UNION SELECT least(r.a, e.a), e.b FROM reach{name} r JOIN e{name} e ON r.b = e.a),
+    comp{name} AS (SELECT b AS vec_id, MIN(a) AS cluster FROM reach{name} GROUP BY 1),
+    border{name} AS (SELECT n.a AS vec_id, MIN(c.cluster) AS cluster FROM n{name} n JOIN comp{name} c ON c.vec_id = n.b GROUP BY 1),
+    c{name} AS MATERIALIZED (SELECT p.vec_id, COALESCE(c.cluster, b.cluster, -1)::BIGINT AS cluster, {eps}::DOUBLE AS eps
+        FROM p LEFT JOIN comp{name} c USING (vec_id) LEFT JOIN border{name} b USING (vec_id)),
+    ok{name} AS (SELECT COUNT(DISTINCT CASE WHEN cluster <> -1 THEN cluster END) >= 2 AND AVG((cluster = -1)::DOUBLE) < 0.4 AS ok FROM c{name})"""
+
+
+@query("dbscan_sweep", f"""
+    WITH RECURSIVE e AS (SELECT vec_id, CASE WHEN vec_id % 40 <> 0 THEN embedding[1]::DOUBLE END AS e0, {", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(1, 8))} FROM embeddings),
+    p AS MATERIALIZED (SELECT vec_id, {Z_SQL} FROM e),
+    d AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, {Z_GAP} AS d2 FROM p a, p b WHERE {Z_GAP} <= 2.5::DOUBLE * 2.5::DOUBLE),
+    {_sweep_sql(1, 1.5)}, {_sweep_sql(2, 2.0)}, {_sweep_sql(3, 2.5)}
+    SELECT * FROM c1 WHERE (SELECT ok FROM ok1) UNION ALL SELECT * FROM c2 WHERE NOT (SELECT ok FROM ok1) AND (SELECT ok FROM ok2)
+    UNION ALL SELECT * FROM c3 WHERE NOT (SELECT ok FROM ok1) AND NOT (SELECT ok FROM ok2)
+""")
 def dbscan_sweep(spark, sf):
     rows, dims = standard_vectors(spark, sf)
     out, eps = density.dbscan_sweep(rows, "vec_id", dims, (1.5, 2.0, 2.5), 5)
@@ -203,22 +223,52 @@ def potential_init(spark, sf):
     return rounded(rows.join(found, ["i0", "i1", "i2"]).select("vec_id", "potential"), 6)
 
 
+@query("potential_rows", f"""
+    WITH {UNIT_SQL} SELECT a.vec_id, ROUND(SUM(exp(-16 * ((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2))), 6) AS potential
+    FROM s a, s b GROUP BY 1
+""")
+def potential_rows(spark, sf):
+    return rounded(potential.row_potentials(unit_vectors(spark, sf), "point", 3, cluster.RADIUS).select("vec_id", "potential"), 6)
+
+
+# The two first centres: the strongest row, and the strongest after its part is taken off.
+@query("subtractive_first", f"""
+    WITH {UNIT_SQL}, p AS MATERIALIZED (SELECT a.vec_id, a.x0, a.x1, a.x2, SUM(exp(-16 * ((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2))) AS potential
+        FROM s a, s b GROUP BY ALL),
+    c AS (SELECT * FROM p ORDER BY potential DESC, x0, x1, x2 LIMIT 1),
+    d AS (SELECT p.*, greatest(p.potential - c.potential * exp(-4 / 0.5625::DOUBLE * ((p.x0 - c.x0) ** 2 + (p.x1 - c.x1) ** 2 + (p.x2 - c.x2) ** 2)), 0) AS left_,
+                 sqrt((p.x0 - c.x0) ** 2 + (p.x1 - c.x1) ** 2 + (p.x2 - c.x2) ** 2) AS gap, c.potential AS top FROM p, c),
+    e AS (SELECT * FROM d WHERE left_ / top >= 0.5 OR (left_ / top > 0.15 AND gap / 0.5 + left_ / top >= 1) ORDER BY left_ DESC, x0, x1, x2 LIMIT 1)
+    SELECT 0::BIGINT AS cluster, ROUND(x0, 6) AS x0, ROUND(x1, 6) AS x1, ROUND(x2, 6) AS x2, ROUND(potential, 5) AS potential FROM c
+    UNION ALL SELECT 1::BIGINT, ROUND(x0, 6), ROUND(x1, 6), ROUND(x2, 6), ROUND(left_, 5) FROM e
+""")
+def subtractive_first(spark, sf):
+    return rounded(_centres_found(spark, *cluster.subtractive_rows(unit_vectors(spark, sf), "point", 3, max_centres=2)), 5, "potential")
+
+
+def _centres_found(spark, centres, strength):
+    rows = [(i, *c, s) for i, (c, s) in enumerate(zip(centres, strength))]
+    return rounded(spark.createDataFrame(rows, "cluster long, x0 double, x1 double, x2 double, potential double"), 6, "x0", "x1", "x2")
+
+
 @query("subtractive")
 def subtractive(spark, sf):
-    centres, strength = cluster.subtractive_centres(unit_vectors(spark, sf), "point", 3, CELL, max_centres=10)
-    return rounded(spark.createDataFrame(
-        [(i, *c, s, CELL) for i, (c, s) in enumerate(zip(centres, strength))],
-        "cluster long, x0 double, x1 double, x2 double, potential double, cell_width double"), 6)
+    return rounded(_centres_found(spark, *cluster.subtractive_rows(unit_vectors(spark, sf), "point", 3, max_centres=10)), 6)
 
 
 @query("kmeans_seeded")
 def kmeans_seeded(spark, sf):
-    rows = unit_vectors(spark, sf)
-    centres, _ = cluster.subtractive_centres(rows, "point", 3, CELL, max_centres=10)
-    if len(centres) < 2:
-        centres = cluster.fit_kmeans(rows, "point", 3)[0].centres
-    fit = cluster.fit_seeded(rows, "point", centres, max_iter=500)
-    return fit.transform(rows, "point").select("vec_id", "cluster")
+    dims = ["x0", "x1", "x2"]
+    rows = vec_dims(spark, sf, 3)
+    unit, standard = prepare.fit_minmax(rows, dims), prepare.fit_standard(rows, dims)
+    centres, _ = cluster.subtractive_rows(unit.transform(rows).select(F.array(*dims).alias("point")), "point", 3, max_centres=10)
+    scaled = standard.transform(rows).select("vec_id", F.array(*dims).alias("point"))
+    # Centres go back to raw values and on to z, in which the rows are clustered.
+    seeds = [standard.point(unit.restored_point(c)) for c in centres]
+    if len(seeds) < 2:
+        seeds = cluster.fit_kmeans(scaled, "point", 3)[0].centres
+    fit = cluster.fit_seeded(scaled, "point", seeds, max_iter=500)
+    return fit.transform(scaled, "point").select("vec_id", "cluster")
 
 
 def _starts(rows, ks):

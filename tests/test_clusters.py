@@ -294,3 +294,99 @@ def test_kth_distance_of_a_far_point_and_copies(spark):
     d = np.sort(np.linalg.norm(xy[:, None] - xy[None], axis=2), axis=1)[:, 4]
     for i, (a, b) in enumerate(xy):
         assert math.isclose(got[float(a), float(b)], d[i], abs_tol=1e-12)
+
+
+def plain_dbscan(x, eps, min_pts):
+    """Labels by the smallest core key; border points join the adjacent cluster with the smallest key."""
+    near = ((x[:, None] - x[None]) ** 2).sum(axis=2) <= eps * eps
+    core = near.sum(axis=1) >= min_pts
+    label = np.full(len(x), -1)
+    for i in range(len(x)):
+        if core[i] and label[i] < 0:
+            todo, label[i] = [i], i
+            while todo:
+                for j in np.flatnonzero(near[todo.pop()] & core):
+                    if label[j] < 0:
+                        label[j] = i
+                        todo.append(j)
+    for i in np.flatnonzero(~core):
+        own = label[near[i] & core]
+        label[i] = own.min() if len(own) else -1
+    return label, core
+
+
+def test_one_forest_gives_the_clusters_of_every_radius(spark, monkeypatch):
+    monkeypatch.setattr(density, "_HELD_EDGES", 50)
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 0.35, size=(45, 5)) for c in (0.0, 1.6, 4.0)] + [rng.uniform(-2, 6, size=(25, 5)), np.zeros((6, 5))]).round(2)
+    dims = [f"d{i}" for i in range(5)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{d} double" for d in dims)).repartition(5)
+    reach = density.reachability(df, "id", dims, 1.5, 5)
+    assert reach.forest.count() < 5 * len(x)
+    for eps in (0.5, 0.8, 1.1, 1.5):
+        label, core = plain_dbscan(x, eps, 5)
+        got = {r["id"]: (r["cluster"], r["is_core"]) for r in reach.clusters(eps).collect()}
+        assert got == {i: (label[i], core[i]) for i in range(len(x))}
+        one = {r["id"]: (r["cluster"], r["is_core"]) for r in density.dbscan(df, "id", dims, eps, 5).collect()}
+        assert one == got
+
+
+def test_least_forest_has_least_weight():
+    rng = np.random.default_rng(1)
+    for n, m in ((1, 0), (5, 4), (40, 300), (60, 50)):
+        a, b, w = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 9, m).astype(float)
+        keep = density.least_forest(a, b, w)
+        parent = list(range(n))
+
+        def root(v):
+            while parent[v] != v:
+                v = parent[v]
+            return v
+
+        total = count = 0
+        for i in np.argsort(w, kind="stable"):
+            if root(a[i]) != root(b[i]):
+                parent[root(a[i])] = root(b[i])
+                total, count = total + w[i], count + 1
+        assert len(keep) == count and w[keep].sum() == total
+        joined = list(range(n))
+        parent, seen = joined, set()
+        for i in keep:
+            assert root(a[i]) != root(b[i])
+            parent[root(a[i])] = root(b[i])
+
+
+@pytest.mark.parametrize("dims,ra", [(1, 0.5), (2, 0.3), (3, 0.5), (3, 2.0)])
+def test_row_potentials_equal_all_pairs(spark, dims, ra):
+    from lumentab.operators import potential
+
+    rng = np.random.default_rng(dims)
+    x = np.concatenate([rng.random((300, 3)), np.repeat([[0.0, 1.0, 0.5]], 4, axis=0), [[1.0, 1.0, 1.0]]])
+    rows = [(i, [float(v) for v in r], "x") for i, r in enumerate(x)] + [(900, None, "n"), (901, [0.5, None, 0.5] if dims > 1 else [None], "n")]
+    df = spark.createDataFrame(rows, "id long, v array<double>, potential_ string").repartition(4)
+    got = {r["id"]: r["potential"] for r in potential.row_potentials(df, "v", dims, ra).collect()}
+    own = x[:, :dims]
+    want = np.exp(-4 / ra ** 2 * ((own[:, None] - own[None]) ** 2).sum(axis=2)).sum(axis=1)
+    np.testing.assert_allclose([got[i] for i in range(len(x))], want, atol=1e-9)
+    assert got[900] is None and got[901] is None
+    assert potential.row_potentials(df.limit(0), "v", dims, ra).count() == 0
+
+
+def test_subtractive_rows_follow_the_rules(blobs):
+    unit, scaled = unit_rows(blobs)
+    centres, strength = cluster.subtractive_rows(scaled, "v", 3)
+    p = np.exp(-16 * ((unit[:, None] - unit[None]) ** 2).sum(axis=2)).sum(axis=1)
+    want, found = [], []
+    first = p.max()
+    while True:
+        gap = np.array([min([np.linalg.norm(u - c) for c in want], default=math.inf) for u in unit])
+        may = np.flatnonzero((p / first >= 0.5) | ((p / first > 0.15) & (gap / 0.5 + p / first >= 1)))
+        if not len(may) or p[may].max() <= 0:
+            break
+        i = may[np.argmax(p[may])]
+        want.append(unit[i])
+        found.append(p[i])
+        p = np.maximum(p - p[i] * np.exp(-4 / 0.75 ** 2 * ((unit - unit[i]) ** 2).sum(axis=1)), 0)
+        p[i] = 0
+    np.testing.assert_allclose(centres, want, atol=1e-9)
+    np.testing.assert_allclose(strength, found, rtol=1e-7)
