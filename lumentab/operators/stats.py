@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from lumentab.operators import order
 from lumentab.operators.reshape import name_of, stack_cells
 from lumentab.operators.ship import ship_if_short
+from lumentab.session import cut_lineage
 
 
 def pearson_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -31,31 +31,28 @@ def full_matrix(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of average ranks, pairwise complete.
+    """Pearson correlation of average ranks, pairwise complete: a pair is ranked on the rows that have both values.
 
-    Columns without gaps are ranked once; a pair with a gap is ranked on the rows that have both values.
+    Of each (column, value) it is counted how many of its rows have a value in each other column.  Running sums of
+    these counts along the values are the ranks for every pair at once, so the table is read for the cut points, for
+    the counts, and for the correlations, whatever the number of columns and gaps.
     """
-    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    whole = [c for c in cols if gaps[c] == 0]
-    parts = [pearson_pairs(_ranked(df, whole), whole)] if len(whole) > 1 else []
-    for a, b in combinations(cols, 2):
-        if gaps[a] or gaps[b]:
-            parts.append(pearson_pairs(_ranked(df.dropna(subset=[a, b]), [a, b]), [a, b]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _ranked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The columns replaced by their average ranks; no NULL in them.
-
-    Each column is replaced through a join on the value: rank tables hold one row per distinct
-    value, and a short one is shipped, so rows are not shuffled by a column of a few values.
-    """
-    ranked = df.select(*cols)
-    points = order.splitters(ranked, cols)
-    for c in cols:
-        ranks = order.average_ranks(df, c, points=points[c]).select(c, F.col("rank").alias(f"_{c}_rank"))
-        ranked = ranked.join(ship_if_short(ranks), c).drop(c).withColumnRenamed(f"_{c}_rank", f"{c}#")
-    return ranked.select(*[F.col(f"`{c}#`").alias(c) for c in cols])
+    cols, each = list(cols), range(len(cols))
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    here = [F.col(f"c{i}").isNotNull().cast("long").alias(f"h{i}") for i in each]
+    long = stack_cells(rows.select("*", *here), [f"h{i}" for i in each], [
+        {"column": F.lit(i), "value": F.col(f"c{i}")} for i in each]).where(F.col("value").isNotNull())
+    counted = order.running_totals(long, "value", {f"n{i}": F.sum(f"h{i}") for i in each}, ["column"])
+    ranks = cut_lineage(counted.select("column", "value", F.array(*[
+        F.col(f"n{i}_before") + (F.col(f"n{i}") + 1) / 2.0 for i in each]).alias("ranks")))
+    for i in each:
+        own = ranks.where(F.col("column") == i).select(F.col("value").alias(f"c{i}"), F.col("ranks").alias(f"r{i}"))
+        rows = rows.join(ship_if_short(own), f"c{i}", "left")
+    pairs = list(combinations(each, 2))
+    both = {(i, j): F.col(f"c{i}").isNotNull() & F.col(f"c{j}").isNotNull() for i, j in pairs}
+    wide = rows.agg(*[F.corr(F.when(both[i, j], F.col(f"r{i}")[j]), F.when(both[i, j], F.col(f"r{j}")[i])).alias(f"r{n}") for n, (i, j) in enumerate(pairs)])
+    told = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"r{n}").alias("r")) for n, (i, j) in enumerate(pairs)]
+    return wide.select(F.inline(F.array(*told)))
 
 
 def target_ranking(df: DataFrame, cols: Sequence[str], target: str, top: int | None = None) -> DataFrame:

@@ -72,6 +72,49 @@ def ml_ridge_lasso(spark, sf):
     return rounded(out, 6)
 
 
+# One feature: the fits have a closed form.
+RISK_SQL = """o AS (SELECT o_custkey, AVG(o_totalprice) / 100000 AS price FROM orders GROUP BY 1),
+    r AS (SELECT c_custkey, c_acctbal AS y, (c_custkey % 3)::DOUBLE AS level, (c_acctbal < 3000)::INT AS label, price AS x FROM o JOIN customer ON o_custkey = c_custkey)"""
+
+
+@query("ridge_lasso_one", f"""
+    WITH {RISK_SQL}, s AS (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, covar_pop(x, y) AS xy, var_pop(x) AS xx FROM r),
+    b AS (SELECT 'ridge' AS penalty, xy * n / (xx * n + 10) AS slope FROM s UNION ALL
+          SELECT 'lasso', sign(xy) * greatest(abs(xy) - 5, 0) / xx FROM s)
+    SELECT penalty, ROUND(slope, 3) + 0.0 AS slope, ROUND(my - slope * mx, 3) + 0.0 AS intercept FROM b, s
+""")
+def ridge_lasso_one(spark, sf):
+    rows = models.assemble(risk_rows(spark, sf), ["price"]).persist()
+    fits = [(p, models.linear(rows, "c_acctbal", a, p)) for p, a in (("ridge", 10.0), ("lasso", 5.0))]
+    out = [(p, float(m.coefficients[0]), float(m.intercept)) for p, m in fits]
+    rows.unpersist()
+    return rounded(spark.createDataFrame(out, "penalty string, slope double, intercept double"), 3)
+
+
+@query("ols_ordinal_one", f"""
+    WITH {RISK_SQL}, f AS (SELECT regr_slope(level, x) AS b, regr_intercept(level, x) AS a FROM r),
+    p AS (SELECT level, greatest(0, least(2, round_even(a + b * x, 0))) AS class FROM r, f)
+    SELECT class::BIGINT AS class, COUNT(*)::BIGINT AS n, count(*) FILTER (class = level)::BIGINT AS hits FROM p GROUP BY 1
+""")
+def ols_ordinal_one(spark, sf):
+    rows = models.assemble(risk_rows(spark, sf), ["price"]).persist()
+    told = models.linear_classes(rows, "level").transform(rows).select("level", F.col("prediction").cast("long").alias("class"))
+    return told.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("class") == F.col("level")).alias("hits"))
+
+
+# Isotonic values are the largest of the least means of all stretches around a row.
+@query("isotonic_one", f"""
+    WITH {RISK_SQL}, v AS (SELECT x, label, row_number() OVER (ORDER BY x) AS i, SUM(label) OVER (ORDER BY x) AS c FROM r WHERE c_custkey % 7 = 0),
+    m AS (SELECT a.i AS j, b.i AS k, (b.c - a.c + a.label) / (b.i - a.i + 1)::DOUBLE AS mean FROM v a JOIN v b ON a.i <= b.i),
+    t AS (SELECT v.i, m.j, MIN(m.mean) AS least FROM v JOIN m ON m.j <= v.i AND m.k >= v.i GROUP BY ALL)
+    SELECT ROUND(x, 9) AS price, ROUND(MAX(least), 6) AS calibrated FROM t JOIN v USING (i) GROUP BY x
+""")
+def isotonic_one(spark, sf):
+    rows = risk_rows(spark, sf).where("c_custkey % 7 = 0").select("label", "price").persist()
+    out = models.isotonic(rows, "label", "price").transform(rows)
+    return rounded(rounded(out.select("price", "calibrated"), 9, "price"), 6, "calibrated")
+
+
 @query("ml_ols_ordinal")
 def ml_ols_ordinal(spark, sf):
     rows = ready(spark, sf)
