@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumentab.operators.distance import GRID_AXES, cell_join, cell_names, gap_squared, hot_cells, on_grid, sites_of, widest
+from lumentab.operators.ship import ship_if_short
 from lumentab.session import cut_lineage, ship_code
 
 NOISE = -1
@@ -27,15 +28,30 @@ NOISE = -1
 FINE = 4
 
 
-def _star_round(star: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (u, v) with u > v."""
+# Edges of a node above which they stay where they are and the node's smallest neighbour is shipped to them.
+HUB_EDGES = 10_000
+
+
+def _with_lowest(edges: DataFrame, lowest: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with ``m`` of their u, from rows (u, m, n) with n edges each; hubs are few, so their rows are short."""
+    hubs = ship_if_short(lowest.where(F.col("n") > HUB_EDGES).select("u", "m"))
+    rest = lowest.where(F.col("n") <= HUB_EDGES).select("u", "m")
+    return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(rest, "u"))
+
+
+def _star_round(star: DataFrame, hubs: bool) -> DataFrame:
+    """One large-star and one small-star step over edges (u, v) with u > v; ``hubs`` tells whether some node has very many."""
     both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    count = F.count(F.lit(1)).alias("n")
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), count)
+    met = _with_lowest(both, cut_lineage(low)) if hubs else both.join(low.drop("n"), "u")
+    large = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    if hubs:
+        large = cut_lineage(large)
+    low = large.groupBy("u").agg(F.min("v").alias("m"), count)
+    met = _with_lowest(large, cut_lineage(low)) if hubs else large.join(low.drop("n"), "u")
     return (
-        large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
     )
 
 
@@ -44,17 +60,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     ``nodes`` has the column ``node``; ``edges`` has ``a`` and ``b``.  Each round is two
     aggregates and two joins; the lineage is cut after every round (a round reads its input twice).
+    A node with more than ``HUB_EDGES`` edges does not gather them in one task.
     """
     star = cut_lineage(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     )
     mark = None
     while True:
-        star = cut_lineage(_star_round(star))
-        now = tuple(star.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == mark:
+        # Edges of a component end at its smallest node: the largest count tells of hubs, the sums of a change.
+        by_end = star.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+        total, most, change = by_end.agg(F.sum("n"), F.max("n"), F.bit_xor("x")).first()
+        if mark == (total, change):
             break
-        mark = now
+        mark = (total, change)
+        star = cut_lineage(_star_round(star, (most or 0) > HUB_EDGES))
     return nodes.join(star.withColumnsRenamed({"u": "node", "v": "component"}), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
 

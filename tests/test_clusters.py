@@ -390,3 +390,24 @@ def test_subtractive_rows_follow_the_rules(blobs):
         p[i] = 0
     np.testing.assert_allclose(centres, want, atol=1e-9)
     np.testing.assert_allclose(strength, found, rtol=1e-7)
+
+
+@pytest.mark.parametrize("limit", [density.HUB_EDGES, 3])
+def test_components_with_hubs(spark, monkeypatch, limit):
+    monkeypatch.setattr(density, "HUB_EDGES", limit)
+    rng = np.random.default_rng(8)
+    edges = [(500, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 160)] + [(700, 701), (59, 100)]
+    edges += [tuple(map(int, rng.integers(200, 300, 2))) for _ in range(60)]
+    parent = list(range(800))
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    nodes = spark.range(800).withColumnRenamed("id", "node")
+    got = density.connected_components(nodes, spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["component"] for r in got} == {v: root(v) for v in range(800)}
