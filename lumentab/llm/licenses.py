@@ -131,11 +131,6 @@ def known_sentences() -> dict[str, str]:
     return table
 
 
-def longest_parts() -> dict[str, str]:
-    """The table of the SQL statement, which looks at the longest part of a known sentence alone."""
-    return {max(sentence_parts(s), key=len): name for name, own in SENTENCES.items() for s in own}
-
-
 def known_pattern() -> str:
     """Any known sentence between two ends, the longest first; its words may stand on several lines."""
     own = [s.replace(" ", r"[ \x02]").replace("\x01", r"\x01") for s in sorted(known_sentences(), key=lambda s: (-len(s), s))]
@@ -177,9 +172,14 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def oracle() -> str:
-    """The scan as SQL."""
+    """The scan as SQL.
+
+    Its regular expressions look neither back nor ahead.  So every sentence end is doubled: a known sentence takes one
+    copy before and one after it, and its neighbour finds the other.
+    """
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in sorted(longest_parts().items()))
+    known = ", ".join(f"({quote(k.replace(chr(1), '|'))}, {quote(v)})" for k, v in sorted(known_sentences().items()))
+    own = "|".join(k.replace(" ", r"(?: |\x02\x02)").replace("\x01", r"\x01\x01") for k in sorted(known_sentences(), key=lambda s: (-len(s), s)))
     ctes, last = [], "seq"
     for n, (name, pattern) in enumerate(rule_patterns()):
         ctes.append(f"s{n} AS (SELECT doc_id, regexp_replace(rest, {quote(pattern)}, '', 'g') AS rest, "
@@ -187,13 +187,18 @@ def oracle() -> str:
         last = f"s{n}"
     return rf"""
     WITH known(s, id) AS (VALUES {known}),
-         parts AS (SELECT doc_id, [y for y in [trim(x) for x in string_split(regexp_replace(lower(regexp_replace(coalesce(text, ''), '{ENDS}', chr(1), 'g')),
-                          '{BETWEEN}', ' ', 'g'), chr(1))] if y <> ''] AS p FROM documents),
+         lines AS (SELECT doc_id, regexp_replace(replace(coalesce(text, ''), chr(2), ' '), '\x0D\x0A?', chr(10), 'g') AS t FROM documents),
+         ended AS (SELECT doc_id, replace(regexp_replace(t, '{HARD_ENDS}', chr(1), 'g'), chr(10), chr(2)) AS t FROM lines),
+         words AS (SELECT doc_id, regexp_replace(regexp_replace(lower(t), '[^a-z0-9\x01\x02]+', ' ', 'g'), ' ?([\x01\x02]) ?', '\1', 'g') AS t FROM ended),
+         parts AS (SELECT doc_id, trim(t) AS t, len([x for x in string_split(replace(trim(t), chr(2), chr(1)), chr(1)) if x <> '']) AS n_sentences FROM words),
+         hits AS (SELECT doc_id, regexp_extract_all(chr(1) || regexp_replace(t, '([\x01\x02])', '\1\1', 'g') || chr(1),
+                         '[\x01\x02]({own})[\x01\x02]', 1) AS h FROM parts),
          found AS (SELECT doc_id, string_agg(id, ',' ORDER BY k) AS ids, count(*) AS n FROM (
-                     SELECT doc_id, unnest(p) AS s, unnest(range(len(p))) AS k FROM parts) JOIN known USING (s) GROUP BY doc_id),
+                     SELECT doc_id, replace(replace(unnest(h), chr(2) || chr(2), ' '), chr(1) || chr(1), '|') AS s, unnest(range(len(h))) AS k FROM hits)
+                   JOIN known USING (s) GROUP BY doc_id),
          seq AS (SELECT doc_id, '<' || replace(ids, ',', '><') || '>' AS rest, CAST([] AS VARCHAR[]) AS names FROM found),
          {", ".join(ctes)}
-    SELECT doc_id, len(p) AS n_sentences, coalesce(n, 0) AS n_known, coalesce(ids, '') AS sentence_ids,
+    SELECT doc_id, n_sentences, coalesce(n, 0) AS n_known, coalesce(ids, '') AS sentence_ids,
            coalesce(array_to_string(list_sort(list_distinct(names)), ','), '') AS licenses, coalesce(len(list_distinct(names)), 0) AS n_licenses,
            coalesce(regexp_replace(trim(translate(rest, '<>', '  ')), ' +', ',', 'g'), '') AS unmatched_ids
     FROM parts LEFT JOIN found USING (doc_id) LEFT JOIN {last} USING (doc_id)
