@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from lumentab.llm.runs import whole_groups
@@ -41,6 +41,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Rows of a bucket or component compared at a time are about twice this.
 TILE = 512
+#: Senders of a shingle above which they stay where they are.
+HOT_KEY = 10_000
 #: Documents looked at, about, to find frequent shingles, and the number of them that makes one frequent.
 SAMPLE, FREQUENT = 4096, 8
 
@@ -298,9 +300,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.max("sig").alias("sig")))
     # Keys that sets of two classes send; equal sets of several tasks are one sender.
     sent = prefixes(source.where("doc_id IS NOT NULL"), frequent_shingles(source, width), width, percent)
-    by_key = Window.partitionBy("key")
-    shared = sent.withColumns({"low": F.min("f1").over(by_key), "high": F.max("f1").over(by_key)}).where("low < high")
-    shared = shared.select("key", "f1").dropDuplicates(["key", "f1"]).withColumn("c", F.count(F.lit(1)).over(by_key))
+    # The count of a key with very many senders goes to them, so that no task gathers the senders of a common shingle.
+    sent = cut_lineage(sent.select("key", "f1").distinct())
+    sizes = cut_lineage(sent.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    hot = ship_if_short(sizes.where(F.col("c") > HOT_KEY))
+    shared = sent.join(hot, "key").unionByName(sent.join(hot, "key", "left_anti").join(sizes.where(F.col("c") <= HOT_KEY), "key"))
     sets = classes.select("node", "n", "sig", "f1")
     buckets = _tiled(shared.join(sets, "f1").select("key", "node", "n", "sig", "c"), "key", "c")
     candidates = cut_lineage(candidate_edges(buckets, percent).distinct())
@@ -317,7 +321,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     reached = connected_components(ends, links)
-    grouped = rows.join(classes.drop("sig"), ["n", "f1", "f2"], "left").join(reached, "node", "left")
+    # Components go to the classes first, so that copies are not gathered by their class's node.
+    placed = classes.drop("sig").join(reached, "node", "left")
+    grouped = rows.join(placed, ["n", "f1", "f2"], "left")
     return grouped.select(
         F.col("doc_id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id")).alias("_c"),
