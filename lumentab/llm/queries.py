@@ -167,11 +167,6 @@ def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"))
 
 
-@query("op12_turn_repair")
-def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return turns.repaired(table(spark, sf_dir, "conversations"))
-
-
 #: One row with the table of the checksum, and the checksum of a text ``{}`` by it.
 _CRC_TABLE = """SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) AS x(i))"""
@@ -179,6 +174,64 @@ _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(ra
     lambda p: CAST('0x' || hex(encode({0}))[p:p + 1] AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
 
 
+def _repair_sql() -> str:
+    """A walk over the turns that keeps, for each state of the grammar (nothing yet, s, u, a), the least (cost, audit) and its text."""
+    def edit(state: str, letter: str, cost: str, line: str) -> str:
+        gap = f"CASE WHEN {state}.o = '' THEN '' ELSE chr(10) END"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {state}.o || {gap} || {line}}}"
+
+    def turn(state: str, to: str) -> str:
+        """The turn in a place for u or a; a turn that must go costs too much there."""
+        role = {"u": "user", "a": "assistant"}[to]
+        kept = edit(state, "K", "x.fix", "x.role || ':' || x.text")
+        return f"CASE WHEN x.one = '{to}' THEN {kept} ELSE {edit(state, 'R', 'x.fix + 3', f"'{role}:' || x.text")} END"
+
+    def insert(state: str, role: str) -> str:
+        return edit(state, "I", "3", f"'{role}:'")
+
+    def opened(states: str) -> str:
+        """Insertions after what is there: first u, then a, then u again."""
+        u = f"list_transform([{states}], lambda t: [t[1], t[2], list_min([t[3], {insert('t[1]', 'user')}, {insert('t[2]', 'user')}, {insert('t[4]', 'user')}]), t[4]])[1]"
+        return f"list_transform([{u}], lambda t: [t[1], t[2], t[3], list_min([t[4], {insert('t[3]', 'assistant')}])])[1]"
+
+    gone = lambda n: f"{{'c': acc.s[{n}].c + 4, 'a': acc.s[{n}].a || 'D', 'o': acc.s[{n}].o}}"
+    system = f"CASE WHEN x.one = 's' THEN {edit('acc.s[1]', 'K', 'x.fix', "x.role || ':' || x.text")} ELSE {gone(2)} END"
+    walked = (f"[{gone(1)}, list_min([{gone(2)}, {system}]), list_min([{gone(3)}, {turn('acc.s[1]', 'u')}, {turn('acc.s[2]', 'u')}, {turn('acc.s[4]', 'u')}]), "
+              f"list_min([{gone(4)}, {turn('acc.s[3]', 'a')}])]")
+    far = "{'c': CAST(1000000000 AS BIGINT), 'a': '', 'o': ''}"
+    start = opened(f"[{{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}}, {far}, {far}, {far}]")
+    return rf"""
+        WITH crc AS ({_CRC_TABLE}),
+             k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                          (coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+             h AS (SELECT k.*, {_CRC.format("key")} % 20 AS kind FROM k, crc),
+             d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                          CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                          unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE kind <> 0),
+             o AS (SELECT *, sha256(len(role) || ':' || role || text) AS mark FROM d),
+             r AS (SELECT *, role[1:1] AS one, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, mark, copy) AS i,
+                          row_number() OVER (PARTITION BY conv_id, mark ORDER BY turn NULLS FIRST, role, copy) AS seen,
+                          lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, mark, copy) AS before FROM o),
+             f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1 WHEN seen > 1 THEN 2
+                                  WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault FROM r),
+             g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                          count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                          count(*) FILTER (before IS NOT NULL AND before || one NOT IN ('su', 'ua', 'au')) AS illegal,
+                          list({{'one': one, 'role': role, 'text': text, 'fix': CAST(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 3 ELSE 1000000 END AS BIGINT), 's': {start}}} ORDER BY i) AS turns
+                   FROM f GROUP BY conv_id),
+             e AS (SELECT *, list_reduce(list_prepend({{'one': '', 'role': '', 'text': '', 'fix': CAST(0 AS BIGINT), 's': {start}}}, turns),
+                          lambda acc, x: {{'one': x.one, 'role': x.role, 'text': x.text, 'fix': x.fix, 's': {opened(walked)}}}).s AS s FROM g),
+             b AS (SELECT *, list_min([s[1], s[4]]) AS best FROM e)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.o, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN b ON c.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
+@query("op12_turn_repair", sql=_repair_sql())
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_variants", sql=f"""
     WITH RECURSIVE crc AS ({_CRC_TABLE}),
          runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{7,}}')),
