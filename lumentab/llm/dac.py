@@ -146,14 +146,51 @@ def write_tokens(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
     ordered.mapInArrow(tidy(run), schema).write.parquet(folder)
 
 
-def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
-    """(key, start, n_tokens, ids_crc32) of every document of a token file."""
-    files = spark.read.parquet(folder)
-    # One number per range of doc_ids; their count is that of the partitions that wrote the file.
-    totals = dict(files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect())
+def _part_starts(files: DataFrame) -> dict[int, int]:
+    """Ids of the file before each part; there are as many as partitions that wrote it."""
+    totals = dict(files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     before, at = {}, 0
     for part in sorted(totals):
         before[part], at = at, at + totals[part]
+    return before
+
+
+def tokens_at(spark: SparkSession, folder: str, positions: DataFrame, position: str = "position") -> DataFrame:
+    """(position, token) of a table of positions in a token file; -1 beyond its end and for null.
+
+    Positions meet blocks on stretches of ``BLOCK_IDS`` ids, by the blocks' numbers alone.  Then only the blocks that hold
+    a position are read, and of these only the entries asked for are decoded, one step per level.
+    """
+    files = spark.read.parquet(folder)
+    before = _part_starts(files)
+    wanted = positions.select(F.col(position).cast("long").alias("position")).distinct()
+    if not before:
+        return wanted.select("position", F.lit(-1).cast("long").alias("token"))
+    starts = F.create_map(*[F.lit(v) for k, n in before.items() for v in (k, n)])
+    spans = files.select("part", "block", (starts[F.col("part")] + F.col("first")).cast("long").alias("start"), "n_ids")
+    stretch = lambda c: F.floor(c / BLOCK_IDS).cast("long")
+    last = F.col("start") + F.col("n_ids") - 1
+    spread = spans.where("n_ids > 0").withColumn("at", F.explode(F.sequence(stretch(F.col("start")), stretch(last))))
+    met = wanted.withColumn("at", stretch(F.col("position"))).join(spread, "at").where(
+        (F.col("position") >= F.col("start")) & (F.col("position") <= last)).select("part", "block", "position", (F.col("position") - F.col("start")).alias("i"))
+    asked = met.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("i", "position"))).alias("asked"))
+    held = files.select("part", "block", "codes").join(asked, ["part", "block"]).select("codes", "asked.i", "asked.position")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                codes = Codes(batch.column(0)[k].as_buffer().to_pybytes())
+                tokens = [codes[i] for i in batch.column(1)[k].as_py()]
+                yield pa.RecordBatch.from_arrays([batch.column(2)[k].values, pa.array(tokens, pa.int64())], names=["position", "token"])
+
+    found = held.mapInArrow(tidy(run), "position long, token long")
+    return wanted.join(found, "position", "left").select("position", F.coalesce("token", F.lit(-1)).alias("token"))
+
+
+def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+    """(key, start, n_tokens, ids_crc32) of every document of a token file."""
+    files = spark.read.parquet(folder)
+    before = _part_starts(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
