@@ -32,7 +32,8 @@ def con():
 
 def rows(frame):
     columns = sorted(frame.columns)
-    return sorted(tuple(r[c] for c in columns) for r in frame.collect()), columns
+    # By their text, as a row may hold null.
+    return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr), columns
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -41,7 +42,7 @@ def test_query_agrees_with_sql(spark, con, name):
     want = con.sql(queries.ORACLES[name])
     assert sorted(want.columns) == columns
     order = [want.columns.index(c) for c in columns]
-    assert got == sorted(tuple(r[k] for k in order) for r in want.fetchall())
+    assert got == sorted((tuple(r[k] for k in order) for r in want.fetchall()), key=repr)
 
 
 @pytest.fixture(scope="module")
