@@ -8,6 +8,7 @@ of every run), and each round passes over the blocks a few times:
   together.  Blocks send mergeable sums of gradient, hessian, rows and cells keyed by (tree, node, feature, bin).
 * A node of at most ``LOCAL`` cells is sent as its cells instead, and grown on in the task that gets them, so small
   subtrees need one pass.  Both ways give the same splits.
+* A table of at most ``LOCAL`` cells needs no passes: runs are dealt to tasks and each grows all its trees there.
 * Splits come back as one short row each.  The driver holds only trees: it takes splits best first until the leaf
   limit, and asks for the children of those taken.
 
@@ -143,7 +144,9 @@ class Block:
     def __init__(self, row: Mapping[str, bytes], features: int, tracks: int):
         self.bins = np.frombuffer(row["bins"], np.uint8).reshape(-1, features)
         self.y, self.part = np.frombuffer(row["y"], np.int32), np.frombuffer(row["part"], np.int32)
-        self.w, self.raw = np.frombuffer(row["w"], np.int64), np.frombuffer(row["raw"], np.float64).reshape(tracks, -1)
+        self.w, self.raw = np.frombuffer(row["w"], np.int64), np.frombuffer(row["raw"], np.float64)
+        if tracks:
+            self.raw = self.raw.reshape(tracks, -1)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], features: int, tracks: int) -> Iterator[Block]:
@@ -174,55 +177,86 @@ def _pack(cells: DataFrame, base: np.ndarray, features: int, partitions: int) ->
 
 # ---------------------------------------------------------------- trees
 
-def leaf_of(tree: Packed, bins: np.ndarray) -> np.ndarray:
-    """The node each row falls into."""
-    node = np.ones(len(bins), dtype=np.int64)
+def _leaves(tree: Packed, bins: np.ndarray) -> dict[int, np.ndarray]:
+    """The rows of each leaf."""
+    rows = {1: np.arange(len(bins))}
     for at, f, cut, missing_left in zip(*(c.tolist() for c in tree[:4])):
-        here = np.flatnonzero(node == at)
+        here = rows.pop(at)
         x = bins[here, f]
         left = x <= cut
         if missing_left:
             left |= x == MISSING
-        node[here] = 2 * at + 1 - left
+        rows[2 * at], rows[2 * at + 1] = here[left], here[~left]
+    return rows
+
+
+def leaf_of(tree: Packed, bins: np.ndarray) -> np.ndarray:
+    """The node each row falls into."""
+    node = np.empty(len(bins), dtype=np.int64)
+    for n, rows in _leaves(tree, bins).items():
+        node[rows] = n
     return node
 
 
 def _values(tree: Packed, bins: np.ndarray) -> np.ndarray:
     """What the tree adds to each row."""
-    return tree.values[np.searchsorted(tree.names, leaf_of(tree, bins))]
+    out = np.empty(len(bins))
+    value = dict(zip(tree.names.tolist(), tree.values.tolist()))
+    for n, rows in _leaves(tree, bins).items():
+        out[rows] = value[n]
+    return out
+
+
+def places(bins: np.ndarray) -> np.ndarray:
+    """Where the bins of each row lie in a flat histogram."""
+    return bins.astype(np.intp) + 256 * np.arange(bins.shape[1], dtype=np.intp)
 
 
 def sums(bins: np.ndarray, g: np.ndarray, h: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Histogram (feature, bin, channel) of cells."""
-    f = bins.shape[1]
-    place = (bins.astype(np.int64) + 256 * np.arange(f)).ravel()
+    return placed_sums(places(bins), g, h, w)
+
+
+def placed_sums(place: np.ndarray, g: np.ndarray, h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    f = place.shape[1]
+    place = place.ravel()
     out = np.empty((f * 256, _CHANNELS))
-    for k, v in enumerate((g, h, w, np.ones(len(g)))):
+    for k, v in enumerate((g, h, w)):
         out[:, k] = np.bincount(place, weights=np.repeat(v, f), minlength=f * 256)
+    out[:, 3] = np.bincount(place, minlength=f * 256)
     return out.reshape(f, 256, _CHANNELS)
 
 
 def best_split(hist: np.ndarray, l2: float, min_leaf: int) -> Split | None:
     """The split of largest gain of a node given by its histogram."""
     total = hist[0].sum(axis=0)
-    value = hist[:, :MISSING].cumsum(axis=1)
-    miss = hist[:, MISSING:]
-    # First missing cells on the right, then on the left.
-    left = np.stack((value, value + miss), axis=2)
-    right = total - left
-    fits = (left[..., 2] >= min_leaf) & (right[..., 2] >= min_leaf) & (left[..., 1] >= LEAST_HESSIAN) & (right[..., 1] >= LEAST_HESSIAN)
-    if not fits.any():
+    # First missing cells on the right, then on the left, which differ only if there are any.
+    sides = 2 if hist[:, MISSING, 3].any() else 1
+    g, h, w = left = np.empty((3, len(hist), MISSING, sides))
+    for k in range(3):
+        np.cumsum(hist[:, :MISSING, k], axis=1, out=left[k, ..., 0])
+        if sides == 2:
+            left[k, ..., 1] = left[k, ..., 0] + hist[:, MISSING:, k]
+    right_h, right_w = total[1] - h, total[2] - w
+    fits = (w >= min_leaf) & (right_w >= min_leaf) & (h >= LEAST_HESSIAN) & (right_h >= LEAST_HESSIAN)
+    at = np.flatnonzero(fits)
+    if not len(at):
         return None
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = left[..., 0] ** 2 / (left[..., 1] + l2) + right[..., 0] ** 2 / (right[..., 1] + l2) - total[0] ** 2 / (total[1] + l2)
+    g, h, right_h = g.ravel()[at], h.ravel()[at], right_h.ravel()[at]
+    right_g = total[0] - g
+    gain = g ** 2 / (h + l2) + right_g ** 2 / (right_h + l2) - total[0] ** 2 / (total[1] + l2)
     # Rounding makes ties of equal splits whose sums were added in another order.
-    gain = np.where(fits, np.round(gain, 9), -np.inf)
-    f, cut, side = np.unravel_index(int(np.argmax(gain)), gain.shape)
-    if gain[f, cut, side] <= 0:
+    gain = np.round(gain, 9)
+    best = int(np.argmax(gain))
+    if gain[best] <= 0:
         return None
-    a, b = left[f, cut, side], right[f, cut, side]
-    to_left = bool(side) if miss[f, 0, 3] else bool(a[2] >= b[2])
-    return Split(int(f), int(cut), to_left, float(gain[f, cut, side]), tuple(map(float, a)), tuple(map(float, b)))
+    f, cut, side = np.unravel_index(at[best], fits.shape)
+    a = hist[f, :cut + 1].cumsum(axis=0)[-1]
+    if side:
+        a = a + hist[f, MISSING]
+    b = total - a
+    to_left = bool(side) if hist[f, MISSING, 3] else bool(a[2] >= b[2])
+    return Split(int(f), int(cut), to_left, float(gain[best]), tuple(map(float, a)), tuple(map(float, b)))
 
 
 def may_split(node: int, rows: float, s: Setting) -> bool:
@@ -233,10 +267,11 @@ def may_split(node: int, rows: float, s: Setting) -> bool:
 def grow_on(node: int, bins: np.ndarray, g: np.ndarray, h: np.ndarray, w: np.ndarray, s: Setting) -> Iterator[tuple[int, Split]]:
     """The splits below ``node`` that could be taken: best first, as many as a tree may have."""
     heap: list[tuple] = []
+    place = places(bins)
 
     def offer(at: int, rows: np.ndarray) -> None:
         if may_split(at, w[rows].sum(), s):
-            found = best_split(sums(bins[rows], g[rows], h[rows], w[rows]), s.l2, s.min_leaf)
+            found = best_split(placed_sums(place[rows], g[rows], h[rows], w[rows]), s.l2, s.min_leaf)
             if found:
                 heapq.heappush(heap, (-found.gain, at, found, rows))
 
@@ -427,17 +462,103 @@ def _scored(runs: Sequence[Setting], wanted: Sequence[int], classes: int, featur
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _blocks(batches, features, len(runs) * width):
-            n = len(b.y)
             for r in wanted:
-                p = probabilities(b.raw[r * width:(r + 1) * width], classes)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, r, np.int32)), pa.array(np.full(n, rounds, np.int32)), pa.array(b.part), pa.array(b.y), pa.array(b.w),
-                    pa.FixedSizeListArray.from_arrays(pa.array(p.T.ravel()), classes).cast(pa.list_(pa.float64()))],
-                    names=["run", "rounds", "part", "y", "w", "probability"])
+                yield _score_rows(r, rounds, b, probabilities(b.raw[r * width:(r + 1) * width], classes), classes)
+
+    return run
+
+
+_SCORED = "run int, rounds int, part int, y int, w long, probability array<double>"
+
+
+def _score_rows(r: int, rounds: int, b: Block, p: np.ndarray, classes: int) -> pa.RecordBatch:
+    n = len(b.y)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, r, np.int32)), pa.array(np.full(n, rounds, np.int32)), pa.array(b.part), pa.array(b.y), pa.array(b.w),
+        pa.FixedSizeListArray.from_arrays(pa.array(p.T.ravel()), classes).cast(pa.list_(pa.float64()))],
+        names=["run", "rounds", "part", "y", "w", "probability"])
+
+
+# ---------------------------------------------------------------- whole runs in tasks
+
+_TREE = "at array<long>, feature array<int>, cut array<int>, missing_left array<boolean>, names array<long>, values array<double>"
+_RUN = f"run int, rounds int, class int, part binary, y binary, w binary, raw binary, {_TREE}"
+
+
+def _run_rows(rows: list[dict]) -> pa.RecordBatch:
+    kinds = {"run": pa.int32(), "rounds": pa.int32(), "class": pa.int32(), "part": pa.binary(), "y": pa.binary(), "w": pa.binary(), "raw": pa.binary(),
+             "at": pa.list_(pa.int64()), "feature": pa.list_(pa.int32()), "cut": pa.list_(pa.int32()), "missing_left": pa.list_(pa.bool_()),
+             "names": pa.list_(pa.int64()), "values": pa.list_(pa.float64())}
+    return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in kinds.items()], names=list(kinds))
+
+
+def _whole_runs(runs: Sequence[Setting], bases: Sequence[np.ndarray], asked: Mapping[int, Sequence[int]], last: Sequence[int], classes: int, features: int) -> Callable:
+    """Every round of a run over the cells that come with its number: its trees, and its raw predictions at the rounds asked for."""
+    width = 1 if classes == 2 else classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list[dict]] = defaultdict(list)
+        for batch in batches:
+            for row in batch.to_pylist():
+                blocks[row["run"]].append(row)
+        for r in sorted(blocks):
+            parts = sorted(blocks.pop(r), key=lambda row: row["bins"])
+            row = {c: b"".join(p[c] for p in parts) for c in ("bins", "y", "part", "w", "raw")}
+            s, b = runs[r], Block(row, features, 0)
+            raw = np.repeat(bases[r][:, None], len(b.y), axis=1)
+            used = np.flatnonzero(b.part != s.held)
+            bins, w, told = b.bins[used], b.w[used], []
+            w_float = w.astype(np.float64)
+            for t in range(last[r]):
+                trees = []
+                for k in range(width):
+                    g, h = _gradients(raw[:, used], b.y[used], w, classes, k)
+                    growing = Growing(s, (0.0, 0.0, w_float.sum(), float(len(g))))
+                    if growing.wanted:
+                        growing.stats[1] = (g.sum(), h.sum(), w_float.sum(), float(len(g)))
+                        growing.learn(dict(grow_on(1, bins, g, h, w_float, s)), [1], [1])
+                    trees.append(growing.close().packed())
+                for k, tree in enumerate(trees):
+                    raw[k] += _values(tree, b.bins)
+                    told.append({"run": r, "rounds": t + 1, "class": k} | tree._asdict())
+                if r in asked.get(t + 1, ()):
+                    told.append({"run": r, "rounds": t + 1, "raw": raw.tobytes()} | {c: row[c] for c in ("part", "y", "w")})
+            yield _run_rows(told)
+
+    return run
+
+
+def _scored_runs(classes: int) -> Callable:
+    width = 1 if classes == 2 else classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                b = Block(row | {"bins": b""}, 1, width)
+                yield _score_rows(row["run"], row["rounds"], b, probabilities(b.raw, classes), classes)
 
     return run
 
 
+def _fit_whole_runs(state: DataFrame, models: Sequence[Boosted], runs: Sequence[Setting], asked: Mapping[int, Sequence[int]],
+                    last: Sequence[int], classes: int, features: int) -> DataFrame:
+    """Fit runs over few cells side by side, each in one task; fills ``models`` and gives the scored cells."""
+    width = shuffle_width(state.sparkSession)
+    numbered = state.drop("raw").select("*", F.lit(b"").alias("raw"), F.explode(F.sequence(F.lit(0), F.lit(len(runs) - 1))).alias("run"))
+    dealt = numbered.repartition(max(1, min(len(runs), 16 * width)), "run")
+    told = cut_lineage(dealt.mapInArrow(_whole_runs(runs, [m.base for m in models], asked, last, classes, features), _RUN))
+    trees = told.where("raw IS NULL").drop("part", "y", "w", "raw").orderBy("run", "rounds", "class").toArrow().combine_chunks()
+    flat = [(trees[c].combine_chunks(), t) for c, t in zip(Packed._fields, (np.int64, np.int16, np.int16, bool, np.int64, np.float64))]
+    columns = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False).astype(t)) for c, t in flat]
+    for i, (r, k) in enumerate(zip(trees["run"].to_pylist(), trees["class"].to_pylist())):
+        own = models[r].rounds
+        if k == 0:
+            own.append([])
+        own[-1].append(Packed(*(values[at[i]:at[i + 1]] for at, values in columns)))
+    marks = told.where("raw IS NOT NULL").select("run", "rounds", "part", "y", "w", "raw")
+    return marks.mapInArrow(_scored_runs(classes), _SCORED)
+
+
 # ---------------------------------------------------------------- fitting
 
 @dataclass
@@ -505,6 +626,10 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, settings: Seque
     bases = [_base(n, classes) for n in rows_of]
     models = [Boosted(features, cuts, classes, b, []) for b in bases]
     count = sum(c for _, c in by_part.values())
+    if 0 < count <= LOCAL:
+        # So few cells make one block, and a run needs no pass: runs go side by side instead of round by round.
+        state = cut_lineage(_pack(cells, np.zeros(1), wide, 1))
+        return _fit_whole_runs(state, models, runs, asked, last, classes, wide), models, run_of
     partitions = max(1, min(-(-count // PART_CELLS), 64 * shuffle_width(spark)))
     state = cut_lineage(_pack(cells, np.concatenate(bases), wide, partitions))
     answers_on = max(1, min(tracks, shuffle_width(spark)))
@@ -533,7 +658,7 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, settings: Seque
         if t + 1 in asked or len(since) == CUT_EVERY:
             state, since = cut_lineage(state.mapInArrow(_updated(since, wide, tracks), _BLOCK)), []
         if t + 1 in asked:
-            told = state.mapInArrow(_scored(runs, asked[t + 1], classes, wide, t + 1), "run int, rounds int, part int, y int, w long, probability array<double>")
+            told = state.mapInArrow(_scored(runs, asked[t + 1], classes, wide, t + 1), _SCORED)
             scored = told if scored is None else scored.unionByName(told)
     return scored, models, run_of
 

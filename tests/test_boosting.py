@@ -178,3 +178,22 @@ def test_cross_validation_equals_separate_fits(table):
         right = F.sum(F.when((F.col("probability")[1] > 0.5) == (F.col("y") == 1), F.col("w")).otherwise(0)) / F.sum("w")
         rates = scored.where(F.col("part") == F.col("run")).groupBy("run").agg(right.alias("r")).collect()
         assert math.isclose(mean, sum(r["r"] for r in rates) / 3)
+
+
+def test_few_cells_are_fitted_without_passes(monkeypatch, table):
+    settings = [Setting(r, 6, rate, 0.1, 5, held=1) for r in (2, 5) for rate in (0.1, 0.3)]
+
+    def fitted(classes):
+        scored, runs, run_of = boosting.fit_many(table, ["a", "b", "c"], "y" if classes == 2 else "level", settings, classes, "part")
+        rows = sorted((*r[:5], *[round(p, 9) for p in r[5]]) for r in scored.collect())
+        return rows, [[[t.at.tolist() for t in ts] for ts in m.rounds] for m in runs], run_of
+
+    monkeypatch.setattr(boosting, "LOCAL", 0)
+    slow = [fitted(k) for k in (2, 3)]
+    monkeypatch.undo()
+
+    def no_pass(*_):
+        raise AssertionError("a pass over few cells")
+
+    monkeypatch.setattr(boosting, "_pieces", no_pass)
+    assert [fitted(k) for k in (2, 3)] == slow
