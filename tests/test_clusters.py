@@ -411,3 +411,31 @@ def test_components_with_hubs(spark, monkeypatch, limit):
     nodes = spark.range(800).withColumnRenamed("id", "node")
     got = density.connected_components(nodes, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {v: root(v) for v in range(800)}
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_neighbours_in_the_plane_are_counted_without_pairs(spark, monkeypatch, hot):
+    def no_pairs(*_):
+        raise AssertionError("near pairs were made")
+
+    monkeypatch.setattr(distance, "HOT_CELL", hot)
+    monkeypatch.setattr(distance, "cell_join", no_pairs)
+    rng = np.random.default_rng(5)
+    made = [(float(a), float(b), (None, "p", "q")[i % 3]) for i, (a, b) in enumerate(zip(rng.normal(size=300), np.round(rng.normal(size=300), 1)))]
+    made += made[:20] + [(0.0, 0.0, "p"), (0.1, 0.0, "q"), (None, 0.0, "p"), (float("nan"), 0.0, "q")]
+    df = spark.createDataFrame(made, "x double, y double, l string")
+    whole = [r for r in made if r[0] is not None and r[0] == r[0]]
+    eps = 0.1
+
+    def gap(a, b):
+        return (a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1])
+
+    counts = {(r["x"], r["y"]): (r["copies"], r["neighbours"]) for r in distance.neighbour_counts(df, ["x", "y"], eps).collect()}
+    assert counts == {a[:2]: (sum(b[:2] == a[:2] for b in whole), sum(gap(a, b) <= eps * eps for b in whole)) for a in whole}
+    told = {(r["x"], r["y"]): r["majority"] for r in distance.neighbour_labels(df, ["x", "y"], "l", eps).collect()}
+    want = {}
+    for a in whole:
+        votes = [b[2] for b in whole if 0 < gap(a, b) <= eps * eps]
+        if votes:
+            want[a[:2]] = min(set(votes), key=lambda v: (-votes.count(v), v is not None, v or ""))
+    assert told == want
