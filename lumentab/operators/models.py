@@ -25,8 +25,8 @@ from lumentab.operators import boosting, evaluate
 from lumentab.operators.boosting import Boosted, Setting
 
 SEED = 42
-# Rows that make a task of a fit worth its start.
-TASK_ROWS = 20_000
+# Rows that make a task of a fit worth its start, and rows of a task of a fit at most.
+TASK_ROWS, MOST_TASK_ROWS = 20_000, 1_000_000
 # Depth and leaf size of the single tree.
 TREE_DEPTH, TREE_LEAF = 4, 3
 # Grids of the searches.
@@ -50,8 +50,13 @@ def row_count(df: DataFrame) -> int:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as its rows need: fits pass over it hundreds of times."""
-    wanted = max(1, -(-row_count(df) // TASK_ROWS))
+    """``df`` in as many partitions as its rows need: fits pass over it hundreds of times.
+
+    Every task of every pass sends its sums to the driver, so there are no more tasks than run at once, unless
+    these would hold more than ``MOST_TASK_ROWS`` rows.
+    """
+    rows, slots = row_count(df), df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, min(-(-rows // TASK_ROWS), max(slots, -(-rows // MOST_TASK_ROWS))))
     return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
 
 

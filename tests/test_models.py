@@ -98,3 +98,13 @@ def test_search_queries_run_their_whole_grids(spark, monkeypatch):
     for job in ("forest", "boosting"):
         assert sorted((r.numTrees, r.maxDepth, r.minInstancesPerNode) for r in got if r.job == job) == points
     assert sum(r.job == "logistic" for r in got) == 4 and len(got) == 40
+
+
+def test_fits_run_no_more_tasks_than_there_are_slots(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_ROWS", 10)
+    rows = spark.range(1000, numPartitions=40)
+    slots = spark.sparkContext.defaultParallelism
+    assert models.dealt(rows).rdd.getNumPartitions() == slots
+    monkeypatch.setattr(models, "MOST_TASK_ROWS", 50)
+    assert models.dealt(rows).rdd.getNumPartitions() == 20
+    assert models.dealt(rows).count() == 1000
