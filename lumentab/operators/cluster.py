@@ -111,10 +111,10 @@ def packed_vectors(df: DataFrame, features: str) -> DataFrame:
     return cut_lineage(blocks.coalesce(max(1, min(blocks.rdd.getNumPartitions(), -(-rows // BLOCK_ROWS)))))
 
 
-def advance(blocks: DataFrame, models: Mapping[int, Centres]) -> dict[int, tuple[Centres, float, list[int]]]:
+def advance(blocks: DataFrame, models: Mapping[int, Centres], costs: bool = True) -> dict[int, tuple[Centres, float, list[int]]]:
     """One step of all models in one pass: new centres (an empty cluster keeps its own), the cost before it, and sizes.
 
-    Blocks send a sum and a count per (model, cluster), which are added up by model; ties go to the lower cluster.
+    Without ``costs`` the cost is 0: steps in between need none, and it takes as long as the step.  Blocks send a sum and a count per (model, cluster), which are added up by model; ties go to the lower cluster.
     """
     arrays = {m: np.array(c, dtype=float) for m, c in models.items()}
 
@@ -129,8 +129,11 @@ def advance(blocks: DataFrame, models: Mapping[int, Centres]) -> dict[int, tuple
                     near = gap.argmin(axis=1)
                     hit = np.zeros((len(c), len(x)))
                     hit[near, np.arange(len(x))] = 1.0
-                    diff = x - c[near]
-                    own = np.concatenate((hit @ x, hit.sum(axis=1)[:, None], (hit @ (diff * diff).sum(axis=1))[:, None]), axis=1)
+                    cost = np.zeros(len(c))
+                    if costs:
+                        diff = x - c[near]
+                        cost = hit @ (diff * diff).sum(axis=1)
+                    own = np.concatenate((hit @ x, hit.sum(axis=1)[:, None], cost[:, None]), axis=1)
                     total[m] = total[m] + own if m in total else own
         yield from _packets(total)
 
@@ -172,7 +175,7 @@ def fit_together(df: DataFrame, features: str, models: Sequence[Centres], max_it
     now = dict(enumerate(models))
     live, cost = set(now), {}
     for _ in range(max_iter):
-        moved = advance(blocks, {m: now[m] for m in live})
+        moved = advance(blocks, {m: now[m] for m in live}, costs=False)
         if not moved:
             break
         for m, (centres, _, _) in moved.items():

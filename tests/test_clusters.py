@@ -439,3 +439,21 @@ def test_neighbours_in_the_plane_are_counted_without_pairs(spark, monkeypatch, h
         if votes:
             want[a[:2]] = min(set(votes), key=lambda v: (-votes.count(v), v is not None, v or ""))
     assert told == want
+
+
+def test_steps_of_kmeans_compute_no_costs(spark, monkeypatch):
+    asked, advance = [], cluster.advance
+
+    def told(blocks, models, costs=True):
+        out = advance(blocks, models, costs)
+        asked.append((costs, {m: (c, n) for m, (c, _, n) in out.items()}, advance(blocks, models), [cost for _, cost, _ in out.values()]))
+        return out
+
+    monkeypatch.setattr(cluster, "advance", told)
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([([float(v) for v in r],) for r in rng.normal(size=(120, 4))], "v array<double>")
+    head = [[float(v) for v in r] for r in rng.normal(size=(3, 4))]
+    (centres, cost), = cluster.fit_together(df, "v", [head])
+    assert [a[0] for a in asked[:-1]] == [False] * (len(asked) - 1) and asked[-1][0] and cost > 0
+    for _, moved, whole, costs in asked[:-1]:
+        assert moved == {m: (c, n) for m, (c, _, n) in whole.items()} and costs == [0.0]
