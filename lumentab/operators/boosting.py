@@ -40,7 +40,7 @@ from lumentab.session import cut_lineage, ship_code, shuffle_width
 BINS, MISSING = 255, 255
 LEAST_HESSIAN = 1e-3
 #: Cells of a node that is grown in one task; bytes of predictions in a block; rounds between checkpoints.
-LOCAL, BLOCK_BYTES, CUT_EVERY = 20_000, 8 << 20, 5
+LOCAL, BLOCK_BYTES, CUT_EVERY = 200_000, 8 << 20, 5
 #: Cells of a partition at least: fewer are not worth a task.
 PART_CELLS = 20_000
 # Node numbers are those of a heap (children 2 n and 2 n + 1), which bounds the depth.
@@ -545,7 +545,8 @@ def _fit_whole_runs(state: DataFrame, models: Sequence[Boosted], runs: Sequence[
     """Fit runs over few cells side by side, each in one task; fills ``models`` and gives the scored cells."""
     width = shuffle_width(state.sparkSession)
     numbered = state.drop("raw").select("*", F.lit(b"").alias("raw"), F.explode(F.sequence(F.lit(0), F.lit(len(runs) - 1))).alias("run"))
-    dealt = numbered.repartition(max(1, min(len(runs), 16 * width)), "run")
+    # By ranges, so that no two runs share a task while others have none.
+    dealt = numbered.repartitionByRange(max(1, min(len(runs), 16 * width)), "run")
     told = cut_lineage(dealt.mapInArrow(_whole_runs(runs, [m.base for m in models], asked, last, classes, features), _RUN))
     trees = told.where("raw IS NULL").drop("part", "y", "w", "raw").orderBy("run", "rounds", "class").toArrow().combine_chunks()
     flat = [(trees[c].combine_chunks(), t) for c, t in zip(Packed._fields, (np.int64, np.int16, np.int16, bool, np.int64, np.float64))]

@@ -197,3 +197,15 @@ def test_few_cells_are_fitted_without_passes(monkeypatch, table):
 
     monkeypatch.setattr(boosting, "_pieces", no_pass)
     assert [fitted(k) for k in (2, 3)] == slow
+
+
+def test_some_ten_thousand_cells_take_no_passes_and_runs_do_not_share_tasks(spark, monkeypatch):
+    def no_pass(*_):
+        raise AssertionError("a pass over few cells")
+
+    monkeypatch.setattr(boosting, "_pieces", no_pass)
+    rows = spark.range(25_000).select((F.col("id") % 250).alias("a"), F.floor(F.col("id") / 250).alias("b"), (F.col("id") % 2).alias("y"))
+    settings = [Setting(1, 4, 0.1, float(l2), 5) for l2 in range(12)]
+    scored = boosting.fit_many(rows, ["a", "b"], "y", settings)[0]
+    told = scored.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("run").alias("runs"), F.sum("w").alias("w")).collect()
+    assert [(r["runs"], r["w"]) for r in told] == [(1, 25_000)] * 12
