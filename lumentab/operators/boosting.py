@@ -633,7 +633,7 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, settings: Seque
         return _fit_whole_runs(state, models, runs, asked, last, classes, wide), models, run_of
     partitions = max(1, min(-(-count // PART_CELLS), 64 * shuffle_width(spark)))
     state = cut_lineage(_pack(cells, np.concatenate(bases), wide, partitions))
-    answers_on = max(1, min(tracks, shuffle_width(spark)))
+    answers_on = max(1, min(8 * tracks, shuffle_width(spark)))
     scored, since = None, []
 
     for t in range(marks[-1]):
@@ -642,7 +642,7 @@ def fit_many(df: DataFrame, features: Sequence[str], label: str, settings: Seque
         while wanted := {i: g.wanted for i, g in growing.items() if g.wanted}:
             plan: Plan = {i: (growing[i].tree.packed(), [(n, growing[i].stats[n][3] <= LOCAL) for n in nodes]) for i, nodes in wanted.items()}
             pieces = state.mapInArrow(_pieces(plan, since, runs, classes, wide), _PIECE)
-            told = pieces.repartition(answers_on, "tree").mapInArrow(_answers(runs, width, wide), _SPLIT).toArrow().to_pylist()
+            told = pieces.repartition(answers_on, "tree", "node").mapInArrow(_answers(runs, width, wide), _SPLIT).toArrow().to_pylist()
             found: dict[int, dict[int, Split]] = defaultdict(dict)
             for r in told:
                 if r["feature"] < 0:
