@@ -4,8 +4,8 @@ Cells have the side eps / sqrt(d), so all points of a cell are neighbours.  A ce
 ``min_pts`` rows is all core without looking at a single pair; only points of poorer cells
 (fewer than ``min_pts`` each) count their neighbours.  Clusters are components of the graph
 of core *cells*.  The work is therefore linear in the points for fixed ``min_pts``.  More
-dimensions take a join of the points instead, blocked on three axes, of which each task keeps
-a spanning forest of mutual reachability; one forest serves all radii up to its own.
+dimensions take a spanning forest of mutual reachability instead, from lists of nearest sites and
+the few edges that these may miss (``blocks``); one forest serves all radii up to its own.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from lumentab.operators import blocks
 from lumentab.operators.distance import GRID_AXES, cell_join, cell_names, gap_squared, hot_cells, on_grid, sites_of, widest
 from lumentab.operators.ship import ship_if_short
 from lumentab.session import cut_lineage, ship_code
@@ -148,7 +149,7 @@ def _with_coordinates(df: DataFrame, key: str, dims: Sequence[str]) -> tuple[Dat
 
 @dataclass(frozen=True)
 class Reachability:
-    """What every radius up to ``radius`` needs: sites (cells, dims, w, k, core2) and a spanning forest (a, b, far2).
+    """What every radius up to ``radius`` needs: sites (dims, w, k, core2) and a spanning forest (a, b, far2).
 
     ``core2`` is the squared distance at which a site becomes core (NULL beyond the radius).  ``far2`` of an edge is
     the squared mutual reachability of its ends: the radius at which both are core and near.  The forest has least
@@ -161,6 +162,7 @@ class Reachability:
     radius: float
     sites: DataFrame
     forest: DataFrame
+    planes: blocks.Planes
 
     def clusters(self, eps: float) -> DataFrame:
         """Rows (key, cluster, is_core) of DBSCAN at a radius up to ``radius``."""
@@ -168,44 +170,71 @@ class Reachability:
         core = self.sites.where(F.col("core2") <= limit)
         parts = connected_components(
             core.select(F.col("k").alias("node")), self.forest.where(F.col("far2") <= limit).select("a", "b"))
-        named = cut_lineage(core.join(parts, F.col("k") == F.col("node")).select(*cell_names(dims), *dims, "k", F.col("component").alias("cluster")))
-        rest = self.sites.where(F.col("core2").isNull() | (F.col("core2") > limit)).select(*cell_names(dims), *dims, "k")
-        border = (
-            cell_join(rest, named.drop("k"), dims, 1, hot_cells(named, dims)).where(gap_squared(dims) <= limit)
-            .groupBy("_q_k").agg(F.min("cluster").alias("near"))
-        )
+        named = cut_lineage(core.join(parts, F.col("k") == F.col("node")).select("k", F.col("component").alias("cluster")))
+        # Sites that are not core ask for the smallest cluster within the radius.
+        asking = F.when(F.col("cluster").isNull() & F.col("k").isNotNull(), limit)
+        marked = self.sites.join(named.withColumnRenamed("k", "_core"), F.col("k") == F.col("_core"), "left").withColumn("bound", asking)
+        border = blocks.least_within(blocks.blocks_of(marked, dims, self.planes, "cluster"), len(dims))
         placed = (
             self.sites.join(named.select(F.col("k").alias("_core"), "cluster"), F.col("k") == F.col("_core"), "left")
-            .join(border, F.col("k") == F.col("_q_k"), "left")
+            .join(border, F.col("k") == F.col("_asked"), "left")
             .select(*dims, F.coalesce("cluster", "near", F.lit(NOISE)).alias("cluster"), F.col("_core").isNotNull().alias("is_core"))
         )
         return self.points.join(placed, dims).select(self.key, "cluster", "is_core")
 
 
+# Sites of a list of nearest ones at least; shares of the listed edges at whose length the largest cluster is looked up.
+LISTED, LEVELS = 10, (0.7, 0.97, 1.0)
+
+
 def reachability(df: DataFrame, key: str, dims: Sequence[str], radius: float, min_pts: int) -> Reachability:
     """Core distances and the spanning forest of mutual reachability up to ``radius``, in any number of dimensions.
 
-    The join blocks on the axes that spread most and filters on all.  Its pairs are never written: a task keeps the
-    ``min_pts`` nearest sites of a point, and of the edges it sees only a spanning forest, at most one edge per site.
+    Every site lists its nearest ones.  Let ``bound`` be a length at which the listed edges connect a site with one fixed
+    site.  Two sites are connected by listed edges no longer than the larger of their bounds, so of the edges that
+    are not listed a least forest needs only those shorter than the bound of an end.  Each site asks for these.
     """
     ship_code(df.sparkSession)
     dims = widest(df, dims)
-    limit = F.lit(radius * radius)
+    limit = radius * radius
     points = df.select(key, *[F.col(d).cast("double").alias(d) for d in dims])
-    sites = cut_lineage(sites_of(points, dims, radius, [F.count(F.lit(1)).alias("w"), F.min(key).alias("k")]))
-    hot = hot_cells(sites, dims)
-    outward = Window.partitionBy("_q_k").orderBy("_gap")
-    within = outward.rangeBetween(Window.unboundedPreceding, 0)
-    near = cell_join(sites.drop("w"), sites.drop("k"), dims, 1, hot).select("_q_k", "w", gap_squared(dims).alias("_gap"))
-    core = (
-        near.where(F.col("_gap") <= limit).withColumn("_rank", F.row_number().over(outward)).where(F.col("_rank") <= min_pts)
-        .withColumn("_rows", F.sum("w").over(within)).where(F.col("_rows") >= min_pts).groupBy("_q_k").agg(F.min("_gap").alias("core2"))
+    none = F.lit(None).cast("double")
+    sites = cut_lineage(sites_of(points, dims, radius, [F.count(F.lit(1)).alias("w"), F.min(key).alias("k")])
+                        .select(*dims, "k", "w", none.alias("core2"), none.alias("bound")))
+    count = sites.count()
+    planes = blocks.planes_of(sites, dims, count)
+    listed = cut_lineage(blocks.nearest(blocks.blocks_of(sites, dims, planes), dims, max(LISTED, min_pts), radius, min_pts))
+    able = listed.where("core2 IS NOT NULL")
+    ends = able.groupBy(F.col("k").alias("b")).agg(F.min("core2").alias("_core2"))
+    edges = (
+        able.select(F.col("k").alias("a"), "core2", F.explode(F.arrays_zip("others", "gaps")).alias("_o"))
+        .select("a", "core2", F.col("_o.others").alias("b"), F.col("_o.gaps").alias("_gap")).where("a <> b").join(ends, "b")
+        .select("a", "b", F.greatest("_gap", "core2", "_core2").alias("far2"))
     )
-    sites = cut_lineage(sites.join(core, F.col("k") == F.col("_q_k"), "left").drop("_q_k"))
-    able = sites.where(F.col("core2").isNotNull()).drop("w")
-    pairs = cell_join(able, able, dims, 1, hot).where((F.col("_q_k") < F.col("k")) & (gap_squared(dims) <= limit)).select(
-        F.col("_q_k").cast("long").alias("a"), F.col("k").cast("long").alias("b"), F.greatest(gap_squared(dims), "_q_core2", "core2").alias("far2"))
-    return Reachability(points, key, dims, radius, sites, cut_lineage(pairs.mapInArrow(_forests, "a long, b long, far2 double")))
+    edges = cut_lineage(edges.mapInArrow(_forests, "a long, b long, far2 double"))
+    nodes = able.select(F.col("k").alias("node")).distinct()
+    # A single block is compared whole.
+    bounds = _bounds(nodes, edges) if count > blocks.BLOCK else nodes.withColumn("_bound", F.lit(None).cast("double"))
+    # A whole list, or one that reaches as far as the bound, leaves nothing to ask for.
+    asking = F.when(F.greatest("core2", "reach2") <= F.coalesce("_bound", F.lit(limit)), F.coalesce("_bound", F.lit(limit)))
+    bounded = able.join(bounds, F.col("k") == F.col("node"), "left").select(
+        *dims, "k", "w", "core2", F.when(F.col("reach2").isNotNull(), asking).alias("bound"))
+    found = blocks.edges_within(blocks.blocks_of(bounded, dims, planes), len(dims), _forests)
+    return Reachability(points, key, dims, radius, listed.select(*dims, "k", "w", "core2"), cut_lineage(edges.unionByName(found)), planes)
+
+
+def _bounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, _bound): the first of a few lengths at which ``edges`` connect a node with one fixed node; others are left out."""
+    lengths = edges.agg(F.percentile_approx("far2", list(LEVELS), 10_000)).first()[0]
+    root, out = None, None
+    for length in sorted(set(lengths or [])):
+        parts = cut_lineage(connected_components(nodes, edges.where(F.col("far2") <= length).select("a", "b")))
+        if root is None:
+            root = parts.groupBy("component").count().orderBy(F.desc("count"), "component").first()["component"]
+        own = parts.where(F.col("node") == root).first()["component"]
+        told = parts.where(F.col("component") == own).select("node", F.lit(length).alias("_bound"))
+        out = told if out is None else out.unionByName(told)
+    return nodes.withColumn("_bound", F.lit(None).cast("double")) if out is None else out.groupBy("node").agg(F.min("_bound").alias("_bound"))
 
 
 # Edges that a task holds before it reduces them to a forest.

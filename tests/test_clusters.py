@@ -76,6 +76,42 @@ def test_many_dimensions_and_gaps(spark):
     assert eps == 0.45 and out.count() == len(rows)
 
 
+def test_forest_of_many_blocks_serves_every_radius(spark, monkeypatch):
+    """Clumps of unlike density, copies and far rows in blocks of 32: clusters equal brute force at each radius."""
+    from lumentab.operators import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 32)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, s, (50, 5)) for c, s in ((0.0, 0.1), (1.0, 0.3), (-1.5, 0.2))] + [rng.uniform(-3, 3, (20, 5))])
+    x[:6] = x[0]
+    dims = [f"d{i}" for i in range(5)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{d} double" for d in dims)).persist()
+    reach = density.reachability(df, "id", dims, 1.6, 4)
+    for eps in (0.25, 0.9):
+        label, core = brute_dbscan(x, eps, 4)
+        got = reach.clusters(eps).toPandas().sort_values("id")
+        assert list(got["cluster"]) == list(label) and list(got["is_core"]) == list(core)
+    df.unpersist()
+
+
+def test_forest_weighs_as_little_as_that_of_all_pairs(spark, monkeypatch):
+    """At a radius that holds all pairs, few of them are kept and none is joined by grid cells."""
+    from lumentab.operators import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 64)
+    monkeypatch.setattr(density, "cell_join", None)
+    x = np.random.default_rng(6).normal(0, 1, (600, 4))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double, d double").persist()
+    kept = density.reachability(df, "id", ["a", "b", "c", "d"], 20.0, 4).forest.collect()
+    a, b, far2 = (np.array(c) for c in zip(*[(r["a"], r["b"], r["far2"]) for r in kept]))
+    gaps = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    core = np.sort(gaps, axis=1)[:, 3]
+    far = np.maximum(np.maximum(gaps, core[:, None]), core[None])
+    i, j = np.triu_indices(600, 1)
+    assert math.isclose(far2[density.least_forest(a, b, far2)].sum(), far[i, j][density.least_forest(i, j, far[i, j])].sum(), rel_tol=1e-9)
+    df.unpersist()
+
+
 def test_dense_cells_far_and_near(spark):
     """Dense cells whose points are just within or just beyond the radius."""
     eps = 1.0
