@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumentab.llm.pieces import PieceTable
+from lumentab.llm.pieces import KIND, PieceTable
 from lumentab.llm.store import shared_folder
 from lumentab.llm.words import blocks, text_buffers, tidy
 
@@ -143,7 +143,7 @@ def write_tokens(docs: DataFrame, folder: str, key: str = "doc_id", text: str =
             yield close()
 
     schema = "part int, block int, first long, n_ids long, doc_ids array<long>, sizes array<long>, codes binary"
-    ordered.mapInArrow(tidy(run), schema).write.parquet(folder)
+    ordered.mapInArrow(tidy(run, KIND), schema).write.parquet(folder)
 
 
 def _part_starts(files: DataFrame) -> dict[int, int]:

@@ -12,9 +12,11 @@ import os
 
 import numpy as np
 
-from lumentab.llm.words import SPACED, Cut
+from lumentab.llm.words import SPACED, Cut, held
 
 TOKENIZER = "word_bpe_49k.json"
+#: Kind under which a worker keeps its tables while it works on tokens.
+KIND = "pieces"
 #: Pieces held by a worker (some 35 bytes each), pieces joined into one text for the tokenizer, and bytes of a call.
 KNOWN, JOINED, CALL_BYTES = 500_000, 256, 1 << 17
 
@@ -30,8 +32,6 @@ def tokenizer_path(path: str | None = None) -> str:
 class PieceTable:
     """Known pieces by ascending fingerprint: ``sizes`` tokens each, from ``starts`` in ``ids``."""
 
-    _of: dict[str, PieceTable] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -43,9 +43,10 @@ class PieceTable:
     def of(cls, path: str | None) -> PieceTable:
         """The worker's table."""
         path = tokenizer_path(path)
-        if path not in cls._of:
-            cls._of[path] = cls(path)
-        return cls._of[path]
+        tables = held(KIND)
+        if path not in tables:
+            tables[path] = cls(path)
+        return tables[path]
 
     def clear(self) -> None:
         self.marks = np.empty(0, np.uint64)

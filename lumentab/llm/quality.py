@@ -27,6 +27,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 WINDOW = 8
+#: Bytes of text measured at a time; the arrays of a block take some 40 times as much.
+MEASURED_BYTES = 1 << 18
 #: Rule name -> condition under which a text fails it; {} is put before the measure names.
 RULES = {
     "short": "{n_words} < 20",
@@ -74,13 +76,18 @@ def measure_block(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.diff(words.first), chars, symbols, dup_lines, repeated]
 
 
+def measure_texts(column: pa.Array) -> list[pa.Array]:
+    """The measures of a column of texts, worked out block by block."""
+    buf, offsets = text_buffers(column)
+    parts = [measure_block(buf, offsets[lo:hi + 1]) for lo, hi in blocks(offsets, MEASURED_BYTES)]
+    return [pa.array(np.concatenate([p[k] for p in parts]) if parts else [], pa.int64()) for k in range(len(MEASURES))]
+
+
 def measured(docs: DataFrame, names: dict[str, str], text: str = "text") -> DataFrame:
     """``docs`` with the measures of ``text`` as columns called ``names[measure]``."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        buf, offsets = text_buffers(batch.column(batch.schema.names.index(text)))
-        parts = [measure_block(buf, offsets[lo:hi + 1]) for lo, hi in blocks(offsets)]
-        return [pa.array(np.concatenate([p[k] for p in parts]) if parts else [], pa.int64()) for k in range(len(MEASURES))]
+        return measure_texts(batch.column(batch.schema.names.index(text)))
 
     return with_columns(docs, run, [StructField(names[m], LongType(), False) for m in MEASURES])
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField
 
-from lumentab.llm.pieces import PieceTable
+from lumentab.llm.pieces import KIND, PieceTable
 from lumentab.llm.words import blocks, text_buffers, with_columns
 
 LIMIT = 2048
@@ -30,5 +30,5 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
         return [pa.array(np.diff(offsets), pa.int64()), pa.array(np.concatenate(counts) if counts else [], pa.int64())]
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    counted = with_columns(rows, run, [StructField("n_bytes", LongType(), False), StructField("n_tokens", LongType(), False)])
+    counted = with_columns(rows, run, [StructField("n_bytes", LongType(), False), StructField("n_tokens", LongType(), False)], KIND)
     return counted.select(F.col("doc_id").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

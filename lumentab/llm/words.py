@@ -132,8 +132,26 @@ def windows(marks: np.ndarray, width: int) -> np.ndarray:
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def tidy(run: Batches) -> Batches:
-    """``run``, whose worker gives freed memory back after each batch and at the end: idle workers stay with their executor."""
+#: What this worker keeps for its later tasks, by kind.
+_held: dict[str, dict] = {}
+
+
+def held(kind: str) -> dict:
+    return _held.setdefault(kind, {})
+
+
+def let_go(keep: str | None = None) -> None:
+    """Drop what earlier tasks left in this worker, but the kind ``keep``."""
+    for kind, things in _held.items():
+        if kind != keep:
+            things.clear()
+
+
+def tidy(run: Batches, keep: str | None = None) -> Batches:
+    """``run``, whose worker gives freed memory back after each batch and at the end: idle workers stay with their executor.
+
+    What other functions left in the worker is dropped first, but the kind ``keep``.
+    """
     def give_back() -> None:
         pa.default_memory_pool().release_unused()
         if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
@@ -142,6 +160,7 @@ def tidy(run: Batches) -> Batches:
     @wraps(run)
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
+            let_go(keep)
             for batch in run(batches):
                 yield batch
                 give_back()
@@ -151,7 +170,7 @@ def tidy(run: Batches) -> Batches:
     return out
 
 
-def with_columns(df: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[StructField]) -> DataFrame:
+def with_columns(df: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[StructField], keep: str | None = None) -> DataFrame:
     """``df`` with further columns worked out per Arrow batch."""
     names = [*df.columns, *(f.name for f in fields)]
 
@@ -159,7 +178,7 @@ def with_columns(df: DataFrame, run: Callable[[pa.RecordBatch], list[pa.Array]],
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *run(batch)], names=names)
 
-    return df.mapInArrow(tidy(apply), StructType([*df.schema.fields, *fields]))
+    return df.mapInArrow(tidy(apply, keep), StructType([*df.schema.fields, *fields]))
 
 
 def spare_name(df: DataFrame, name: str) -> str:
