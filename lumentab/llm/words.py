@@ -76,9 +76,9 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
 
 
 class Cut:
-    """The runs of bytes of one kind in the rows ``lo`` to ``hi`` of a column."""
+    """The runs of bytes of one kind in the rows ``lo`` to ``hi`` of a column; ``seams`` finds bytes before which a run ends, too."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, kind: np.ndarray):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, kind: np.ndarray, seams: Callable[[np.ndarray], np.ndarray] | None = None):
         self.base = int(offsets[0])
         self.bytes = buf[self.base:int(offsets[-1])]
         self.offsets = offsets - self.base
@@ -90,6 +90,10 @@ class Cut:
         edge = self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]
         before[edge] = False
         after[self.offsets[1:][self.offsets[:-1] < self.offsets[1:]] - 1] = False
+        if seams is not None:
+            seam = seams(self.bytes)
+            before[seam] = False
+            after[:-1][seam[1:]] = False
         self.starts = np.flatnonzero(self.mask & ~before)
         self.ends = np.flatnonzero(self.mask & ~after) + 1
         #: Number of runs before each row, and the row of each run.
