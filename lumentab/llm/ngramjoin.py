@@ -4,14 +4,17 @@
    64-bit set fingerprints and the size), so copies cost one row each and no pair.
 2. A set sends its prefix to buckets: two sets that link share one of the first n - ceil(t n) + 1 shingles
    under any common order.  The order puts shingles that are frequent in a bounded sample last; that only
-   keeps buckets short, links do not depend on it.  Shingles that only equal sets send are dropped.
+   keeps buckets short, links do not depend on it.  A sender carries the logarithm of its size: one that meets no
+   other set of like size on a shingle is dropped there, before signatures are added.  Of buckets that the same
+   sets send to, one is kept: copies with small changes meet on most of their prefix.
 3. A bucket, cut into tiles of about ``TILE`` rows where it is longer, compares its rows in bands of signature
    size: a signature is a parity bitmap with a power of two of bits that follows the set's size, and the bits
    in which two signatures differ are a lower bound of the differing shingles, that is an upper bound of the
    overlap.  Pairs that pass are kept as a spanning forest, at most one edge per row.
 4. The components of these edges hold every link.  Each, again in tiles of bounded size, gets the texts of its
    classes, passes the bounds again and decides by sorted-array intersection; pairs that are already connected
-   are skipped.  The edges of this forest give the components.
+   are skipped.  The edges of this forest give the components.  Texts outside components are not shuffled, nor
+   are those of the rows that ``keep_one`` returns.
 
 No step holds an unbounded group, emits all pairs of a group or collects rows to the driver.  Fingerprints have
 64 bits, so a set of n shingles miscounts with a chance of about n^2 / 2^64.
@@ -23,6 +26,7 @@ doc_id is returned with a null component and links nothing; an empty table gives
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +37,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from lumentab.llm.runs import whole_groups
 from lumentab.llm.words import LOWER, SPACED, Cut, blocks, mix, spare_name, text_buffers, tidy, windows
 from lumentab.operators.density import connected_components
-from lumentab.operators.ship import ship_if_short
+from lumentab.operators.ship import joined_with_some, without
 from lumentab.session import cut_lineage
 
 SHINGLE = 4
@@ -43,6 +47,8 @@ PERCENT = 85
 TILE = 512
 #: Documents looked at, about, to find frequent shingles, and the number of them that makes one frequent.
 SAMPLE, FREQUENT = 4096, 8
+#: A sender: the logarithm of its set's size, in steps of 1 / ``SIZE_STEPS``, above the first ``MARK_BITS`` bits of the set's fingerprint.
+SIZE_STEPS, MARK_BITS = 256, 50
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
@@ -67,8 +73,11 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) ->
 
 
 def signature(own: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the largest power of two of bits not above the set's size, 64 at least."""
-    bits = 1 << max(6, len(own).bit_length() - 1)
+    """Parity bitmap of the smallest power of two of bits not below the set's size, 128 at least.
+
+    With fewer bits unlike sets pass, ever more of them in a larger table, until they hold its components together.
+    """
+    bits = 1 << max(7, (len(own) - 1).bit_length())
     odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -82,6 +91,17 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _sender(mark: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Senders of sets with a first fingerprint and a size; in their order sizes ascend."""
+    steps = np.floor(SIZE_STEPS * np.log(n)).astype(np.uint64)
+    return (steps << np.uint64(MARK_BITS) | mark >> np.uint64(64 - MARK_BITS)).view(np.int64)
+
+
+def _size_reach(percent: int) -> int:
+    """Steps between the sizes of two sets that link, at most."""
+    return math.ceil(SIZE_STEPS * math.log(100 / percent)) + 1
+
+
 def summaries(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, f1, f2, sig) of rows (doc_id, text)."""
 
@@ -119,7 +139,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(f1, key): the prefix shingles of every set of rows (text), once per task for equal sets."""
+    """(sender, key): the prefix shingles of every set of rows (text), once per task for equal sets."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +147,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
         for batch in batches:
             buf, offsets = text_buffers(batch.column(0))
             for lo, hi in blocks(offsets):
-                marks, keys = [], []
+                marks, sizes, keys = [], [], []
                 for own in shingle_sets(buf, offsets[lo:hi + 1], width):
                     mark = _set_mark(own)
                     if not len(own) or int(mark) in seen:
@@ -138,12 +158,30 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
                         own = np.concatenate((own[~late], own[late]))
                     keys.append(own[:_prefix_size(len(own), percent)])
                     marks.append(mark)
+                    sizes.append(len(own))
                 if keys:
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.repeat(np.array(marks, np.uint64), [len(k) for k in keys]).view(np.int64), pa.int64()),
-                        pa.array(np.concatenate(keys).view(np.int64), pa.int64())], names=["f1", "key"])
+                        pa.array(np.repeat(_sender(np.array(marks, np.uint64), np.array(sizes)), [len(k) for k in keys]), pa.int64()),
+                        pa.array(np.concatenate(keys).view(np.int64), pa.int64())], names=["sender", "key"])
+
+    return docs.select("text").mapInArrow(tidy(run), "sender long, key long")
+
 
-    return docs.select("text").mapInArrow(tidy(run), "f1 long, key long")
+def met_senders(sent: DataFrame, percent: int) -> DataFrame:
+    """(bucket, f1_high, c): the senders that share a key with another one of like size, and their number; once for equal buckets."""
+    in_order, by_key = Window.partitionBy("key").orderBy("sender"), Window.partitionBy("key")
+    beside = {"before": F.lag("sender").over(in_order), "after": F.lead("sender").over(in_order)}
+    # Most rows are alone on their key; of the rest, equal sets of several tasks are one sender.
+    once = sent.withColumns(beside).where("(before IS NOT NULL OR after IS NOT NULL) AND (before IS NULL OR before < sender)")
+    reach = _size_reach(percent)
+    like = once.select("key", "sender").withColumns(beside).where(
+        f"shiftright(sender, {MARK_BITS}) - shiftright(before, {MARK_BITS}) <= {reach} OR "
+        f"shiftright(after, {MARK_BITS}) - shiftright(sender, {MARK_BITS}) <= {reach}")
+    told = like.select(
+        F.bit_xor(F.xxhash64("sender")).over(by_key).alias("bucket"),
+        F.col("sender").bitwiseAND(F.lit((1 << MARK_BITS) - 1)).alias("f1_high"), F.count(F.lit(1)).over(by_key).alias("c"))
+    # Dealt by sender, as the join with the signatures needs them.
+    return told.repartition("f1_high").distinct()
 
 
 def _alike(n: np.ndarray, sigs: list[np.ndarray], block: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,10 +280,10 @@ def _block_of(table: pa.Table, lo: int, hi: int, t1: np.ndarray, t2: np.ndarray,
 
 
 def candidate_edges(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): a spanning forest of the pairs of each tile that pass the bounds; rows (key, node, n, sig, tiles)."""
+    """(a, b): a spanning forest of the pairs of each tile that pass the bounds; rows (bucket, node, n, sig, tiles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_groups(batches, ["key", "t1", "t2"]):
+        for table, bounds in whole_groups(batches, ["bucket", "t1", "t2"]):
             node, n, t1, t2, block = (table.column(c).to_numpy() for c in ("node", "n", "t1", "t2", "block"))
             sigs = table.column("sig").to_pylist()
             size = np.diff(bounds)
@@ -296,13 +334,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = cut_lineage(summaries(source, width))
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = cut_lineage(known.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.max("sig").alias("sig")))
-    # Keys that sets of two classes send; equal sets of several tasks are one sender.
-    sent = prefixes(source.where("doc_id IS NOT NULL"), frequent_shingles(source, width), width, percent)
-    by_key = Window.partitionBy("key")
-    shared = sent.withColumns({"low": F.min("f1").over(by_key), "high": F.max("f1").over(by_key)}).where("low < high")
-    shared = shared.select("key", "f1").dropDuplicates(["key", "f1"]).withColumn("c", F.count(F.lit(1)).over(by_key))
-    sets = classes.select("node", "n", "sig", "f1")
-    buckets = _tiled(shared.join(sets, "f1").select("key", "node", "n", "sig", "c"), "key", "c")
+    shared = met_senders(prefixes(source.where("doc_id IS NOT NULL"), frequent_shingles(source, width), width, percent), percent)
+    sets = classes.select("node", "n", "sig", F.shiftrightunsigned("f1", 64 - MARK_BITS).alias("f1_high"))
+    buckets = _tiled(shared.join(sets, "f1_high").select("bucket", "node", "n", "sig", "c"), "bucket", "c")
     candidates = cut_lineage(candidate_edges(buckets, percent).distinct())
 
     # Rows of one doc_id with different texts belong together.
@@ -312,7 +346,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node"))).distinct()
     parts = connected_components(ends, candidates).withColumnRenamed("component", "part")
     parts = parts.join(parts.groupBy("part").agg(F.count(F.lit(1)).alias("c")), "part")
-    held = source.join(parts, F.col("node") == F.col("doc_id")).select("part", "node", "text", "c")
+    held = joined_with_some(source, "doc_id", cut_lineage(parts), "node").select("part", "node", "text", "c")
     links = cut_lineage(exact_edges(_tiled(held, "part", "c"), width, percent).union(twofold).distinct())
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
@@ -333,11 +367,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     """
     out = cut_lineage(jaccard_components(docs, key, text, width, percent).select(F.col(key).alias("id"), "component_id"))
     gone, twice = spare_name(docs, "gone"), spare_name(docs, "twice")
-    drop = out.where("component_id < id").select(F.col("id").alias(gone)).distinct()
-    left = docs.join(ship_if_short(drop), docs[key] == F.col(gone), "left_anti")
+    left = without(docs, key, out.where("component_id < id").select(F.col("id").alias(gone)).distinct(), gone)
     again = out.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias(twice))
     if again.isEmpty():
         return left
-    again = ship_if_short(again)
-    once = left.join(again, F.col(key) == F.col(twice), "left_anti")
-    return once.unionByName(left.join(again, F.col(key) == F.col(twice), "left_semi").dropDuplicates([key]))
+    again = cut_lineage(again)
+    doubled = joined_with_some(left, key, again, twice).select(*docs.columns)
+    return without(left, key, again, twice).unionByName(doubled.dropDuplicates([key]))
